@@ -1,0 +1,172 @@
+"""Operators driven by small configuration tables."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+
+from ..functions.text import lookup_key
+
+# Configuration reaches the driver; anything larger than this is not configuration.
+MAX_CONFIG_ROWS = 10_000
+
+
+def collect_config(df: DataFrame) -> list[Row]:
+    rows = df.limit(MAX_CONFIG_ROWS + 1).collect()
+    if len(rows) > MAX_CONFIG_ROWS:
+        raise ValueError(f"more than {MAX_CONFIG_ROWS} configuration rows")
+    return rows
+
+
+def rules_for(
+    rules: DataFrame, market: str, domain: str, consumer: str | None = None
+) -> DataFrame:
+    """Active rules of one market, domain and (where the table has one) consumer."""
+    kept = rules.filter(
+        (F.upper("active_value") == "Y")
+        & (F.lower("domain") == domain.lower())
+        & (F.upper("target_market") == market.upper())
+    )
+    if "consumer" in rules.columns:
+        kept = kept.filter(F.upper(F.coalesce("consumer", F.lit(""))) == (consumer or "").upper())
+    return kept
+
+
+def _rule_condition(rule: Row) -> Column:
+    tested = F.col(rule.attribute.strip())
+    match = (rule.match_value or "").strip()
+    operator = (rule.operator or "=").strip()
+    if match.lower() in ("", "null"):
+        blank = tested.cast("string")
+        condition = blank.isNull() | (F.length(F.trim(blank)) == 0) | (blank == "\n")
+    elif operator == "<":
+        condition = tested < F.expr(match)
+    elif operator == ">":
+        condition = tested > F.expr(match)
+    else:
+        condition = tested == F.expr(match)
+    systems = (rule.source_systems or "all").strip()
+    if systems.lower() == "all":
+        return condition
+    wanted = [s.strip().strip("'") for s in systems.split(",")]
+    return F.col("source_system_sk").cast("string").isin(*wanted) & condition
+
+
+def apply_default_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """Replace columns by data-driven defaults, keeping column order and types.
+
+    ``rules`` has source_attribute, source_systems (comma list or ``all``), attribute,
+    operator (``=``, ``<``, ``>``), match_value (SQL literal; NULL, blank or ``null`` tests for a
+    missing value), default_value (SQL expression) and priority. The first matching rule of a
+    column wins, in priority order. Rules become one CASE per column in a single projection that
+    reads the incoming values of all columns.
+    """
+    by_column: dict[str, list[Row]] = defaultdict(list)
+    ordered = rules.orderBy("priority").withColumn("__name", lookup_key("source_attribute"))
+    for rule in collect_config(ordered):
+        by_column[rule["__name"]].append(rule)
+    if not by_column:
+        return df
+    columns = []
+    for field in df.schema.fields:
+        value = F.col(field.name)
+        chain = None
+        for rule in by_column.get(field.name.upper(), []):
+            default = F.expr(rule.default_value).cast(field.dataType)
+            condition = _rule_condition(rule)
+            chain = F.when(condition, default) if chain is None else chain.when(condition, default)
+        columns.append(value if chain is None else chain.otherwise(value).alias(field.name))
+    return df.select(*columns)
+
+
+def reference_list(
+    table: DataFrame, market: str, domain: str, reference: str, consumer: str, kind: str
+) -> DataFrame:
+    """Values of one include or exclude list, one per row in column ``value``.
+
+    ``kind`` is ``inclusion`` or ``exclusion``. Rows of the market and of ``ALL`` markets both
+    count. A list without rows holds the single blank value, so that an empty include list keeps
+    only blank values and an empty exclude list drops only those.
+    """
+    column = {"inclusion": "value_inclusion", "exclusion": "value_exclusion"}[kind]
+    rows = table.filter(
+        (F.col("active_flg") == "Y")
+        & (F.col("reference") == reference.upper())
+        & (F.col("domain") == domain.lower().capitalize())
+        & F.col("consumer").isin(consumer.upper(), "ALL")
+        & F.col("market").isin(market.upper(), "ALL")
+    )
+    if kind == "inclusion":
+        rows = rows.filter(F.col(column) != "")
+    values = rows.select(
+        F.explode(F.split(F.coalesce(F.col(column), F.lit("")), ",")).alias("value")
+    ).distinct()
+    blank = table.sparkSession.range(1).select(F.lit("").alias("value"))
+    return values.unionByName(blank.filter(~values.exists()))
+
+
+def apply_reference_lists(
+    df: DataFrame,
+    column: str,
+    include: DataFrame | None = None,
+    exclude: DataFrame | None = None,
+) -> DataFrame:
+    """Keep rows whose upper-cased value is in ``include`` and not in ``exclude``.
+
+    As with SQL ``IN``/``NOT IN``, a row whose value is NULL passes neither list.
+    """
+    df = df.withColumn("__value", F.upper(F.col(column)))
+    if include is not None:
+        wanted = include.select(F.col("value").alias("__value"))
+        df = df.join(wanted, "__value", "left_semi")
+    if exclude is not None:
+        unwanted = exclude.select(F.col("value").alias("__value"))
+        df = df.filter(F.col("__value").isNotNull()).join(unwanted, "__value", "left_anti")
+    return df.drop("__value")
+
+
+def market_config(
+    config: DataFrame, domain: str, market: str, consumer: str = ""
+) -> DataFrame:
+    """Configuration rows whose market list holds ``market`` exactly.
+
+    ``markets`` is one market or a list such as ``("UT","AZ")``. A consumer's own rows win;
+    without any, the rows for no consumer apply.
+    """
+    listed = F.split(F.regexp_replace(F.upper("markets"), r'[()"\s]', ""), ",")
+    rows = config.filter(
+        (F.upper("domain") == domain.upper()) & F.array_contains(listed, market.upper())
+    )
+    named = F.upper(F.coalesce("consumer", F.lit("")))
+    general = rows.filter(named == "")
+    if not consumer:
+        return general
+    own = rows.filter(named == consumer.upper())
+    return own.unionByName(general.filter(~own.exists()))
+
+
+def config_value(rows: DataFrame, column: str, default: str = "") -> str:
+    """First value of ``column``, or ``default`` when there is no row."""
+    found = rows.select(column).orderBy(column).first()
+    return default if found is None or found[0] is None else str(found[0])
+
+
+def file_prefix(names: DataFrame, tenant: str, market: str) -> str:
+    rows = names.filter((F.col("tenant") == tenant) & (F.col("target_market") == market.upper()))
+    return config_value(rows, "filename")
+
+
+def model_type(names: DataFrame, market: str) -> str:
+    return config_value(names.filter(F.col("target_market") == market.upper()), "sdm_type")
+
+
+def enterprise_id_applied(names: DataFrame, market: str) -> str:
+    return config_value(names.filter(F.col("target_market") == market.upper()), "eid_applied")
+
+
+def markets_of(names: DataFrame, sdm_type: str) -> Sequence[str]:
+    rows = names.filter(F.col("sdm_type") == sdm_type).select("target_market").distinct()
+    return sorted(r.target_market for r in collect_config(rows))
