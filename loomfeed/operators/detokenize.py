@@ -16,15 +16,16 @@ def detokenize(
     vault: DataFrame,
     token: str = "token",
     value: str = "value",
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Swap the tokens in ``columns`` for vault values; tokens not in the vault become NULL.
 
     The vault is joined once per column, on data that is best reduced to one row per person
-    first. Rows without a token do not take part in the shuffle's key.
+    first. ``spread_by`` keeps rows without a token from meeting in one task.
     """
     order = df.columns
     for column in columns:
         df = lookup(
-            df, vault, [(column, token)], {"__clear": value}, spread_unmatched=True
+            df, vault, [(column, token)], {"__clear": value}, spread_by=spread_by
         ).withColumn(column, F.col("__clear")).drop("__clear")
     return df.select(*order)

@@ -31,7 +31,7 @@ def lookup(
     how: str = "left",
     where: Column | None = None,
     left_where: Column | None = None,
-    spread_unmatched: bool = False,
+    spread_by: Sequence[str] = (),
     salts: int = 1,
 ) -> DataFrame:
     """Add the columns ``take`` (output name -> dimension column) to ``facts``.
@@ -40,11 +40,12 @@ def lookup(
     dimension before the join. ``left_where`` limits which fact rows look for a match; in a left
     join the others keep NULLs.
 
-    ``spread_unmatched`` is for foreign keys that are often NULL or excluded by ``left_where``:
-    such rows get a key part of their own and spread over all partitions instead of meeting in
-    one. ``salts`` > 1 splits every key over that many partitions by copying the dimension, for
-    a key known to hold a large share of the facts. Leave both off when several joins use one key,
-    so that they share one shuffle.
+    ``spread_by`` names fact columns that tell rows apart, such as a surrogate key. It is for
+    foreign keys that are often NULL or excluded by ``left_where``: rows that cannot match get a
+    key part of their own and spread over all partitions instead of meeting in one. ``salts`` > 1
+    also splits every key over that many partitions by copying the dimension, for a key known to
+    hold a large share of the facts. Leave both off when several joins use one key, so that they
+    share one shuffle.
     """
     dim = dim if where is None else dim.filter(where)
     names = [f"__key{i}" for i in range(len(on))]
@@ -57,8 +58,10 @@ def lookup(
     left = facts
     if left_where is not None:
         condition.append(left_where)
-    if salts > 1 or (spread_unmatched and how == "left"):
-        row = F.xxhash64(*[F.col(c) for c in facts.columns])
+    if salts > 1 and not spread_by:
+        raise ValueError("salts need spread_by")
+    if salts > 1 or (spread_by and how == "left"):
+        row = F.xxhash64(*spread_by)
         match = _all([key.isNotNull() for key in left_keys])
         match = match if left_where is None else match & F.coalesce(left_where, F.lit(False))
         own = F.pmod(row, F.lit(salts)).cast("int") if salts > 1 else F.lit(0)
@@ -78,7 +81,7 @@ def crosswalk(
     out: str,
     system: str,
     code_set: str,
-    spread_unmatched: bool = False,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Target value of a standard code for one receiving system and code set."""
     wanted = (F.col("sys_of_ctrl_name") == system) & (F.col("target_cd_set_name") == code_set)
@@ -88,16 +91,21 @@ def crosswalk(
         [(code, "std_cd_val")],
         {out: "target_cd_val"},
         where=wanted,
-        spread_unmatched=spread_unmatched,
+        spread_by=spread_by,
     )
 
 
 def role_lookup(
-    facts: DataFrame, dim: DataFrame, key: Key, roles: Mapping[str, Key], value: Key
+    facts: DataFrame,
+    dim: DataFrame,
+    key: Key,
+    roles: Mapping[str, Key],
+    value: Key,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Look one dimension up once per role: ``roles`` maps output column -> fact key."""
     for out, fact_key in roles.items():
-        facts = lookup(facts, dim, [(fact_key, key)], {out: value}, spread_unmatched=True)
+        facts = lookup(facts, dim, [(fact_key, key)], {out: value}, spread_by=spread_by)
     return facts
 
 
@@ -128,6 +136,7 @@ def in_scope(
     on: Sequence[tuple[Key, Key]],
     where: Column | None = None,
     until: tuple[Key, Key] | None = None,
+    spread_by: Sequence[str] = (),
     salts: int = 1,
 ) -> DataFrame:
     """Keep the facts of cohort members, with ``until`` only up to the member's last day.
@@ -135,7 +144,9 @@ def in_scope(
     ``until`` is (fact date, cohort date); it stays a residual condition of the equi join.
     """
     take = {} if until is None else {"__until": until[1]}
-    joined = lookup(facts, cohort, on, take, how="inner", where=where, salts=salts)
+    joined = lookup(
+        facts, cohort, on, take, how="inner", where=where, spread_by=spread_by, salts=salts
+    )
     if until is None:
         return joined
     return joined.filter(as_column(until[0]) <= F.col("__until")).drop("__until")
@@ -173,7 +184,7 @@ def expand_identities(
         [("source_patient_id", "source_patient_id")],
         {"enterprise_id": "enterprise_id"},
         left_where=F.col("__linked"),
-        spread_unmatched=True,
+        spread_by=["source_patient_id"],
     ).select(F.col("source_patient_id").alias("hum_id"), "enterprise_id").distinct()
     partners = keep_keys(
         links.filter(F.col("source") == source).select("enterprise_id", "source_patient_id"),

@@ -110,7 +110,7 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
         "status_word",
         config.system,
         config.status_set,
-        spread_unmatched=True,
+        spread_by=["claim_header_sk"],
     )
     rows = role_lookup(
         rows,
@@ -118,6 +118,7 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
         "provider_sk",
         {"rendering_id": "rendering_prov_sk", "referring_id": "refr_prov_sk"},
         "provider_id",
+        spread_by=["claim_header_sk"],
     )
     group = F.col("provider_group_sk")
     rows = lookup(
@@ -125,7 +126,7 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
         inputs.provider_group,
         [(group, group)],
         {"group_id": "provider_group_id", "group_sk": group},
-        spread_unmatched=True,
+        spread_by=["claim_header_sk"],
     )
     rows = lookup(
         rows,
@@ -134,7 +135,7 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
         {"revised_group": "revised_provider_group_id"},
         where=alive,
         left_where=~F.col("group_sk").isin("0", "-1"),
-        spread_unmatched=True,
+        spread_by=["claim_header_sk"],
     )
     columns = [value.alias(name) for name, value in _columns(config).items()]
     return rows.select(*columns, *_diagnoses(config)).select(*layouts.CLAIM_HEADER_STATE)
@@ -287,7 +288,9 @@ def _published(config: RunConfig, inputs: ClaimHeaderInputs, rows: DataFrame) ->
     rows = rows.withColumn("CLAIM_ADJUST_TYPE", kind).drop(CHANGE)
     rows = project(rows, {name: name.upper() for name in layouts.CLAIM_HEADER}).distinct()
     if inputs.vault is not None:
-        rows = detokenize(rows, ["Payto_Provider_Tin"], inputs.vault)
+        rows = detokenize(
+            rows, ["Payto_Provider_Tin"], inputs.vault, spread_by=["Claim_Number"]
+        )
     rows = apply_default_rules(rows, inputs.rules)
     amount = codes.amount("Charge_Amount", config.extended)
     return collapse_tenants(rows.withColumn("Charge_Amount", amount), config.tenants)

@@ -69,7 +69,7 @@ def claim_line_source(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
         [("procedure_code_sk", "claim_procedure_sk")],
         {"procedure_touched": F.lit(True)},
         left_where=~touched,
-        spread_unmatched=True,
+        spread_by=["claim_detail_sk"],
     )
     lines = lines.filter(touched | F.col("procedure_touched").isNotNull())
     return project(lines, _columns(config))

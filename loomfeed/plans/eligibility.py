@@ -91,7 +91,7 @@ def eligibility_source(config: RunConfig, inputs: EligibilityInputs) -> DataFram
         {"revised_group": "revised_provider_group_id"},
         where=alive,
         left_where=~sk.isin("0", "-1"),
-        spread_unmatched=True,
+        spread_by=["eligibility_sk"],
     )
     rows = lookup(
         rows,
@@ -99,7 +99,7 @@ def eligibility_source(config: RunConfig, inputs: EligibilityInputs) -> DataFram
         [(F.upper("business_type"), F.upper("standard_value"))],
         {"business_value": "standard_value"},
         where=(F.col("active_flag") == 1) & (F.col("source") == inputs.business_source),
-        spread_unmatched=True,
+        spread_by=["eligibility_sk"],
     )
     rows = latest_per_key(
         rows,

@@ -49,7 +49,9 @@ def _patients(inputs: LabInputs) -> DataFrame:
         "patient_sk", "source_patient_id", *NAMES, "birth_date", "hicn_mbi"
     )
     if inputs.vault is not None:
-        people = detokenize(people, [*NAMES, "hicn_mbi"], inputs.vault)
+        people = detokenize(
+            people, [*NAMES, "hicn_mbi"], inputs.vault, spread_by=["patient_sk"]
+        )
     return people.withColumns(
         {
             "first_name": F.trim("first_name"),

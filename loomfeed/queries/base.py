@@ -21,19 +21,22 @@ AS_OF = "2001-08-01"
 
 
 class Tables:
-    """The tables of one data folder by attribute."""
+    """The tables of one data folder by attribute; each schema is read once."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, frame)
+        return frame
 
     def sql(self, text: str) -> DataFrame:
         """A derivation over ``{table}`` placeholders."""
         text = text.replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
-        return self.spark.sql(text, **{name: getattr(self, name) for name in NAMES})
+        used = [name for name in NAMES if f"{{{name}}}" in text]
+        return self.spark.sql(text, **{name: getattr(self, name) for name in used})
 
 
 def query(sql: str | None = None) -> Callable:

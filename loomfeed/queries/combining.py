@@ -36,7 +36,7 @@ def left_lookup_predicates(t: Tables) -> DataFrame:
         {"n_name": "n_name"},
         where=F.col("n_regionkey") != 3,
         left_where=~F.col("c_mktsegment").isin("BUILDING", "MACHINERY"),
-        spread_unmatched=True,
+        spread_by=["c_custkey"],
     )
     return named.select("c_custkey", "n_name")
 
@@ -78,7 +78,7 @@ CODE_MAP = {
 def crosswalk(t: Tables) -> DataFrame:
     code = F.col("c_nationkey").cast("string")
     mapped = map_codes(
-        t.customer, derived(t.nation, CODE_MAP), code, "place", "FEED", "NATIONS", True
+        t.customer, derived(t.nation, CODE_MAP), code, "place", "FEED", "NATIONS", ["c_custkey"]
     )
     return mapped.select("c_custkey", "place")
 
@@ -119,7 +119,9 @@ def role_lookup(t: Tables) -> DataFrame:
         refers.alias("referrer"),
     )
     roles = {"rendering": "l_suppkey", "referring": "referrer"}
-    return by_role(lines, t.supplier, "s_suppkey", roles, "s_name").drop("referrer")
+    return by_role(
+        lines, t.supplier, "s_suppkey", roles, "s_name", ["l_orderkey", "l_linenumber"]
+    ).drop("referrer")
 
 
 @query(
@@ -273,4 +275,6 @@ def detokenize(t: Tables) -> DataFrame:
     names = t.customer.filter("c_nationkey <> 4").select(F.col("c_name").alias("value"))
     segments = t.customer.select(F.col("c_mktsegment").alias("value")).distinct()
     vault = names.unionByName(segments).withColumn("token", F.md5("value"))
-    return reveal(derived(t.customer, TOKENS), ["name", "segment"], vault)
+    return reveal(
+        derived(t.customer, TOKENS), ["name", "segment"], vault, spread_by=["c_custkey"]
+    )

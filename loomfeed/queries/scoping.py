@@ -129,6 +129,7 @@ def cohort_range_salted(t: Tables) -> DataFrame:
         [("o_custkey", "patient")],
         where=F.col("project") == "MAIN",
         until=("o_orderdate", "last_day"),
+        spread_by=["o_orderkey"],
         salts=4,
     )
 
