@@ -109,17 +109,13 @@ def diagnosis_slots(
     """Two columns per slot: the trimmed code, and present-on-admission Y/N where a code exists."""
     columns = []
     for n in range(1, slots + 1):
-        raw = F.col(code.format(n=n))
-        value = F.trim(raw)
+        raw = code.format(n=n)
+        value = f"trim({raw})"
         if n == 1 and first_default:
-            value = F.coalesce(value, F.lit(first_default))
-        present = F.col(flag.format(n=n)) == "Y"
-        columns += [
-            value.alias(code_out.format(n=n)),
-            F.when(raw.isNotNull(), F.when(present, "Y").otherwise("N")).alias(
-                flag_out.format(n=n)
-            ),
-        ]
+            value = f"coalesce({value}, '{first_default}')"
+        present = f"CASE WHEN {raw} IS NOT NULL THEN IF({flag.format(n=n)} = 'Y', 'Y', 'N') END"
+        columns.append(F.expr(f"{value} AS {code_out.format(n=n)}"))
+        columns.append(F.expr(f"{present} AS {flag_out.format(n=n)}"))
     return columns
 
 

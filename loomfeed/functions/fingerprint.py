@@ -17,10 +17,9 @@ def fingerprint(columns: Iterable[str]) -> Column:
     """
     parts = []
     for name in columns:
-        text = F.col(name).cast("string")
-        length = F.octet_length(text).cast("string")
-        parts.append(F.coalesce(F.concat(length, F.lit(":"), text), F.lit("~")))
-    return F.md5(F.concat_ws("|", *parts))
+        text = f"CAST(`{name}` AS STRING)"
+        parts.append(f"coalesce(concat(octet_length({text}), ':', {text}), '~')")
+    return F.expr(f"md5(concat_ws('|', {', '.join(parts)}))")
 
 
 def row_fingerprint(df: DataFrame, exclude: Iterable[str] = (), alias: str = "HASH") -> DataFrame:

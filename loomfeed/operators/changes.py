@@ -80,11 +80,9 @@ def upsert_by_fingerprint(
         F.col(f"old.{fingerprint}") != F.col(f"new.{fingerprint}")
     )
     change = F.when(is_new, INSERT).when(differs, UPDATE)
-    marked = paired.withColumn(CHANGE, change)
-    taken = F.col(CHANGE).isNotNull()
-    state = marked.select(
+    state = paired.withColumn(CHANGE, change).selectExpr(
         *[
-            F.when(taken, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
+            f"IF({CHANGE} IS NOT NULL, new.`{c}`, old.`{c}`) AS `{c}`"
             for c in target.drop(CHANGE).columns
         ],
         CHANGE,

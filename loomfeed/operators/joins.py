@@ -136,6 +136,7 @@ def in_scope(
     on: Sequence[tuple[Key, Key]],
     where: Column | None = None,
     until: tuple[Key, Key] | None = None,
+    take: Mapping[str, Key] | None = None,
     spread_by: Sequence[str] = (),
     salts: int = 1,
 ) -> DataFrame:
@@ -143,15 +144,23 @@ def in_scope(
 
     ``until`` is (fact date, cohort date); it stays a residual condition of the equi join.
     """
-    take = {} if until is None else {"__until": until[1]}
+    taken = {**(take or {}), **({} if until is None else {"__until": until[1]})}
     joined = lookup(
-        facts, cohort, on, take, how="inner", where=where, spread_by=spread_by, salts=salts
+        facts, cohort, on, taken, how="inner", where=where, spread_by=spread_by, salts=salts
     )
     if until is None:
         return joined
     return joined.filter(as_column(until[0]) <= F.col("__until")).drop("__until")
 
 
+def last_eligible(
+    cohort: DataFrame, keys: Sequence[str], last_day: str, where: Column | None = None
+) -> DataFrame:
+    """One row per cohort member with the latest of its last eligible days."""
+    cohort = cohort if where is None else cohort.filter(where)
+    return cohort.groupBy(*keys).agg(F.max(last_day).alias(last_day))
+
+
 def expand_identities(
     facts: DataFrame,
     patients: DataFrame,

@@ -21,6 +21,7 @@ from ..operators.detokenize import detokenize
 from ..operators.joins import (
     attach_rollup,
     crosswalk,
+    in_scope,
     keep_keys,
     latest_batch,
     lookup,
@@ -29,7 +30,7 @@ from ..operators.joins import (
 from ..operators.rules import apply_default_rules
 from ..operators.shape import collapse_tenants, final_rows, project, scope_filter, split_by_flag
 from . import layouts
-from .claim_lines import claim_scope
+from .claim_lines import cohort_members
 from .config import RunConfig
 
 
@@ -68,14 +69,21 @@ def _slots(pattern: str, count: int) -> dict[str, str]:
 
 
 def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFrame:
-    """Normalised headers of final claims in the lookback.
+    """Normalised headers of final claims in the lookback, while the patient was in the cohort.
 
-    The joins on the header key come first and share one partitioning; the lookups by code,
-    provider and group follow, with rows that have no such key spread out.
+    The cohort comes first, as it needs raw columns only and leaves fewer and narrower rows to
+    move. The joins on the header key share one partitioning; the lookups by code, provider and
+    group follow, with rows that have no such key spread out.
     """
     rows = final_rows(scope_filter(inputs.claim_header, config.tenants, config.sources)).filter(
         dates.within_lookback("serv_from_dt", config.lookback_months, config.as_of)
     )
+    rows = in_scope(
+        rows,
+        cohort_members(config, inputs.cohort),
+        [("source_patient_id", "source_patient_id"), ("tenant_sk", "tenant_sk")],
+        until=("serv_from_dt", "lasteligenddate"),
+    )
     alive = F.col("del_ind") == 0
     header = [("claim_header_sk", "claim_header_sk")]
     rows = lookup(
@@ -227,8 +235,8 @@ def _charged(config: RunConfig, df: DataFrame) -> DataFrame:
 
 
 def claim_header_current(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFrame:
-    scoped = claim_scope(config, claim_header_source(config, inputs), inputs.cohort)
-    defaulted = _charged(config, apply_default_rules(scoped, inputs.rules))
+    source = claim_header_source(config, inputs)
+    defaulted = _charged(config, apply_default_rules(source, inputs.rules))
     return row_fingerprint(defaulted, exclude=["UPDATE_TYPE"])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, dates, text
 from ..functions.fingerprint import row_fingerprint
 from ..operators.changes import upsert_by_fingerprint
-from ..operators.joins import in_scope, lookup
+from ..operators.joins import in_scope, last_eligible, lookup
 from ..operators.rules import apply_default_rules
 from ..operators.shape import final_rows, project, scope_filter
 from . import layouts
@@ -27,8 +27,33 @@ class ClaimLineInputs:
     rules: DataFrame
 
 
+def cohort_members(config: RunConfig, cohort: DataFrame) -> DataFrame:
+    """Live cohort rows of the project, one per patient and tenant."""
+    wanted = (F.col("del_ind") == 0) & (F.col("projectabbr") == config.project)
+    return last_eligible(cohort, ["source_patient_id", "tenant_sk"], "lasteligenddate", wanted)
+
+
+def scoped_headers(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
+    """Final claims in the lookback that started while the patient was in the cohort.
+
+    The cohort test needs header columns only, so it is done on the narrow header rows and the
+    lines meet its result in the join they need anyway. ``cohort_tenant`` remains to be compared
+    with the line's tenant.
+    """
+    headers = final_rows(inputs.claim_header).filter(
+        dates.within_lookback("serv_from_dt", config.lookback_months, config.as_of)
+    )
+    return in_scope(
+        headers.select("claim_header_sk", "source_patient_id", "serv_from_dt", "aud_upd_dt"),
+        cohort_members(config, inputs.cohort).withColumnRenamed("tenant_sk", "cohort_tenant"),
+        [("source_patient_id", "source_patient_id")],
+        until=("serv_from_dt", "lasteligenddate"),
+        take={"cohort_tenant": "cohort_tenant"},
+    )
+
+
 def claim_line_source(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
-    """Lines of final claims in the lookback that were touched in it, directly or through their
+    """Lines of in-scope claims that were touched in the lookback, directly or through their
     header or procedure."""
     window = (config.lookback_months, config.as_of)
     lines = scope_filter(inputs.claim_detail, config.tenants, config.sources).filter(
@@ -42,18 +67,11 @@ def claim_line_source(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
         how="inner",
         where=F.col("del_ind") == 0,
     )
-    headers = final_rows(inputs.claim_header).filter(
-        dates.within_lookback("serv_from_dt", *window)
-    )
     lines = lookup(
         lines,
-        headers,
-        [("claim_header_sk", "claim_header_sk")],
-        {
-            "source_patient_id": "source_patient_id",
-            "header_from_dt": "serv_from_dt",
-            "header_upd_dt": "aud_upd_dt",
-        },
+        scoped_headers(config, inputs),
+        [("claim_header_sk", "claim_header_sk"), ("tenant_sk", "cohort_tenant")],
+        {"header_upd_dt": "aud_upd_dt"},
         how="inner",
     )
     # Only a recently updated procedure can bring in a line that is not recent by itself, so the
@@ -105,29 +123,16 @@ def _columns(config: RunConfig) -> dict[str, Column | str]:
         "PROCESSED_DATE": dates.floor_date("processed_dt", "null"),
         "PAID_DATE": dates.floor_date("paid_dt", "null"),
         "DEL_IND": "del_ind",
-        "SOURCE_PATIENT_ID": "source_patient_id",
         "CLAIM_DETAIL_SK": "claim_detail_sk",
-        "SERV_FROM_DT": "header_from_dt",
         "TENANT_SK": "tenant_sk",
         "SOURCE_SYSTEM_SK": "source_system_sk",
         "CLAIM_HEADER_SK": "claim_header_sk",
     }
 
 
-def claim_scope(config: RunConfig, claims: DataFrame, cohort: DataFrame) -> DataFrame:
-    """Claims of cohort members that started by the member's last eligible time."""
-    return in_scope(
-        claims,
-        cohort,
-        [("SOURCE_PATIENT_ID", "source_patient_id"), ("TENANT_SK", "tenant_sk")],
-        where=(F.col("del_ind") == 0) & (F.col("projectabbr") == config.project),
-        until=("SERV_FROM_DT", "lasteligenddate"),
-    )
-
-
 def claim_line_current(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
-    scoped = claim_scope(config, claim_line_source(config, inputs), inputs.cohort)
-    defaulted = apply_default_rules(scoped.select(*layouts.CLAIM_LINE_STATE), inputs.rules)
+    source = claim_line_source(config, inputs).select(*layouts.CLAIM_LINE_STATE)
+    defaulted = apply_default_rules(source, inputs.rules)
     return row_fingerprint(defaulted, exclude=["CLAIM_HEADER_SK"])
 
 

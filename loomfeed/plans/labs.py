@@ -11,7 +11,7 @@ from ..functions import dates, text
 from ..functions.fingerprint import row_fingerprint
 from ..operators.changes import changed_rows, upsert_by_fingerprint
 from ..operators.detokenize import detokenize
-from ..operators.joins import in_scope, lookup
+from ..operators.joins import last_eligible, lookup
 from ..operators.rules import apply_default_rules
 from ..operators.shape import collapse_tenants, latest_per_key, live_rows, project, scope_filter
 from . import layouts
@@ -44,10 +44,21 @@ NAMES = ["first_name", "middle_name", "last_name"]
 
 
 def _patients(inputs: LabInputs) -> DataFrame:
-    """Live patients with clear names; tokens are resolved per patient, not per result."""
+    """Live cohort patients with clear names and last eligible day.
+
+    Cohort and tokens are resolved per patient rather than per result.
+    """
     people = live_rows(inputs.patient).select(
         "patient_sk", "source_patient_id", *NAMES, "birth_date", "hicn_mbi"
     )
+    key = "source_patient_id"
+    people = lookup(
+        people,
+        last_eligible(inputs.cohort, [key], "lasteligenddate"),
+        [(key, key)],
+        {"last_day": F.to_date("lasteligenddate")},
+        how="inner",
+    )
     if inputs.vault is not None:
         people = detokenize(
             people, [*NAMES, "hicn_mbi"], inputs.vault, spread_by=["patient_sk"]
@@ -62,10 +73,13 @@ def _patients(inputs: LabInputs) -> DataFrame:
 
 
 def lab_source(config: RunConfig, inputs: LabInputs) -> DataFrame:
-    """Normalised results, one per order, test, code and observation day.
+    """Normalised results of cohort members up to their last eligible day, one per order, test,
+    code and observation day.
 
-    Linked identities only ever confirm that a result has a patient, which the patient join
-    already does, so they are not expanded here.
+    The cohort test looks at member and observation day only, which all rows of one such group
+    share, so it may come before the choice of the latest row. Linked identities only ever
+    confirm that a result has a patient, which the patient join already does, so they are not
+    expanded here.
     """
     rows = live_rows(scope_filter(inputs.lab_result, config.tenants, config.sources))
     rows = rows.filter(F.col("loinc_cd").contains("-"))
@@ -128,9 +142,10 @@ def lab_source(config: RunConfig, inputs: LabInputs) -> DataFrame:
             "LAST_NAME": "last_name",
             "PATIENT_BIRTH_DATE": F.to_date("birth_date"),
             "PATIENT_MBI_OR_HICN": "hicn_mbi",
+            "__last_day": "last_day",
         },
         how="inner",
-    )
+    ).filter(F.col("LAB_RESULT_OBSERVATION_DATE") <= F.col("__last_day"))
     latest = latest_per_key(
         results,
         layouts.LAB_KEY,
@@ -140,21 +155,15 @@ def lab_source(config: RunConfig, inputs: LabInputs) -> DataFrame:
 
 
 def lab_current(config: RunConfig, inputs: LabInputs) -> DataFrame:
-    """Results of cohort members up to their last eligible day, with fingerprint."""
-    scoped = in_scope(
-        lab_source(config, inputs),
-        inputs.cohort,
-        [("ENTITY_MEMBER_ID", "source_patient_id")],
-        until=("LAB_RESULT_OBSERVATION_DATE", F.to_date("lasteligenddate")),
-    )
-    defaulted = apply_default_rules(scoped.select(*layouts.LAB_STATE), inputs.rules)
+    """Results with defaults and fingerprint."""
+    defaulted = apply_default_rules(lab_source(config, inputs), inputs.rules)
     return row_fingerprint(defaulted, exclude=["LAB_RESULT_SK"])
 
 
 def lab_state(config: RunConfig, inputs: LabInputs, previous: DataFrame) -> DataFrame:
     """New current state with ``_change_type``.
 
-    A member with several cohort rows yields the same result several times; one is kept.
+    Defaults may make keys equal that were distinct; the newest result counts.
     """
     current = lab_current(config, inputs)
     order = [F.col("LAB_RESULT_SK").desc_nulls_first(), F.col("HASH")]

@@ -11,6 +11,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import tune
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -24,7 +26,7 @@ class Tables:
     """The tables of one data folder by attribute; each schema is read once."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark = spark
+        self.spark = tune(spark)
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:

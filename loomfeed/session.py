@@ -15,8 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# To be given when the session is built: wide extracts make thousands of column calls, and a call
+# site need not be recorded for each.
+STARTUP = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
