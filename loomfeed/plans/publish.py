@@ -13,7 +13,13 @@ from ..operators.control import INSCOPE, advance_watermark, read_watermark
 from ..operators.history import ARCHIVE_DAYS, HISTORY_DAYS, cutoff, history_rows
 from ..sources.extract import write_extract
 from ..sources.snapshots import MERGE, REBUILD, has_snapshot, read_snapshot, write_snapshot
-from ..sources.tables import drop_partitions, read_table, table_exists, write_table
+from ..sources.tables import (
+    drop_partitions,
+    overwrite_partitions,
+    read_table,
+    table_exists,
+    write_table,
+)
 from .claim_headers import (
     ClaimHeaderInputs,
     claim_header_current,
@@ -87,8 +93,7 @@ def age_history(store: Store, domain: str, today: datetime) -> None:
     history = read_table(store.spark, store.history(domain))
     aged = history.filter((F.col("LoadDate") < move) & (F.col("LoadDate") >= drop))
     if table_exists(store.spark, store.archive(domain)):
-        writer = aged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(store.archive(domain))
+        overwrite_partitions(aged, store.archive(domain))
         drop_partitions(store.spark, store.archive(domain), "LoadDate", drop)
     else:
         write_table(aged, store.archive(domain), partition_by=["LoadDate"])

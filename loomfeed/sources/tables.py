@@ -63,6 +63,22 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace just the partitions of a table that ``df`` has rows for.
+
+    ``insertInto`` takes the mode from the session only; without it the whole table would go.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        columns = spark.table(name).columns
+        df.select(*columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def drop_partitions(spark: SparkSession, name: str, column: str, before: str) -> None:
     """Drop the partitions of a table whose (text) value lies before the limit.
 
