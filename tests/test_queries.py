@@ -31,6 +31,9 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, duck, name):
     frame = entry.queries()[name](spark, FOLDER)
     columns = sorted(frame.columns)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin"):
+        assert unwanted not in plan
     ours = Counter(tuple(r) for r in frame.select(*columns).collect())
     result = duck.execute(entry.oracle_sql()[name])
     names = [d[0] for d in result.description]
