@@ -63,6 +63,12 @@ def lookback_start(as_of: Column | date | str, months: int) -> Column:
     return F.add_months(F.trunc(day(as_of), "MM"), -months)
 
 
+def default_start(today: date, months: int = DEFAULT_LOOKBACK) -> datetime:
+    """Last extract time assumed when none is recorded: a month start, as in lookbacks."""
+    month = today.year * 12 + today.month - 1 - months
+    return datetime(month // 12, month % 12 + 1, 1)
+
+
 def within_lookback(
     value: Column | str, months: int, as_of: Column | date | str, open_ended: bool = False
 ) -> Column:

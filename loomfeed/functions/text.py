@@ -6,22 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# The two strip patterns (files only lose a tab that a space follows, history
-# loses every tab) and the characters removed from free text.
-FILE_STRIP = r"^\s+|\s+$|\t+ "
-HISTORY_STRIP = r"^\s+|\s+$|\t+"
+# What counts as white space, and the characters removed from free text.
+WHITESPACE = " \t\n\u000B\f\r"
 UNPRINTABLE = "[\\u0000-\\u001F|\\u00A0-\\u00FF\\uFFF0-\\uFFFF]"
+# Files lose a run of tabs that a space follows, together with the space; history loses all tabs.
+FILE, HISTORY = "file", "history"
 
 
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def clean_strings(df: DataFrame, pattern: str = FILE_STRIP) -> DataFrame:
-    """Apply ``pattern`` to every string column in one projection; other types pass through."""
+def clean(value: Column | str, target: str = FILE) -> Column:
+    """Strip white space at both ends and remove tabs as ``target`` wants it."""
+    trimmed = F.btrim(as_column(value), F.lit(WHITESPACE))
+    if target == HISTORY:
+        return F.replace(trimmed, F.lit("\t"), F.lit(""))
+    # Starting only at the first tab of a run keeps long runs linear.
+    return F.regexp_replace(trimmed, "(?<!\t)\t++ ", "")
+
+
+def clean_strings(df: DataFrame, target: str = FILE) -> DataFrame:
+    """Clean every string column in one projection; other types pass through."""
     return df.select(
         *[
-            F.regexp_replace(field.name, pattern, "").alias(field.name)
+            clean(F.col(field.name), target).alias(field.name)
             if isinstance(field.dataType, StringType)
             else F.col(field.name)
             for field in df.schema.fields

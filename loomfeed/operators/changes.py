@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,29 +14,24 @@ CHANGE = "_change_type"
 INSERT, UPDATE, BEFORE, GONE = "insert", "update_postimage", "update_preimage", "delete"
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Struct equality treats NULL fields as equal, and the one key column serves the uniqueness
-    # check and the join with a single shuffle.
-    return df.withColumn("__key", F.struct(*[F.col(k) for k in keys]))
-
-
-def one_per_key(df: DataFrame, order: Sequence[Column] | None, where: Column) -> DataFrame:
-    """One row per ``__key``: the first in ``order``, or an error when there are several.
-
-    Rows outside ``where`` pass through unchecked; their NULL keys match nothing.
-    """
-    ranking = order or [F.lit(1)]
-    window = Window.partitionBy("__key").orderBy(*ranking)
-    ranked = df.filter(where).withColumn("__rank", F.row_number().over(window))
+def one_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None
+) -> DataFrame:
+    """One row per key: the first in ``order``, or an error when there are several."""
+    window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
+    ranked = df.withColumn("__rank", F.row_number().over(window))
     if order:
         return ranked.filter(F.col("__rank") == 1).drop("__rank")
-    several = F.raise_error(
-        F.concat(F.lit("several source rows for one key: "), F.to_json("__key"))
-    ).cast("boolean")
-    checked = F.when(F.col("__rank") > 1, several).otherwise(F.lit(True))
+    key = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    several = F.raise_error(F.concat(F.lit("several source rows for one key: "), key))
+    checked = F.when(F.col("__rank") > 1, several.cast("boolean")).otherwise(F.lit(True))
     return ranked.filter((F.col("__rank") <= 2) & checked).drop("__rank")
 
 
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def _paired(
     old: DataFrame,
     new: DataFrame,
@@ -44,15 +40,18 @@ def _paired(
     null_safe: bool,
 ) -> DataFrame:
     """Full outer join of two states with one row per key; sides are ``old.*`` and ``new.*``."""
-    left = _keyed(old, keys).withColumn("__in", F.lit(True)).alias("old")
-    keyed = _keyed(new, keys)
-    complete = F.lit(True)
-    if not null_safe:
-        for key in keys:
-            complete = complete & F.col(key).isNotNull()
-    right = one_per_key(keyed, order, complete).withColumn("__in", F.lit(True))
-    matched = left.join(right.alias("new"), F.col("old.__key") == F.col("new.__key"), "full_outer")
-    return matched
+    on = list(keys)
+    if null_safe:
+        # Struct equality treats NULL fields as equal, and the one key column serves the
+        # uniqueness check and the join with a single shuffle.
+        key, on = F.struct(*[F.col(k) for k in keys]), ["__key"]
+        old, new = old.withColumn("__key", key), new.withColumn("__key", key)
+    else:
+        new = new.filter(_complete(keys))
+    left = old.withColumn("__in", F.lit(True)).alias("old")
+    right = one_per_key(new, on, order).withColumn("__in", F.lit(True)).alias("new")
+    matches = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in on]
+    return left.join(right, reduce(lambda a, b: a & b, matches), "full_outer")
 
 
 def upsert_by_fingerprint(
@@ -72,7 +71,7 @@ def upsert_by_fingerprint(
 
     Several source rows for a key raise an error unless ``order`` says which one counts. NULL
     key parts match each other; with ``null_safe=False`` a source row with a NULL key part never
-    matches and is added on every run.
+    matches and is added on every run, and a target bucketed by its keys is not shuffled.
     """
     paired = _paired(target.drop(CHANGE), source, keys, order, null_safe)
     is_new = F.col("old.__in").isNull()
@@ -89,10 +88,7 @@ def upsert_by_fingerprint(
     )
     if null_safe:
         return state
-    incomplete = F.lit(False)
-    for key in keys:
-        incomplete = incomplete | F.col(key).isNull()
-    unmatched = source.filter(incomplete).withColumn(CHANGE, F.lit(INSERT))
+    unmatched = source.filter(~_complete(keys)).withColumn(CHANGE, F.lit(INSERT))
     return state.unionByName(unmatched)
 
 

@@ -28,28 +28,33 @@ def advance_watermark(
     control: DataFrame,
     domain: str,
     to: datetime | Column | None = None,
-    keep_previous: bool = True,
+    previous: datetime | Column | None = None,
+    keep_previous: bool = False,
 ) -> DataFrame:
-    """Set the last time of ``domain``, remembering the old one as previous.
+    """Set the last time of ``domain``, and the previous one to its old last time.
 
-    Without ``to``, the time of the in-scope domain is taken over.
+    Without ``to``, the time of the in-scope domain is taken over. ``previous`` sets another
+    previous time; ``keep_previous`` leaves it as it is.
     """
     own = F.col("file_name") == domain
-    if to is None:
-        to = watermark(control)
-    time = to if isinstance(to, Column) else dates.timestamp(to)
     dtype = control.schema["last_extract_dt"].dataType
-    last = F.when(own, time.cast(dtype)).otherwise(F.col("last_extract_dt"))
-    previous = F.col("previous_last_extract_dt")
-    if keep_previous:
-        previous = F.when(own, F.col("last_extract_dt")).otherwise(previous)
+    time = _time(watermark(control) if to is None else to).cast(dtype)
+    last = F.when(own, time).otherwise(F.col("last_extract_dt"))
+    before = F.col("previous_last_extract_dt")
+    if not keep_previous:
+        old = F.col("last_extract_dt") if previous is None else _time(previous).cast(dtype)
+        before = F.when(own, old).otherwise(before)
     return control.select(
         "file_name",
         last.alias("last_extract_dt"),
-        previous.alias("previous_last_extract_dt"),
+        before.alias("previous_last_extract_dt"),
         *[
             c
             for c in control.columns
             if c not in ("file_name", "last_extract_dt", "previous_last_extract_dt")
         ],
     )
+
+
+def _time(value: datetime | Column) -> Column:
+    return value if isinstance(value, Column) else dates.timestamp(value)

@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import HISTORY_STRIP, clean_strings
+from ..functions.text import HISTORY, clean_strings
 
 # Days a row stays in the history, and days until the archive drops it.
 HISTORY_DAYS = 365
@@ -24,7 +24,7 @@ def history_rows(df: DataFrame, filename: str, loaded_at: datetime) -> DataFrame
             "LoadDate": F.lit(loaded_at.strftime("%Y%m%d")),
         }
     )
-    return clean_strings(stamped, HISTORY_STRIP)
+    return clean_strings(stamped, HISTORY)
 
 
 def append_history(history: DataFrame, rows: DataFrame) -> DataFrame:

@@ -83,6 +83,8 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
         cohort_members(config, inputs.cohort),
         [("source_patient_id", "source_patient_id"), ("tenant_sk", "tenant_sk")],
         until=("serv_from_dt", "lasteligenddate"),
+        spread_by=["claim_header_sk"],
+        salts=config.salts,
     )
     alive = F.col("del_ind") == 0
     header = [("claim_header_sk", "claim_header_sk")]

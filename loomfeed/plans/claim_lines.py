@@ -73,6 +73,8 @@ def claim_line_source(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
         [("claim_header_sk", "claim_header_sk"), ("tenant_sk", "cohort_tenant")],
         {"header_upd_dt": "aud_upd_dt"},
         how="inner",
+        spread_by=["claim_detail_sk"],
+        salts=config.salts,
     )
     # Only a recently updated procedure can bring in a line that is not recent by itself, so the
     # join is limited to those on both sides.

@@ -18,6 +18,8 @@ class RunConfig:
     ``tenants`` and ``sources`` limit the facts (``sources="All"`` takes every source system).
     ``as_of`` is the day lookbacks count from. ``project`` picks the cohort rows, ``system`` and
     ``status_set`` the rows of the code map. ``model`` is the source data model of the market.
+    ``salts`` splits the facts of each claim or patient over that many partitions in the joins
+    that collect them, for markets where one of them holds a large share.
     """
 
     market: str
@@ -32,6 +34,7 @@ class RunConfig:
     consumer: str = ""
     run_type: str = "Delta"
     file_prefix: str = ""
+    salts: int = 1
 
     def __post_init__(self) -> None:
         if self.model not in (STANDARD, EXTENDED):

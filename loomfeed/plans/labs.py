@@ -145,6 +145,8 @@ def lab_source(config: RunConfig, inputs: LabInputs) -> DataFrame:
             "__last_day": "last_day",
         },
         how="inner",
+        spread_by=["LAB_RESULT_SK"],
+        salts=config.salts,
     ).filter(F.col("LAB_RESULT_OBSERVATION_DATE") <= F.col("__last_day"))
     latest = latest_per_key(
         results,

@@ -8,9 +8,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..operators.changes import CHANGE, reset_published
-from ..operators.control import INSCOPE, advance_watermark, read_watermark
-from ..operators.history import ARCHIVE_DAYS, HISTORY_DAYS, cutoff, history_rows
+from ..operators.control import advance_watermark, read_watermark
+from ..operators.history import (
+    ARCHIVE_DAYS,
+    HISTORY_DAYS,
+    cutoff,
+    history_rows,
+    rotate_extracts,
+)
 from ..sources.extract import write_extract
 from ..sources.snapshots import MERGE, REBUILD, has_snapshot, read_snapshot, write_snapshot
 from ..sources.tables import (
@@ -32,6 +39,8 @@ from .config import RunConfig, report_title
 from .eligibility import EligibilityInputs, eligibility
 from .labs import LabInputs, lab_current, lab_extract, lab_state
 
+INDEX = "Filename string, folder string"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -100,6 +109,22 @@ def age_history(store: Store, domain: str, today: datetime) -> None:
     drop_partitions(store.spark, store.history(domain), "LoadDate", move)
 
 
+def index_extract(
+    store: Store, config: RunConfig, label: str, report: str, now: datetime
+) -> None:
+    """List the new extract as current and the earlier ones of its kind as archived."""
+    prefixes = [f"{config.file_prefix}_{run}_{label}_" for run in ("Hist", config.run_type)]
+    entry = store.spark.createDataFrame([(report, store.extract(report))], INDEX)
+    listed = previous_state(store, "extracts", entry.withColumn("place", F.lit("")))
+    is_current = F.col("place") == "current"
+    current, archived = rotate_extracts(
+        listed.filter(is_current), listed.filter(~is_current), prefixes
+    )
+    archived = archived.withColumn("place", F.lit("archive"))
+    fresh = entry.withColumn("place", F.lit("current"))
+    save_state(store, "extracts", current.unionByName(archived).unionByName(fresh), now)
+
+
 def publish(
     store: Store,
     config: RunConfig,
@@ -108,15 +133,21 @@ def publish(
     history: DataFrame,
     delta: DataFrame,
     now: datetime,
+    last: datetime | None = None,
+    keep_previous: bool = False,
 ) -> DataFrame:
-    """Write the file, append the history and move the control time; returns the history."""
+    """Write the file, append the history and move the control time; returns the history.
+
+    ``last`` replaces the domain's own last extract time in the file name and as previous time.
+    """
     control = read_snapshot(store.spark, store.control)
-    last = read_watermark(control, domain) or now
-    current = read_watermark(control, INSCOPE) or now
-    report = report_title(config, label, last, current)
+    start = last or read_watermark(control, domain) or dates.default_start(config.as_of)
+    report = report_title(config, label, start, read_watermark(control) or now)
     write_extract(delta, store.extract(report))
+    index_extract(store, config, label, report, now)
     recorded = record_history(store, domain, history, f"{report}.txt", now)
-    write_snapshot(advance_watermark(control, domain), store.control, now)
+    moved = advance_watermark(control, domain, previous=last, keep_previous=keep_previous)
+    write_snapshot(moved, store.control, now)
     return recorded
 
 
@@ -125,7 +156,16 @@ def run_eligibility(
 ) -> None:
     result = eligibility(config, inputs)
     save_state(store, "eligibility", result.source, now, REBUILD)
-    publish(store, config, "eligibility", "Eligibility", result.history, result.delta, now)
+    publish(
+        store,
+        config,
+        "eligibility",
+        "Eligibility",
+        result.history,
+        result.delta,
+        now,
+        keep_previous=True,
+    )
 
 
 def run_labs(store: Store, config: RunConfig, inputs: LabInputs, now: datetime) -> None:
@@ -152,8 +192,10 @@ def run_claim_headers(
     classified = claim_header_state(config, inputs, previous, lines)
     state = save_state(store, "medclaim_header", classified, now)
     line = claim_line_extract(config, state, lines)
+    # Both files are named after the last header run.
+    last = read_watermark(read_snapshot(store.spark, store.control), "medclaim_header")
     recorded = publish(
-        store, config, "medclaim_details", "MedClaim_D", line.history, line.delta, now
+        store, config, "medclaim_details", "MedClaim_D", line.history, line.delta, now, last
     )
     header = claim_header_extract(config, inputs, state, line, recorded)
     publish(store, config, "medclaim_header", "MedClaim_H", header.history, header.delta, now)

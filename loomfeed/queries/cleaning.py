@@ -33,12 +33,12 @@ def _padded_sql(pattern: str) -> str:
 
 @query(_padded_sql(r"^\s+|\s+$|\t+ "))
 def string_cleanup_extract(t: Tables) -> DataFrame:
-    return _padded(t, text.FILE_STRIP)
+    return _padded(t, text.FILE)
 
 
 @query(_padded_sql(r"^\s+|\s+$|\t+"))
 def string_cleanup_history(t: Tables) -> DataFrame:
-    return _padded(t, text.HISTORY_STRIP)
+    return _padded(t, text.HISTORY)
 
 
 @query(

@@ -326,7 +326,7 @@ def watermark_cycle(t: Tables) -> DataFrame:
         F.max("ts").alias("last_extract_dt"), F.min("ts").alias("previous_last_extract_dt")
     )
     control = advance_watermark(control, "click")
-    control = advance_watermark(control, "view", keep_previous=False)
+    control = advance_watermark(control, "view", keep_previous=True)
     control = advance_watermark(control, "error", to=datetime(2024, 2, 1, 6))
     pattern = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return control.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import FILE_STRIP, clean_strings
+from ..functions.text import FILE, clean_strings
 from .tables import read_delimited
 
 # Field separator and file extension.
@@ -15,7 +15,7 @@ EXTENSION = "txt"
 
 def extract_rows(df: DataFrame) -> DataFrame:
     """Rows as they go into the file: cleaned strings under upper-case names."""
-    cleaned = clean_strings(df, FILE_STRIP)
+    cleaned = clean_strings(df, FILE)
     return cleaned.select(*[F.col(c).alias(c.upper()) for c in cleaned.columns])
 
 

@@ -199,7 +199,7 @@ def test_watermark_cycle(spark):
     assert control.read_watermark(table, "nothing") is None
     moved = control.advance_watermark(table, "lab_result")
     assert rows(moved) == [("inscope_patient", second, None), ("lab_result", second, first)]
-    set_to = control.advance_watermark(table, "lab_result", to=datetime(2024, 3, 1, 5), keep_previous=False)
+    set_to = control.advance_watermark(table, "lab_result", to=datetime(2024, 3, 1, 5), keep_previous=True)
     assert control.read_watermark(set_to, "lab_result") == datetime(2024, 3, 1, 5)
 
 

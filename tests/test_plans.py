@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomfeed.functions import dates
 from loomfeed.operators import changes, joins, shape
+from loomfeed.sources import tables
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -46,6 +47,18 @@ def test_upsert_shuffles_each_side_once(orders, no_broadcast):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_a_state_bucketed_by_its_keys_stays_where_it_is(spark, orders, no_broadcast):
+    keyed = orders.withColumn("HASH", F.md5("o_orderstatus"))
+    tables.write_table(keyed, "orders_state", "overwrite", bucket_by=["o_orderkey"], buckets=4)
+    merged = changes.upsert_by_fingerprint(
+        spark.table("orders_state"), keyed, ["o_orderkey"], null_safe=False
+    )
+    text = plan(merged.filter("o_orderkey IS NOT NULL"))
+    tables.drop_table(spark, "orders_state")
+    assert text.count("FullOuter") == 1
+    assert text.count("Exchange hashpartitioning") == 1
+
+
 def test_classification_is_one_join_over_grouped_lines(orders, spark, no_broadcast):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select(
         F.col("l_orderkey").alias("CLAIM_NUMBER"), F.lit("insert").alias("_change_type")

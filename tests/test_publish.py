@@ -73,7 +73,7 @@ def test_eligibility_run(spark, store):
     source = read_snapshot(spark, store.state("eligibility"))
     assert source.count() == 3
     control = {r.file_name: tuple(r)[1:] for r in read_snapshot(spark, store.control).collect()}
-    assert control["eligibility"] == (day("2024-06-01"), day("2024-05-01"))
+    assert control["eligibility"] == (day("2024-06-01"), day("2024-04-01"))
     assert control["lab_result"] == (day("2024-05-01"), day("2024-04-01"))
 
 
@@ -147,7 +147,8 @@ def test_lab_names_by_model(spark):
     assert rows(lab_extract(extended, state).delta, "PATIENT_NAME") == [("Lee,Ann",)]
 
 
-def test_claim_line_scope(spark):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_claim_line_scope(spark, salts):
     headers = [
         header(1),
         header(2, source_patient_id="P2"),
@@ -176,7 +177,8 @@ def test_claim_line_scope(spark):
         {"claim_procedure_sk": 2, "aud_upd_dt": day("2024-05-02"), "del_ind": 1},
         {"claim_procedure_sk": 3, "aud_upd_dt": day("2019-05-02")},
     ]
-    source = claim_line_source(CONFIG, line_inputs(spark, headers, details, procedures))
+    config = replace(CONFIG, salts=salts)
+    source = claim_line_source(config, line_inputs(spark, headers, details, procedures))
     assert rows(source, "CLAIM_DETAIL_SK") == [(11,), (13,), (72,), (82,)]
 
 
@@ -252,6 +254,14 @@ def test_claim_runs(spark, store):
     ]
     assert spark.table(store.history("medclaim_header")).count() == 9
 
+    index = read_snapshot(spark, store.state("extracts"))
+    assert rows(index, "Filename", "place") == [
+        ("NYFILE_Delta_MedClaim_D_240501_240601", "archive"),
+        ("NYFILE_Delta_MedClaim_D_240601_240601", "current"),
+        ("NYFILE_Delta_MedClaim_H_240501_240601", "archive"),
+        ("NYFILE_Delta_MedClaim_H_240601_240601", "current"),
+    ]
+
     # Nothing changed: nothing is sent.
     run_claims(spark, store, config, headers, details, later + timedelta(days=1))
     assert lines_of(store, "NYFILE_Delta_MedClaim_H_240601_240601") == []

@@ -71,6 +71,11 @@ def test_lookback_counts_from_the_month_start(spark, value, open_ended, kept):
     assert (df.filter(condition).count() == 1) is kept
 
 
+def test_default_start():
+    assert dates.default_start(date(2024, 6, 10)) == datetime(2021, 3, 1)
+    assert dates.default_start(date(2024, 3, 31)) == datetime(2020, 12, 1)
+
+
 def test_lookback_as_of():
     today = date(2024, 3, 5)
     assert dates.lookback_as_of(None, today) == today
@@ -95,13 +100,15 @@ def test_valid_date(spark, value, valid):
         ("a\t b", "ab", "a b"),
         ("\ta", "a", "a"),
         ("a\n", "a", "a"),
+        ("a \t \t b", "a b", "a   b"),
+        ("a\t\t\tb\t\t c", "a\t\t\tb" + "c", "ab c"),
         (None, None, None),
     ],
 )
 def test_both_strip_patterns(spark, value, file, history):
     df = spark.createDataFrame([(1, value)], "k int, v string")
     assert text.clean_strings(df).first() == (1, file)
-    assert text.clean_strings(df, text.HISTORY_STRIP).first() == (1, history)
+    assert text.clean_strings(df, text.HISTORY).first() == (1, history)
 
 
 def test_strip_nonprintable(spark):
