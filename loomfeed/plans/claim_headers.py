@@ -222,7 +222,10 @@ def _columns(config: RunConfig) -> dict[str, Column]:
         "ADMIT_SOURCE": trimmed("admit_src"),
         "DISCHARGE_STATUS": trimmed("disch_status"),
         "CAPPED_INDICATOR": codes.one_flag("statistical_ind"),
-        **{f"ICD_PROC_{n}": trimmed(f"icd_proc_{n}") for n in range(1, layouts.PROCEDURE_SLOTS + 1)},
+        **{
+            f"ICD_PROC_{n}": trimmed(f"icd_proc_{n}")
+            for n in range(1, layouts.PROCEDURE_SLOTS + 1)
+        },
         **{f"E_CODE_{n}": trimmed(f"e_code_{n}") for n in range(1, 4)},
         "ICD_CODE_TYPE": dates.code_era("serv_from_dt"),
         "SOURCE_PATIENT_ID": F.col("source_patient_id"),

@@ -116,7 +116,9 @@ def eligibility_source(config: RunConfig, inputs: EligibilityInputs) -> DataFram
 
 def _columns(config: RunConfig, inputs: EligibilityInputs) -> dict[str, Column | str]:
     ext = config.extended
-    start = inputs.start if ext and inputs.start is not None else dates.floor_date("record_start_dt")
+    start = dates.floor_date("record_start_dt")
+    if ext and inputs.start is not None:
+        start = inputs.start
     provider = codes.sentinel_default("enrollment_pcp_id", ("-1",), trim=False)
     if ext and inputs.provider is not None:
         provider = inputs.provider

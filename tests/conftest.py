@@ -16,6 +16,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("loomfeed-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
