@@ -369,8 +369,8 @@ def pad_and_limit(t: Tables) -> DataFrame:
     """
     SELECT event_id, strftime(ts, '%H:%M:%S.%g') AS at_time,
         strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS at_text,
-        CASE WHEN ts - to_years(CAST(floor(value) AS INTEGER)) < TIMESTAMP '2015-10-01' THEN 9 ELSE 0
-             END::BIGINT AS era,
+        CAST(CASE WHEN ts - to_years(CAST(floor(value) AS INTEGER)) < TIMESTAMP '2015-10-01'
+             THEN 9 ELSE 0 END AS BIGINT) AS era,
         CAST(TRY_CAST(CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(CAST(value AS
              DECIMAL(32, 2)) AS VARCHAR) END AS DECIMAL(32, 2)) AS DOUBLE) AS amount,
         CAST(CAST(value AS DECIMAL(32, 2)) AS VARCHAR) AS amount_text

@@ -34,6 +34,16 @@ from loomfeed.sources.snapshots import read_snapshot, write_snapshot
 DOMAINS = ("eligibility", "lab_result", "medclaim_details", "medclaim_header")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(spark):
+    """A handful of rows do not repay compiling code for a hundred columns."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 @pytest.fixture
 def store(spark, folder):
     database = "db_" + folder.rsplit("-", 1)[-1].lower()
