@@ -151,9 +151,14 @@ def _columns(config: RunConfig, inputs: EligibilityInputs) -> dict[str, Column |
     }
 
 
-def eligibility(config: RunConfig, inputs: EligibilityInputs) -> EligibilityExtract:
-    """The extract: cohort members only, defaults applied, tenants collapsed."""
-    source = eligibility_source(config, inputs)
+def eligibility(
+    config: RunConfig, inputs: EligibilityInputs, source: DataFrame | None = None
+) -> EligibilityExtract:
+    """The extract: cohort members only, defaults applied, tenants collapsed.
+
+    ``source`` is the stored result of ``eligibility_source``, if there is one.
+    """
+    source = eligibility_source(config, inputs) if source is None else source
     scoped = in_scope(
         source,
         inputs.cohort,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators.changes import CHANGE, reset_published
+from ..operators.changes import reset_published
 from ..operators.control import advance_watermark, read_watermark
 from ..operators.history import (
     ARCHIVE_DAYS,
@@ -19,7 +19,16 @@ from ..operators.history import (
     rotate_extracts,
 )
 from ..sources.extract import write_extract
-from ..sources.snapshots import MERGE, REBUILD, has_snapshot, read_snapshot, write_snapshot
+from ..sources.snapshots import (
+    MERGE,
+    REBUILD,
+    has_snapshot,
+    is_published,
+    mark_published,
+    read_snapshot,
+    write_snapshot,
+)
+from ..sources.staging import stage
 from ..sources.tables import (
     drop_partitions,
     overwrite_partitions,
@@ -29,6 +38,7 @@ from ..sources.tables import (
 )
 from .claim_headers import (
     ClaimHeaderInputs,
+    LineExtract,
     claim_header_current,
     claim_header_extract,
     claim_header_state,
@@ -36,7 +46,7 @@ from .claim_headers import (
 )
 from .claim_lines import ClaimLineInputs, claim_line_current, claim_line_state
 from .config import RunConfig, report_title
-from .eligibility import EligibilityInputs, eligibility
+from .eligibility import EligibilityInputs, eligibility, eligibility_source
 from .labs import LabInputs, lab_current, lab_extract, lab_state
 
 INDEX = "Filename string, folder string"
@@ -131,18 +141,22 @@ def publish(
     domain: str,
     label: str,
     history: DataFrame,
-    delta: DataFrame,
     now: datetime,
+    delta: DataFrame | None = None,
     last: datetime | None = None,
     keep_previous: bool = False,
 ) -> DataFrame:
     """Write the file, append the history and move the control time; returns the history.
 
+    The file holds the history rows without their tenant and source keys, unless ``delta`` says
+    otherwise.
     ``last`` replaces the domain's own last extract time in the file name and as previous time.
     """
     control = read_snapshot(store.spark, store.control)
     start = last or read_watermark(control, domain) or dates.default_start(config.as_of)
     report = report_title(config, label, start, read_watermark(control) or now)
+    history = stage(history, domain)
+    delta = history.drop("TENANT_SK", "SOURCE_SYSTEM_SK") if delta is None else delta
     write_extract(delta, store.extract(report))
     index_extract(store, config, label, report, now)
     recorded = record_history(store, domain, history, f"{report}.txt", now)
@@ -154,25 +168,15 @@ def publish(
 def run_eligibility(
     store: Store, config: RunConfig, inputs: EligibilityInputs, now: datetime
 ) -> None:
-    result = eligibility(config, inputs)
-    save_state(store, "eligibility", result.source, now, REBUILD)
-    publish(
-        store,
-        config,
-        "eligibility",
-        "Eligibility",
-        result.history,
-        result.delta,
-        now,
-        keep_previous=True,
-    )
+    source = save_state(store, "eligibility", eligibility_source(config, inputs), now, REBUILD)
+    history = eligibility(config, inputs, source).history
+    publish(store, config, "eligibility", "Eligibility", history, now, keep_previous=True)
 
 
 def run_labs(store: Store, config: RunConfig, inputs: LabInputs, now: datetime) -> None:
     previous = previous_state(store, "lab_result", lab_current(config, inputs))
     state = save_state(store, "lab_result", lab_state(config, inputs, previous), now)
-    result = lab_extract(config, state)
-    publish(store, config, "lab_result", "Lab", result.history, result.delta, now)
+    publish(store, config, "lab_result", "Lab", lab_extract(config, state).history, now)
 
 
 def run_claim_lines(
@@ -183,20 +187,29 @@ def run_claim_lines(
     return save_state(store, "medclaim_details", state, now)
 
 
+def previous_headers(store: Store, like: DataFrame) -> DataFrame:
+    """Header state before a run: classified changes that went out are cleared, others wait."""
+    state = previous_state(store, "medclaim_header", like)
+    sent = is_published(store.spark, store.state("medclaim_header"))
+    return reset_published(state) if sent else state
+
+
 def run_claim_headers(
     store: Store, config: RunConfig, inputs: ClaimHeaderInputs, now: datetime
 ) -> None:
     """Runs after the claim lines of the same run; sends both claim files."""
     lines = read_snapshot(store.spark, store.state("medclaim_details"))
-    previous = previous_state(store, "medclaim_header", claim_header_current(config, inputs))
+    previous = previous_headers(store, claim_header_current(config, inputs))
     classified = claim_header_state(config, inputs, previous, lines)
     state = save_state(store, "medclaim_header", classified, now)
     line = claim_line_extract(config, state, lines)
+    line = LineExtract(stage(line.history, "lines"), line.delta, stage(line.deleted, "deleted"))
     # Both files are named after the last header run.
     last = read_watermark(read_snapshot(store.spark, store.control), "medclaim_header")
     recorded = publish(
-        store, config, "medclaim_details", "MedClaim_D", line.history, line.delta, now, last
+        store, config, "medclaim_details", "MedClaim_D", line.history, now, last=last
     )
     header = claim_header_extract(config, inputs, state, line, recorded)
-    publish(store, config, "medclaim_header", "MedClaim_H", header.history, header.delta, now)
-    save_state(store, "medclaim_header", reset_published(state).drop(CHANGE), now)
+    delta = header.delta if config.run_type == "Hist" else None
+    publish(store, config, "medclaim_header", "MedClaim_H", header.history, now, delta)
+    mark_published(store.spark, store.state("medclaim_header"), now)

@@ -20,6 +20,8 @@ MAX_AGE_HOURS = 23
 MAX_AGE_HOURS_PRODUCTION = 2159
 
 REBUILD, MERGE = "REBUILD", "MERGE"
+# Logged for a version, in addition to the operation that wrote it, once its changes went out.
+PUBLISHED = "PUBLISHED"
 LOG_SCHEMA = "version long, committed_at timestamp_ntz, operation string"
 
 
@@ -63,11 +65,29 @@ def write_snapshot(
     last = latest_version(version_log(spark, root)).first()
     version = 1 if last is None else last.version + 1
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    entry = spark.createDataFrame([(version, committed_at, operation)], LOG_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    _log(spark, root, version, committed_at, operation)
     return version
 
 
+def _log(spark: SparkSession, root: str, version: int, at: datetime, operation: str) -> None:
+    entry = spark.createDataFrame([(version, at, operation)], LOG_SCHEMA)
+    entry.coalesce(1).write.mode("append").parquet(f"{root}/log")
+
+
+def mark_published(spark: SparkSession, root: str, at: datetime) -> None:
+    """Note that the changes of the current version went out; its files stay as they are."""
+    _log(spark, root, latest_version(version_log(spark, root)).first().version, at, PUBLISHED)
+
+
+def is_published(spark: SparkSession, root: str) -> bool:
+    log = version_log(spark, root)
+    last = latest_version(log).first()
+    if last is None:
+        return False
+    marks = log.filter((F.col("version") == last.version) & (F.col("operation") == PUBLISHED))
+    return marks.first() is not None
+
+
 def read_snapshot(spark: SparkSession, root: str, as_of: datetime | None = None) -> DataFrame:
     """The last version committed by ``as_of``, or the current one.
 

@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 
 from loomfeed.operators.rules import reference_list
 from loomfeed.plans import layouts, publish
-from loomfeed.plans.claim_headers import claim_header_source
+from loomfeed.plans.claim_headers import (
+    claim_header_current,
+    claim_header_source,
+    claim_header_state,
+)
 from loomfeed.plans.claim_lines import claim_line_source
 from loomfeed.plans.config import EXTENDED, RunConfig
 from loomfeed.plans.eligibility import eligibility
@@ -229,7 +233,8 @@ def test_claim_runs(spark, store):
     assert len(lines_of(store, "NYFILE_Delta_MedClaim_D_240501_240601")) == 5
     assert len(lines_of(store, "NYFILE_Delta_MedClaim_H_240501_240601")) == 4
     state = read_snapshot(spark, store.state("medclaim_header"))
-    assert {r.UPDATE_TYPE for r in state.collect()} == {""}
+    assert {r.UPDATE_TYPE for r in state.collect()} == {"ORIGINAL"}
+    assert {r.UPDATE_TYPE for r in publish.previous_headers(store, state).collect()} == {""}
 
     # 1: a line changes. 2: the header changes. 3: backout with changed line. 4: deleted.
     # 5: new. A line of 1 that is gone from the source stays in the state and is sent.
@@ -278,6 +283,18 @@ def test_claim_runs(spark, store):
     assert lines_of(store, "NYFILE_Delta_MedClaim_D_240601_240601") == []
 
 
+def test_changes_of_an_interrupted_run_go_out_with_the_next(spark, store):
+    headers, details = [header(1)], [detail(10, 1, 1)]
+    publish.run_claim_lines(store, CONFIG, line_inputs(spark, headers, details), NOW)
+    inputs = header_inputs(spark, headers, details)
+    current = claim_header_current(CONFIG, inputs)
+    lines = read_snapshot(spark, store.state("medclaim_details"))
+    classified = claim_header_state(CONFIG, inputs, current.limit(0), lines)
+    publish.save_state(store, "medclaim_header", classified, NOW)  # and nothing after it
+    kept = publish.previous_headers(store, current)
+    assert rows(kept, "CLAIM_NUMBER", "UPDATE_TYPE") == [("20-C1", "ORIGINAL")]
+
+
 def test_historic_run_records_deletes_without_sending_them(spark, store):
     config = replace(CONFIG, run_type="Hist")
     headers = [header(1), header(2, del_ind=1)]
