@@ -1,0 +1,50 @@
+"""The operators on the benchmark tables, with SQL where it can say the same."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..session import tune
+from .exact_dedup import exact_groups
+from .simhash import simhash_groups
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable:
+    QUERIES[function.__name__] = lambda spark, folder: function(tune(spark), folder)
+    return function
+
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+@query
+def op6_exact_dedup(spark, folder):
+    return exact_groups(_table(spark, folder, "documents"))
+
+
+SQL["op6_exact_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+  FROM documents
+), w AS (
+  SELECT doc_id, body,
+         first_value(doc_id) OVER (PARTITION BY body ORDER BY length(t) DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY body) AS group_size
+  FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM w
+"""
+
+
+@query
+def op2_simhash(spark, folder):
+    groups = simhash_groups(_table(spark, folder, "documents"))
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return groups.select("doc_id", hexed.alias("fingerprint"), "component_id")
