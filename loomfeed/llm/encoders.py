@@ -1,0 +1,205 @@
+"""Token ids of whole texts by the tokenizers library, each distinct piece encoded once.
+
+Both encoders cut a text only where the tokenizer itself cuts it in any context, so the ids of the
+pieces put together are the ids of the text. Texts for which that is not certain are encoded whole.
+"""
+
+from __future__ import annotations
+
+import re
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer
+
+from .text import distinct, gather, starts, words
+
+# Pieces a worker remembers from one batch to the next; the memory is emptied beyond that.
+REMEMBERED = 400_000
+# Any white space, and the separators that some libraries count as such.
+_WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_UNSURE = rf"{_WS}{_WS}|[\t\x0b\f\r\x1c-\x1f\x{{85}}\x{{a0}}]|[^\x20\P{{Z}}]|^{_WS}|{_WS}$"
+
+
+class Pool:
+    """Ids of pieces in one array, found by the piece."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids = np.empty(1 << 16, np.int32)
+        self.begin = np.empty(1 << 14, np.int64)
+        self.size = np.empty(1 << 14, np.int64)
+        self.used = 0
+
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.place)
+        self.ids = _room(self.ids, self.used, len(ids))
+        self.begin, self.size = _room(self.begin, n, len(pieces)), _room(self.size, n, len(pieces))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.begin[n : n + len(pieces)] = self.used + starts(sizes)[:-1]
+        self.size[n : n + len(pieces)] = sizes
+        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.used += len(ids)
+
+
+def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    if used + more <= len(array):
+        return array
+    larger = np.empty(2 * (used + more), array.dtype)
+    larger[:used] = array[:used]
+    return larger
+
+
+class Encoder:
+    """``encode`` gives the ids of all texts in one array, and the number for each text."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = Tokenizer.from_file(path)
+        # A special token's string inside a text is ordinary text.
+        self.tokenizer.encode_special_tokens = True
+        self.pool = Pool()
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def known(self, pieces: list[str]) -> np.ndarray:
+        """The place in the pool of every piece; missing ones are encoded first."""
+        if len(self.pool.place) > REMEMBERED:
+            self.pool.clear()
+        missing = [p for p in pieces if p not in self.pool.place]
+        if missing:
+            self.pool.add(missing, *self.missing(missing))
+        return np.fromiter(map(self.pool.place.__getitem__, pieces), np.int64, len(pieces))
+
+    def _listed(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = [i for ids in lists for i in ids]
+        return np.array(flat, np.int32), sizes
+
+
+class ByteLevel(Encoder):
+    """Byte-level BPE whose pre-tokenizer attaches one space to the front of a word.
+
+    A text is cut before every space and line feed that stands between other characters.
+    """
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.feed = self.whole(["\n"])[0]
+
+    def missing(self, pieces):
+        # Pieces apart by line feeds are encoded as one text; a line feed stands alone in it.
+        if len(self.feed) != 1:
+            return self._listed([self._piece(p) for p in pieces])
+        line = self.feed[0]
+        bare = [p[1:] if p[0] == "\n" else p for p in pieces]
+        ids = np.array(self.whole(["x\n" + "\nx\n".join(bare) + "\nx"])[0], np.int32)
+        # x LF piece LF x LF piece LF x: every second gap between line feeds is a piece.
+        feeds = np.flatnonzero(ids == line)
+        begin, end = feeds[0::2] + 1, feeds[1::2]
+        lead = np.fromiter((p[0] == "\n" for p in pieces), bool, len(pieces))
+        begin = begin - lead  # the line feed before the piece is its own
+        sizes = end - begin
+        return ids[gather(begin, sizes)], sizes
+
+    def _piece(self, piece):
+        return self.whole([piece])[0]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        unsure = pc.match_substring_regex(texts, _UNSURE).to_numpy(zero_copy_only=False)
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        usual = ~(unsure | empty)
+        out_sizes = np.zeros(len(texts), np.int64)
+        parts: dict[bool, tuple[np.ndarray, np.ndarray]] = {}
+        if usual.any():
+            parts[True] = self._pieces(texts.filter(pa.array(usual)))
+            out_sizes[usual] = parts[True][1]
+        if unsure.any():
+            lists = self.whole(texts.filter(pa.array(unsure)).to_pylist())
+            parts[False] = self._listed(lists)
+            out_sizes[unsure] = parts[False][1]
+        flat = np.empty(int(out_sizes.sum()), np.int32)
+        at = starts(out_sizes)[:-1]
+        for is_usual, (ids, sizes) in parts.items():
+            flat[gather(at[usual if is_usual else unsure], sizes)] = ids
+        return flat, out_sizes
+
+    def _pieces(self, texts):
+        # A line feed before each text and each line marks words that have no space before them.
+        marked = pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        lists = pc.split_pattern(marked, " ")
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False) - 1
+        flat = lists.flatten()
+        # The first part of every text is empty and falls away.
+        keep = np.ones(len(flat), bool)
+        keep[starts(counts + 1)[:-1]] = False
+        code, values = distinct(flat.filter(pa.array(keep)))
+        names = [v if v[0] == "\n" else " " + v for v in values.to_pylist()]
+        place = self.known(names)[code]
+        begin, size = self.pool.begin[place], self.pool.size[place]
+        heads = starts(counts)[:-1]
+        begin[heads] += 1  # the first line feed is not in the text
+        size[heads] -= 1
+        return self.pool.ids[gather(begin, size)], np.add.reduceat(size, heads)
+
+
+class WordLevel(Encoder):
+    """BPE with word ends whose pre-tokenizer drops white space and lower-cases."""
+
+    _PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.model = self.tokenizer.model
+        self.parts: dict[str, list[int]] = {}
+
+    def missing(self, pieces):
+        plain = [p.isascii() and p.isprintable() for p in pieces]
+        rest = iter(self.whole([p for p, ok in zip(pieces, plain, strict=True) if not ok]))
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
+        return self._listed(
+            [self._plain(p) if ok else next(rest) for p, ok in zip(pieces, plain, strict=True)]
+        )
+
+    def _plain(self, piece):
+        """Printable ASCII is its own byte-level form; only the pre-tokens are left to find."""
+        out = []
+        for part in self._PRE.findall(piece):
+            ids = self.parts.get(part)
+            if ids is None:
+                ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
+            out += ids
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat, counts = words(pc.ascii_lower(texts))
+        if not len(flat):
+            return np.empty(0, np.int32), counts
+        code, values = distinct(flat)
+        place = self.known(values.to_pylist())[code]
+        begin, size = self.pool.begin[place], self.pool.size[place]
+        total = starts(size)[starts(counts)]
+        return self.pool.ids[gather(begin, size)], np.diff(total)
+
+
+@lru_cache(maxsize=4)
+def byte_level(path: str) -> ByteLevel:
+    return ByteLevel(path)
+
+
+@lru_cache(maxsize=4)
+def word_level(path: str) -> WordLevel:
+    return WordLevel(path)
+
+
+def ended(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """``end`` appended to every text's ids."""
+    out = np.full(len(ids) + len(sizes), end, np.int32)
+    out[gather(starts(sizes + 1)[:-1], sizes)] = ids
+    return out, sizes + 1

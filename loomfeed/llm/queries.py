@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import tune
 from .exact_dedup import exact_groups
+from .packing import pack_documents
 from .simhash import simhash_groups
+from .token_planes import read_documents, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +51,26 @@ def op2_simhash(spark, folder):
     groups = simhash_groups(_table(spark, folder, "documents"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+@query
+def op7_token_planes(spark, folder):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return read_documents(spark, write_tokens(_table(spark, folder, "documents"), path, end=2))
+
+
+@query
+def op8_packing(spark, folder):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = pack_documents(_table(spark, folder, "documents"), path, end=1)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "window",
+        "step_group",
+    )
