@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import tune
 from .exact_dedup import exact_groups
 from .packing import pack_documents
+from .ship import ship
 from .simhash import simhash_groups
+from .substring import remove_repeats
 from .token_planes import read_documents, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +20,7 @@ SQL: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable:
-    QUERIES[function.__name__] = lambda spark, folder: function(tune(spark), folder)
+    QUERIES[function.__name__] = lambda spark, folder: function(ship(tune(spark)), folder)
     return function
 
 
@@ -74,3 +76,8 @@ def op8_packing(spark, folder):
         "window",
         "step_group",
     )
+
+
+@query
+def op9_substring(spark, folder):
+    return remove_repeats(_table(spark, folder, "documents"), digest=True)

@@ -74,3 +74,50 @@ def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
     )
+
+
+# Fixed odd multipliers for hashing; any others would do as well.
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+BASES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+# Words hashed at once.
+_AT_ONCE = 1 << 19
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _MIX
+    x = (x ^ (x >> np.uint64(29))) * _STEP
+    return x ^ (x >> np.uint64(32))
+
+
+def word_hashes(flat: pa.StringArray, base: np.uint64) -> np.ndarray:
+    """A 64-bit hash of every word (none of them empty)."""
+    out = np.empty(len(flat), np.uint64)
+    for begin in range(0, len(flat), _AT_ONCE):
+        part = flat.slice(begin, _AT_ONCE)
+        ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(part.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        sizes = np.diff(ends).astype(np.int64)
+        powers = np.cumprod(np.full(int(sizes.max(initial=1)), base))
+        value = powers[within(sizes)]
+        value *= data + np.uint64(1)
+        total = np.add.reduceat(value, (ends[:-1] - ends[0]).astype(np.int64))
+        out[begin : begin + len(part)] = mixed(total + sizes.astype(np.uint64) * _STEP)
+    return out
+
+
+def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """For each place the hash of the ``size`` values from there on, by doubling."""
+    done, width, double, reach = None, 0, hashes, 1
+    while size:
+        if size & 1:
+            if done is None:
+                done, width = double, reach
+            else:
+                n = max(0, len(double) - width)
+                done, width = mixed(done[:n] * _STEP + double[width : width + n]), width + reach
+        size >>= 1
+        if size:
+            n = max(0, len(double) - reach)
+            double, reach = mixed(double[:n] * _STEP + double[reach : reach + n]), 2 * reach
+    return done
