@@ -12,6 +12,7 @@ from .exact_dedup import exact_groups
 from .packing import pack_documents
 from .ship import ship
 from .simhash import simhash_groups
+from .spherical import vector_groups
 from .substring import remove_repeats
 from .token_planes import read_documents, write_tokens
 
@@ -81,3 +82,8 @@ def op8_packing(spark, folder):
 @query
 def op9_substring(spark, folder):
     return remove_repeats(_table(spark, folder, "documents"), digest=True)
+
+
+@query
+def op10_spherical_caps(spark, folder):
+    return vector_groups(_table(spark, folder, "embeddings"))
