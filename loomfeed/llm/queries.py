@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import tune
 from .exact_dedup import exact_groups
+from .language import identify, learn_languages
 from .packing import pack_documents
 from .ship import ship
 from .simhash import simhash_groups
@@ -29,6 +30,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(n: int):
+    """The checksum of the id as text, modulo ``n``; an id that is null counts as empty."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+@query
+def op1_language_id(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = learn_languages(docs.where(remainder(4) != 2).select("text", "lang"))
+    found = identify(docs, model)
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_exact_dedup(spark, folder):
     return exact_groups(_table(spark, folder, "documents"))
