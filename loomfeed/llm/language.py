@@ -78,15 +78,18 @@ class Grams:
         place = within(self.count)
         c, b = marked[end], marked[end - 1]
         a = np.where(place > 0, marked[np.maximum(end - 2, 0)], 1)
-        one = (c * 0x9E3779B1) & 0xFFFFFFFF
-        two = (one ^ (b * 0x85EBCA77 & 0xFFFFFFFF)) * 0xC2B2AE3D & 0xFFFFFFFF
-        three = (two ^ (a * 0x27D4EB2F & 0xFFFFFFFF)) * 0x165667B1 & 0xFFFFFFFF
-        own = (b * 0x9E3779B1) & 0xFFFFFFFF
-        pair = (own ^ (a * 0x85EBCA77 & 0xFFFFFFFF)) * 0xC2B2AE3D & 0xFFFFFFFF
-        fold = lambda x, n: (x >> 7) % SLOTS[n]
-        self.grams = [fold(one, 0), fold(two, 1), fold(three, 2)]
-        # What stands before the last character: nothing, one character, two.
-        self.contexts = [fold(own, 0), fold(pair, 1)]
+        self.grams, self.contexts = slots_of(a, b, c)
+
+
+def slots_of(a: np.ndarray, b: np.ndarray, c: np.ndarray):
+    """Slots of the grams that end with ``c``, and of what stands before it: b, and a b."""
+    one = (c * 0x9E3779B1) & 0xFFFFFFFF
+    two = (one ^ (b * 0x85EBCA77 & 0xFFFFFFFF)) * 0xC2B2AE3D & 0xFFFFFFFF
+    three = (two ^ (a * 0x27D4EB2F & 0xFFFFFFFF)) * 0x165667B1 & 0xFFFFFFFF
+    own = (b * 0x9E3779B1) & 0xFFFFFFFF
+    pair = (own ^ (a * 0x85EBCA77 & 0xFFFFFFFF)) * 0xC2B2AE3D & 0xFFFFFFFF
+    fold = lambda x, n: (x >> 7) % SLOTS[n]
+    return [fold(one, 0), fold(two, 1), fold(three, 2)], [fold(own, 0), fold(pair, 1)]
 
 
 def letters(values: pa.Array) -> pa.Array:
@@ -102,7 +105,7 @@ COUNTS = pa.schema(
 CONTEXT, SCRIPT = 3, 5
 
 
-def _counter(batches):
+def count_grams(batches):
     sizes = [*SLOTS, *SLOTS[:2], N_SCRIPTS]
     totals: dict[str, list[np.ndarray]] = {}
     for rows in slices(batches):
@@ -140,6 +143,21 @@ class LanguageModel:
     # whether the text begins with it, and whether it ends with it.
     chance: np.ndarray | None = None
 
+    def chance_of(self, a: int, b: int, c: int) -> float:
+        """Probability of character ``c`` after ``a`` and ``b`` in the first language."""
+        grams, contexts = slots_of(*(np.array([x], np.int64) for x in (a, b, c)))
+        one, two, three = (float(t[0][g[0]]) for t, g in zip(self.grams, grams, strict=True))
+        single, pair = (float(t[0][g[0]]) for t, g in zip(self.contexts, contexts, strict=True))
+        p = (one + 0.1) / (self.total + 0.1 * 4096)
+        p = (two + BACKOFF * p) / (single + BACKOFF)
+        return (three + BACKOFF * p) / (pair + BACKOFF)
+
+    @property
+    def total(self) -> float:
+        if not hasattr(self, "_total"):
+            self._total = float(self.grams[0][0].sum()) if self.langs else 0.0
+        return self._total
+
     def labelled(self, texts: pa.Array, switch: float):
         """Words' languages, texts' word counts, letters of each text in each language, and the
         chance of each language to be the text's."""
@@ -190,6 +208,17 @@ class LanguageModel:
         return out, grams.size
 
 
+def tables_of(counts) -> LanguageModel:
+    """A model from a pandas table of summed counts."""
+    langs = sorted(counts["lang"].unique())
+    tables = [np.zeros((len(langs), n)) for n in (*SLOTS, *SLOTS[:2], N_SCRIPTS)]
+    for (lang, kind), part in counts.groupby(["lang", "kind"]):
+        tables[kind][langs.index(lang), part["slot"]] = part["n"]
+    scripts = tables[SCRIPT] >= SCRIPT_SHARE * np.maximum(tables[SCRIPT].sum(axis=1, keepdims=True), 1)
+    scripts &= tables[SCRIPT] > 0
+    return LanguageModel(langs, tables[:CONTEXT], tables[CONTEXT:SCRIPT], scripts)
+
+
 def learn_languages(rows: DataFrame) -> LanguageModel:
     """A model of (text, lang) from every row with a language.
 
@@ -197,16 +226,10 @@ def learn_languages(rows: DataFrame) -> LanguageModel:
     languages and ``SLOTS``, whatever the number of rows.
     """
     known = rows.where("lang IS NOT NULL").select("text", "lang")
-    counts = known.mapInArrow(_counter, COUNTS_DDL)
+    counts = known.mapInArrow(count_grams, COUNTS_DDL)
     counts = counts.groupBy("lang", "kind", "slot").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(counts["lang"].unique())
-    tables = [np.zeros((len(langs), n)) for n in (*SLOTS, *SLOTS[:2], N_SCRIPTS)]
-    for (lang, kind), part in counts.groupby(["lang", "kind"]):
-        tables[kind][langs.index(lang), part["slot"]] = part["n"]
-    scripts = tables[SCRIPT] >= SCRIPT_SHARE * np.maximum(tables[SCRIPT].sum(axis=1, keepdims=True), 1)
-    scripts &= tables[SCRIPT] > 0
-    model = LanguageModel(langs, tables[:CONTEXT], tables[CONTEXT:SCRIPT], scripts)
-    if langs:
+    model = tables_of(counts)
+    if model.langs:
         model.chance = _calibrated(known, model)
     return model
 

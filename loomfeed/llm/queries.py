@@ -16,6 +16,7 @@ from .simhash import simhash_groups
 from .spherical import vector_groups
 from .substring import remove_repeats
 from .token_planes import read_documents, write_tokens
+from .toxicity import learn_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +102,17 @@ def op9_substring(spark, folder):
 @query
 def op10_spherical_caps(spark, folder):
     return vector_groups(_table(spark, folder, "embeddings"))
+
+
+@query
+def op4_toxicity(spark, folder):
+    docs = _table(spark, folder, "documents")
+    labels = _table(spark, folder, "labels").where(remainder(3) != 1)
+    model = learn_toxicity(docs.where(remainder(3) != 1), labels)
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
