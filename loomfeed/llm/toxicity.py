@@ -25,7 +25,7 @@ PREFIXES = (4, 5)
 # Share of a sign's documents in which it must stand between other words than before.
 VARIED = 0.5
 # Cost in nats of reading a symbol as a letter, of dropping one, and of a double letter read as one.
-LEET, DROP, SINGLE = 0.5, 7.0, 1.5
+LEET, DROP, SINGLE = 0.5, 12.0, 3.0
 
 # Letters that a symbol may stand for.
 LOOKALIKES = {
@@ -69,9 +69,8 @@ class Decoder:
         if char.isalpha():
             if run == 1:
                 return [(char, 0.0)]
-            twice = 0.0 if run == 2 else SINGLE
-            return [(char, SINGLE if run == 2 else 0.0), (char * 2, twice)]
-        found = [(c, LEET) for c in LOOKALIKES.get(char, "")]
+            return [(char, SINGLE if run == 2 else 0.0), (char * 2, 0.0)]
+        found = [(c, LEET + (SINGLE if run == 2 else 0.0)) for c in LOOKALIKES.get(char, "")]
         if run > 1:
             found += [(c * 2, LEET) for c in LOOKALIKES.get(char, "")]
         drop = 0.0 if char in SEPARATORS and char != "*" else DROP
