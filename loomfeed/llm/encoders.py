@@ -6,53 +6,58 @@ pieces put together are the ids of the text. Texts for which that is not certain
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from tokenizers import Tokenizer
 
 from .text import distinct, gather, starts, words
 
-# Pieces a worker remembers from one batch to the next; the memory is emptied beyond that.
-REMEMBERED = 400_000
+# Pieces a worker remembers from one batch to the next; beyond that it keeps the more frequent half.
+REMEMBERED = 250_000
+# Pre-tokens a worker remembers; the memory is emptied beyond that.
+PARTS = 150_000
 # Any white space, and the separators that some libraries count as such.
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _UNSURE = rf"{_WS}{_WS}|[\t\x0b\f\r\x1c-\x1f\x{{85}}\x{{a0}}]|[^\x20\P{{Z}}]|^{_WS}|{_WS}$"
 
 
+def _byte_form() -> dict[int, str]:
+    """The character that stands for each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_FORM = _byte_form()
+
+
 class Pool:
     """Ids of pieces in one array, found by the piece."""
 
     def __init__(self) -> None:
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.int32)
-        self.begin = np.empty(1 << 14, np.int64)
-        self.size = np.empty(1 << 14, np.int64)
-        self.used = 0
+        self.ids = np.empty(0, np.int32)
+        self.begin = self.size = self.hits = np.empty(0, np.int64)
 
     def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n = len(self.place)
-        self.ids = _room(self.ids, self.used, len(ids))
-        self.begin, self.size = _room(self.begin, n, len(pieces)), _room(self.size, n, len(pieces))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.begin[n : n + len(pieces)] = self.used + starts(sizes)[:-1]
-        self.size[n : n + len(pieces)] = sizes
+        self.begin = np.concatenate([self.begin, len(self.ids) + starts(sizes)[:-1]])
+        self.size = np.concatenate([self.size, sizes])
+        self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int64)])
+        self.ids = np.concatenate([self.ids, ids])
         self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.used += len(ids)
-
 
-def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
-    if used + more <= len(array):
-        return array
-    larger = np.empty(2 * (used + more), array.dtype)
-    larger[:used] = array[:used]
-    return larger
+    def halve(self) -> None:
+        keep = np.sort(np.argsort(-self.hits, kind="stable")[: len(self.hits) // 2])
+        names = list(self.place)
+        self.place = {names[k]: i for i, k in enumerate(keep.tolist())}
+        self.ids = self.ids[gather(self.begin[keep], self.size[keep])]
+        self.size, self.hits = self.size[keep], self.hits[keep] // 2
+        self.begin = starts(self.size)[:-1]
 
 
 class Encoder:
@@ -62,19 +67,61 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # A special token's string inside a text is ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.pool = Pool()
+        self.parts: dict[str, list[int]] = {}
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def known(self, pieces: list[str]) -> np.ndarray:
-        """The place in the pool of every piece; missing ones are encoded first."""
-        if len(self.pool.place) > REMEMBERED:
-            self.pool.clear()
-        missing = [p for p in pieces if p not in self.pool.place]
-        if missing:
-            self.pool.add(missing, *self.missing(missing))
-        return np.fromiter(map(self.pool.place.__getitem__, pieces), np.int64, len(pieces))
+        """The place in the pool of every (distinct) piece; missing ones are encoded first."""
+        pool = self.pool
+        if len(pool.place) > REMEMBERED:
+            pool.halve()
+        find = pool.place.get
+        place = np.array([find(p, -1) for p in pieces], np.int64)
+        absent = np.flatnonzero(place < 0)
+        if len(absent):
+            n, missing = len(pool.place), [pieces[i] for i in absent.tolist()]
+            pool.add(missing, *self.missing(missing))
+            place[absent] = np.arange(n, n + len(absent))
+        pool.hits[place] += 1
+        return place
+
+    def part(self, part: str) -> list[int]:
+        """The ids of one pre-token in byte-level form."""
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) > PARTS:
+                self.parts.clear()
+            ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
+        return ids
+
+    def missing(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces. Those of a word and at most one stop or comma are one or two pre-tokens;
+        others are cut by the pattern, or encoded whole where characters are not Latin."""
+        lists: list[list[int] | None] = []
+        tokenize, front = self.model.tokenize, self.front
+        stops = {c: self.part(c) for c in ".,"}
+        for piece in pieces:
+            stop = stops.get(piece[-1])
+            core = piece if stop is None else piece[:-1]
+            lead, word = front(core)
+            if not word.isalpha():
+                lists.append(self.split(piece) if self.sure(piece) else None)
+                continue
+            if not word.isascii():
+                if not self.sure(word):
+                    lists.append(None)
+                    continue
+                word = self.lower(word).encode().decode("latin-1").translate(BYTE_FORM)
+            ids = [t.id for t in tokenize(lead + word)]
+            lists.append(ids if stop is None else ids + stop)
+        rest = [i for i, ids in enumerate(lists) if ids is None]
+        for i, ids in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
+            lists[i] = ids
+        return self._listed(lists)
 
     def _listed(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -88,27 +135,30 @@ class ByteLevel(Encoder):
     A text is cut before every space and line feed that stands between other characters.
     """
 
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.feed = self.whole(["\n"])[0]
-
-    def missing(self, pieces):
-        # Pieces apart by line feeds are encoded as one text; a line feed stands alone in it.
-        if len(self.feed) != 1:
-            return self._listed([self._piece(p) for p in pieces])
-        line = self.feed[0]
-        bare = [p[1:] if p[0] == "\n" else p for p in pieces]
-        ids = np.array(self.whole(["x\n" + "\nx\n".join(bare) + "\nx"])[0], np.int32)
-        # x LF piece LF x LF piece LF x: every second gap between line feeds is a piece.
-        feeds = np.flatnonzero(ids == line)
-        begin, end = feeds[0::2] + 1, feeds[1::2]
-        lead = np.fromiter((p[0] == "\n" for p in pieces), bool, len(pieces))
-        begin = begin - lead  # the line feed before the piece is its own
-        sizes = end - begin
-        return ids[gather(begin, sizes)], sizes
-
-    def _piece(self, piece):
-        return self.whole([piece])[0]
+    # Fixed value: the pattern of the pre-tokenizer.
+    _PRE = regex.compile(
+        r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    )
+
+    @staticmethod
+    def front(piece):
+        # The space in byte-level form; after a line feed the pattern has to cut.
+        return (BYTE_FORM[32], piece[1:]) if piece[:1] == " " else ("", piece)
+
+    @staticmethod
+    def lower(word):
+        return word
+
+    @staticmethod
+    def sure(piece):
+        # Beyond Latin the classes of characters may differ between libraries.
+        return piece.isascii() or max(piece) < "\u0250"
+
+    def split(self, piece):
+        out = []
+        for part in self._PRE.findall(piece):
+            out += self.part(part.encode().decode("latin-1").translate(BYTE_FORM))
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         unsure = pc.match_substring_regex(texts, _UNSURE).to_numpy(zero_copy_only=False)
@@ -151,30 +201,26 @@ class ByteLevel(Encoder):
 class WordLevel(Encoder):
     """BPE with word ends whose pre-tokenizer drops white space and lower-cases."""
 
-    _PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    # Fixed value: the pattern of the pre-tokenizer, for lower-cased words without white space.
+    _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    # Printable ASCII and Latin letters are their own normal form once they are lower-cased.
+    _SURE = regex.compile(r"[\x21-\x7e\xc0-\u012f\u0131-\u024f]+")
 
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.model = self.tokenizer.model
-        self.parts: dict[str, list[int]] = {}
+    @staticmethod
+    def front(piece):
+        return "", piece
+
+    @staticmethod
+    def lower(word):
+        return word.lower()
 
-    def missing(self, pieces):
-        plain = [p.isascii() and p.isprintable() for p in pieces]
-        rest = iter(self.whole([p for p, ok in zip(pieces, plain, strict=True) if not ok]))
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        return self._listed(
-            [self._plain(p) if ok else next(rest) for p, ok in zip(pieces, plain, strict=True)]
-        )
-
-    def _plain(self, piece):
-        """Printable ASCII is its own byte-level form; only the pre-tokens are left to find."""
+    def sure(self, piece):
+        return self._SURE.fullmatch(piece) is not None
+
+    def split(self, piece):
         out = []
-        for part in self._PRE.findall(piece):
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
-            out += ids
+        for part in self._PRE.findall(piece.lower()):
+            out += self.part(part.encode().decode("latin-1").translate(BYTE_FORM))
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,6 +14,8 @@ from .text import record, slices, starts
 TIERS = (256, 512, 1024, 2048)
 # Tokens of one training step; a step group holds windows of one tier.
 STEP_TOKENS = 64 * 2048
+# Bytes of text encoded at once.
+TEXT_AT_ONCE = 2 << 20
 
 PIECES = pa.schema(
     [
@@ -149,7 +151,7 @@ def pack_documents(
     def pack(batches):
         encoder = word_level(tokenizer)
         packer = Packer(tiers, step_tokens, TaskContext.get().partitionId() << 40)
-        for rows in slices(batches):
+        for rows in slices(batches, limit=TEXT_AT_ONCE):
             ids, sizes = ended(*encoder.encode(rows["text"]), end)
             at = starts(sizes).tolist()
             for i, doc in enumerate(rows["doc_id"].to_pylist()):

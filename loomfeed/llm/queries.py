@@ -11,6 +11,7 @@ from ..session import tune
 from .exact_dedup import exact_groups
 from .language import identify, learn_languages
 from .packing import pack_documents
+from .sentencepiece import decode_pieces, encode_pieces
 from .ship import ship
 from .simhash import simhash_groups
 from .spherical import vector_groups
@@ -116,3 +117,15 @@ def op4_toxicity(spark, folder):
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_sentencepiece(spark, folder):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(_table(spark, folder, "documents"), path)
+    return decode_pieces(encoded, path).select(
+        "doc_id",
+        "n_ids",
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )

@@ -29,6 +29,8 @@ from .text import record, slices, starts
 
 BLOCK = 1 << 16
 LEVEL = 3
+# Bytes of text encoded at once.
+TEXT_AT_ONCE = 2 << 20
 
 BLOCKS = pa.schema(
     [
@@ -106,7 +108,7 @@ def _writer(path: str, end: int, block: int, bits: bool, level: int):
             held, docs, number = held[count:], rest, number + 1
             return record(out, BLOCKS)
 
-        for rows in slices(batches):
+        for rows in slices(batches, limit=TEXT_AT_ONCE):
             ids, sizes = ended(*encoder.encode(rows["text"]), end)
             for doc, size in zip(rows["doc_id"].to_pylist(), sizes.tolist(), strict=True):
                 docs.append((doc, ordinal, 0, size))
