@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import tune
 from .exact_dedup import exact_groups
 from .language import identify, learn_languages
+from .mixing import learn_mixing, score_mixing
 from .packing import pack_documents
 from .sentencepiece import decode_pieces, encode_pieces
 from .ship import ship
@@ -129,3 +130,11 @@ def op5_sentencepiece(spark, folder):
         F.crc32("ids").alias("ids_crc32"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_context_mixing(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model, vocabulary = learn_mixing(docs.where(remainder(5) != 1))
+    scored = score_mixing(docs, model, vocabulary)
+    return scored.withColumn("held_out", remainder(5) == 1)
