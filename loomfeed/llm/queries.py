@@ -135,6 +135,6 @@ def op5_sentencepiece(spark, folder):
 @query
 def op3_context_mixing(spark, folder):
     docs = _table(spark, folder, "documents")
-    model, vocabulary = learn_mixing(docs.where(remainder(5) != 1))
+    model, vocabulary = learn_mixing(docs.where(remainder(5) != 1), kind="lang")
     scored = score_mixing(docs, model, vocabulary)
     return scored.withColumn("held_out", remainder(5) == 1)
