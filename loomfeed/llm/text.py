@@ -78,7 +78,7 @@ def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
 
 # Fixed odd multipliers for hashing; any others would do as well.
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 BASES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 # Words hashed at once.
 _AT_ONCE = 1 << 19
@@ -86,7 +86,7 @@ _AT_ONCE = 1 << 19
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX
-    x = (x ^ (x >> np.uint64(29))) * _STEP
+    x = (x ^ (x >> np.uint64(29))) * STEP
     return x ^ (x >> np.uint64(32))
 
 
@@ -102,7 +102,7 @@ def word_hashes(flat: pa.StringArray, base: np.uint64) -> np.ndarray:
         value = powers[within(sizes)]
         value *= data + np.uint64(1)
         total = np.add.reduceat(value, (ends[:-1] - ends[0]).astype(np.int64))
-        out[begin : begin + len(part)] = mixed(total + sizes.astype(np.uint64) * _STEP)
+        out[begin : begin + len(part)] = mixed(total + sizes.astype(np.uint64) * STEP)
     return out
 
 
@@ -115,9 +115,9 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
                 done, width = double, reach
             else:
                 n = max(0, len(double) - width)
-                done, width = mixed(done[:n] * _STEP + double[width : width + n]), width + reach
+                done, width = mixed(done[:n] * STEP + double[width : width + n]), width + reach
         size >>= 1
         if size:
             n = max(0, len(double) - reach)
-            double, reach = mixed(double[:n] * _STEP + double[reach : reach + n]), 2 * reach
+            double, reach = mixed(double[:n] * STEP + double[reach : reach + n]), 2 * reach
     return done
