@@ -372,3 +372,29 @@ def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> D
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(_labeller(shared, switch), LABELLED_DDL)
+
+
+def with_known_language(
+    docs: DataFrame, model: LanguageModel, least: float = 0.5, switch: float = SWITCH
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with a chance of ``least``.
+
+    Texts that are null or have no letter go. A missing ``lang`` is filled with the language found.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    label = _labeller(shared, switch)
+
+    def keep(batches):
+        for batch in batches:
+            keyed = batch.select(["text"]).append_column("doc_id", pa.nulls(batch.num_rows, pa.int64()))
+            found = pa.Table.from_batches(label([keyed]), LABELLED)
+            found = found.select(["lang_pred", "score"]).combine_chunks()
+            names, score = (found[c].combine_chunks() for c in ("lang_pred", "score"))
+            known = pc.and_(pc.not_equal(names, UNDETERMINED), pc.greater_equal(score, least))
+            place = batch.schema.get_field_index("lang")
+            if place >= 0:
+                lang = pc.coalesce(batch["lang"], names.cast(batch["lang"].type))
+                batch = batch.set_column(place, "lang", lang)
+            yield batch.filter(known)
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -166,3 +166,14 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
         "fp", F.coalesce("component", "rep").alias("component_id")
     )
     return prints.join(stage(named, "simhash-components"), "fp")
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose id names their component in ``simhash_groups``.
+
+    Rows that share an id stay or go together. Rows with a null id stay, as nothing names them.
+    """
+    kept = simhash_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = kept.withColumnRenamed("doc_id", "kept_id")
+    named = docs.join(kept, docs["doc_id"].cast("long") == kept["kept_id"], "left_semi")
+    return named.unionByName(docs.where(docs["doc_id"].isNull()))

@@ -264,22 +264,27 @@ DIGEST = pa.schema(
 DIGEST_DDL = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
+def _left(flat: pa.Array, counts: np.ndarray, column):
+    """Texts without the spans of ``column``, words removed from each, and the spans."""
+    at = starts(counts)
+    first, last, doc = _spans(column)
+    # +1 where a removed span begins, -1 where it ends; spans do not overlap.
+    edge = np.zeros(len(flat) + 1, np.int8)
+    np.add.at(edge, at[doc] + first, 1)
+    np.add.at(edge, at[doc] + last, -1)
+    gone = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    total = np.concatenate([[0], np.cumsum(gone)])
+    removed = np.diff(total[at])
+    left = flat.filter(pa.array(~gone)) if gone.any() else flat
+    lists = pa.ListArray.from_arrays(pa.array(starts(counts - removed), pa.int32()), left)
+    return pc.binary_join(lists, " "), removed, first, last, doc
+
+
 def _kept(digest: bool):
     def run(batches):
         for rows in slices(batches):
             flat, counts = words(rows["text"])
-            at = starts(counts)
-            first, last, doc = _spans(rows["spans"])
-            # +1 where a removed span begins, -1 where it ends; spans do not overlap.
-            edge = np.zeros(len(flat) + 1, np.int8)
-            np.add.at(edge, at[doc] + first, 1)
-            np.add.at(edge, at[doc] + last, -1)
-            gone = np.cumsum(edge[:-1], dtype=np.int8) > 0
-            total = np.concatenate([[0], np.cumsum(gone)])
-            removed = np.diff(total[at])
-            left = flat.filter(pa.array(~gone)) if gone.any() else flat
-            lists = pa.ListArray.from_arrays(pa.array(starts(counts - removed), pa.int32()), left)
-            text = pc.binary_join(lists, " ")
+            text, removed, first, last, doc = _left(flat, counts, rows["spans"])
             out = {"doc_id": rows["doc_id"], "n_words": counts, "n_removed": removed}
             if digest:
                 out["kept_sha256"] = [hashlib.sha256(t.as_buffer()).hexdigest() for t in text]
@@ -295,28 +300,18 @@ def _kept(digest: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
-    """Documents without words that a window covers whose words also start earlier.
-
-    Earlier is a smaller ``doc_id``, or an earlier start in the same document. Returns for every
-    row ``doc_id``, ``n_words``, ``n_removed``, and ``spans`` (begin and end, in words, of each
-    maximal removed stretch, flattened) with ``kept_text`` (kept words joined by one space), or
-    with ``digest`` their SHA-256 in place of both.
-
-    Words are runs without ASCII white space, unchanged; a null text has none. Rows with the same
-    id and text count as one document and get the same result; rows with one id and different
-    texts are ordered by a hash of the text. Null ids come after all others, ordered by that hash.
-    Other columns are not read; an empty table gives no rows.
-    """
+def _cut(docs: DataFrame, window: int) -> DataFrame:
+    """All columns of ``docs`` in a struct ``row``, with ``text`` and the ``spans`` to remove."""
     if window < 2:
         raise ValueError("a window has two words or more")
     block = window // 2
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, (BUCKETS * parts - 1).bit_length())
-    th = F.xxhash64("text")
+    th, doc_id = F.xxhash64("text"), F.col("doc_id").cast("long")
     null = F.lit((1 << 63) - 1) - F.pmod(th, F.lit(1 << 40))
-    keyed = docs.select(F.col("doc_id").cast("long"), "text").select(
-        "doc_id", "text", F.coalesce("doc_id", null).alias("okey"), th.alias("th")
+    rest = [c for c in docs.columns if c != "text"]
+    keyed = docs.select(
+        F.struct(*rest).alias("row"), "text", F.coalesce(doc_id, null).alias("okey"), th.alias("th")
     )
 
     def answered(sent, match, before, after):
@@ -334,15 +329,62 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     near = near.repartition(parts, "zkey").groupBy("zkey", "zth").agg(
         F.collect_list("spans").alias("spans")
     )
-    # Both joins below read the same shuffle of the texts. They match on the id alone, with the
-    # text's hash as a further condition, so that rows with one id stay in one task, in order.
+    # Both joins below read the same columns, and so the same shuffle, of the texts. They match on
+    # the id alone, with the text's hash as a further condition, so that rows with one id stay in
+    # one task, in order.
     placed = keyed.repartition(parts, "okey")
     same = (F.col("okey") == F.col("zkey")) & (F.col("th").bitwiseXOR(F.col("zth")) == 0)
+    columns = ["row", "text", "okey", "th", "spans"]
     around = placed.hint("merge").join(near, same).sortWithinPartitions("okey", "th")
-    sent = around.select("okey", "th", "text", "spans").mapInArrow(_windows(window, bits), SENT_DDL)
+    sent = around.select(*columns).mapInArrow(_windows(window, bits), SENT_DDL)
     cuts = answered(sent, _match_windows, 0, window).select(
         F.col("okey").alias("zkey"), F.col("th").alias("zth"), "spans"
     )
     kept = placed.hint("merge").join(cuts.repartition(parts, "zkey"), same, "left")
-    kept = kept.select("doc_id", "text", "spans")
+    return kept.select(*columns)
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
+    """Documents without words that a window covers whose words also start earlier.
+
+    Earlier is a smaller ``doc_id``, or an earlier start in the same document. Returns for every
+    row ``doc_id``, ``n_words``, ``n_removed``, and ``spans`` (begin and end, in words, of each
+    maximal removed stretch, flattened) with ``kept_text`` (kept words joined by one space), or
+    with ``digest`` their SHA-256 in place of both.
+
+    Words are runs without ASCII white space, unchanged; a null text has none. Rows with the same
+    id and text count as one document and get the same result; rows with one id and different
+    texts are ordered by a hash of the text. Null ids come after all others, ordered by that hash.
+    Other columns are not read; an empty table gives no rows.
+    """
+    kept = _cut(docs.select("doc_id", "text"), window).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "text", "spans"
+    )
     return kept.mapInArrow(_kept(digest), DIGEST_DDL if digest else RESULT_DDL)
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """All columns of ``docs``, with ``text`` reduced as by ``remove_repeats``.
+
+    A text that loses no word stays as it is, null included; one that loses all its words goes.
+    """
+    schema = docs.schema
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    rows = _cut(docs, window)
+    # Only rows that lose words pass through Python.
+    cut = rows.where("spans IS NOT NULL").select(*columns, "spans")
+    cut = cut.mapInArrow(_shortened(docs.columns), schema)
+    return rows.where("spans IS NULL").select(*columns).unionByName(cut)
+
+
+def _shortened(columns: list[str]):
+    def run(batches):
+        for rows in slices(batches):
+            flat, counts = words(rows["text"])
+            text, removed, _, _, _ = _left(flat, counts, rows["spans"])
+            some = pa.array(counts > removed)
+            place = rows.schema.get_field_index("text")
+            rows = rows.set_column(place, "text", text).select(columns)
+            yield rows.filter(some)
+
+    return run
