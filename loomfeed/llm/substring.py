@@ -371,17 +371,18 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = docs.schema
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     rows = _cut(docs, window)
+    cuts = "spans_" + "_".join(docs.columns)  # a name that no column has
     # Only rows that lose words pass through Python.
-    cut = rows.where("spans IS NOT NULL").select(*columns, "spans")
-    cut = cut.mapInArrow(_shortened(docs.columns), schema)
+    cut = rows.where("spans IS NOT NULL").select(*columns, F.col("spans").alias(cuts))
+    cut = cut.mapInArrow(_shortened(docs.columns, cuts), schema)
     return rows.where("spans IS NULL").select(*columns).unionByName(cut)
 
 
-def _shortened(columns: list[str]):
+def _shortened(columns: list[str], cuts: str):
     def run(batches):
         for rows in slices(batches):
             flat, counts = words(rows["text"])
-            text, removed, _, _, _ = _left(flat, counts, rows["spans"])
+            text, removed, _, _, _ = _left(flat, counts, rows[cuts])
             some = pa.array(counts > removed)
             place = rows.schema.get_field_index("text")
             rows = rows.set_column(place, "text", text).select(columns)
