@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from .text import distinct, gather, starts, words
 
 # Pieces a worker remembers from one batch to the next; beyond that it keeps the more frequent half.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 # Pre-tokens a worker remembers; the memory is emptied beyond that.
 PARTS = 150_000
 # Any white space, and the separators that some libraries count as such.
@@ -33,6 +33,8 @@ def _byte_form() -> dict[int, str]:
 
 
 BYTE_FORM = _byte_form()
+# The byte-level form of each character that needs no care.
+LATIN = {chr(i): chr(i).encode().decode("latin-1").translate(BYTE_FORM) for i in range(0x250)}
 
 
 class Pool:
@@ -102,12 +104,14 @@ class Encoder:
         """Ids of pieces. Those of a word and at most one stop or comma are one or two pre-tokens;
         others are cut by the pattern, or encoded whole where characters are not Latin."""
         lists: list[list[int] | None] = []
-        tokenize, front = self.model.tokenize, self.front
+        tokenize, fronts, form = self.model.tokenize, self.fronts, LATIN.__getitem__
         stops = {c: self.part(c) for c in ".,"}
         for piece in pieces:
             stop = stops.get(piece[-1])
-            core = piece if stop is None else piece[:-1]
-            lead, word = front(core)
+            word = piece if stop is None else piece[:-1]
+            head, lead = fronts.get(word[:1], ([], ""))
+            if head or lead:
+                word = word[1:]
             if not word.isalpha():
                 lists.append(self.split(piece) if self.sure(piece) else None)
                 continue
@@ -115,9 +119,11 @@ class Encoder:
                 if not self.sure(word):
                     lists.append(None)
                     continue
-                word = self.lower(word).encode().decode("latin-1").translate(BYTE_FORM)
+                word = "".join(map(form, self.lower(word)))
             ids = [t.id for t in tokenize(lead + word)]
-            lists.append(ids if stop is None else ids + stop)
+            if stop is not None:
+                ids += stop
+            lists.append(head + ids if head else ids)
         rest = [i for i, ids in enumerate(lists) if ids is None]
         for i, ids in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
             lists[i] = ids
@@ -140,10 +146,10 @@ class ByteLevel(Encoder):
         r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     )
 
-    @staticmethod
-    def front(piece):
-        # The space in byte-level form; after a line feed the pattern has to cut.
-        return (BYTE_FORM[32], piece[1:]) if piece[:1] == " " else ("", piece)
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        # Ids and byte-level form of what may stand before a word.
+        self.fronts = {" ": ([], BYTE_FORM[32]), "\n": (self.part(BYTE_FORM[10]), "")}
 
     @staticmethod
     def lower(word):
@@ -157,7 +163,7 @@ class ByteLevel(Encoder):
     def split(self, piece):
         out = []
         for part in self._PRE.findall(piece):
-            out += self.part(part.encode().decode("latin-1").translate(BYTE_FORM))
+            out += self.part("".join(map(LATIN.__getitem__, part)))
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -206,9 +212,7 @@ class WordLevel(Encoder):
     # Printable ASCII and Latin letters are their own normal form once they are lower-cased.
     _SURE = regex.compile(r"[\x21-\x7e\xc0-\u012f\u0131-\u024f]+")
 
-    @staticmethod
-    def front(piece):
-        return "", piece
+    fronts: dict = {}
 
     @staticmethod
     def lower(word):
@@ -220,7 +224,7 @@ class WordLevel(Encoder):
     def split(self, piece):
         out = []
         for part in self._PRE.findall(piece.lower()):
-            out += self.part(part.encode().decode("latin-1").translate(BYTE_FORM))
+            out += self.part("".join(map(LATIN.__getitem__, part)))
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ TIERS = (256, 512, 1024, 2048)
 # Tokens of one training step; a step group holds windows of one tier.
 STEP_TOKENS = 64 * 2048
 # Bytes of text encoded at once.
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 4 << 20
 
 PIECES = pa.schema(
     [
