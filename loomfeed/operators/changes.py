@@ -61,6 +61,7 @@ def upsert_by_fingerprint(
     fingerprint: str = "HASH",
     order: Sequence[Column] | None = None,
     null_safe: bool = True,
+    pending: bool = False,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source``, with the change of each row.
 
@@ -72,19 +73,26 @@ def upsert_by_fingerprint(
     Several source rows for a key raise an error unless ``order`` says which one counts. NULL
     key parts match each other; with ``null_safe=False`` a source row with a NULL key part never
     matches and is added on every run, and a target bucketed by its keys is not shuffled.
+
+    With ``pending`` the changes named in the target were not published yet and stay: a row that
+    was inserted remains an insert, and an updated one an update.
     """
-    paired = _paired(target.drop(CHANGE), source, keys, order, null_safe)
+    pending = pending and CHANGE in target.columns
+    before = target if pending else target.drop(CHANGE)
+    paired = _paired(before, source, keys, order, null_safe)
     is_new = F.col("old.__in").isNull()
     differs = F.col("old.__in") & F.col("new.__in") & (
         F.col(f"old.{fingerprint}") != F.col(f"new.{fingerprint}")
     )
-    change = F.when(is_new, INSERT).when(differs, UPDATE)
-    state = paired.withColumn(CHANGE, change).selectExpr(
+    fresh = F.when(is_new, INSERT).when(differs, UPDATE)
+    waiting = F.col(f"old.{CHANGE}") if pending else F.lit(None)
+    change = F.when(waiting == INSERT, waiting).otherwise(F.coalesce(fresh, waiting))
+    state = paired.withColumn("__fresh", fresh).withColumn("__change", change).selectExpr(
         *[
-            f"IF({CHANGE} IS NOT NULL, new.`{c}`, old.`{c}`) AS `{c}`"
+            f"IF(__fresh IS NOT NULL, new.`{c}`, old.`{c}`) AS `{c}`"
             for c in target.drop(CHANGE).columns
         ],
-        CHANGE,
+        f"__change AS {CHANGE}",
     )
     if null_safe:
         return state

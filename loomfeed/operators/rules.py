@@ -10,16 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import lookup_key
 
-# Configuration reaches the driver; anything larger than this is not configuration.
-MAX_CONFIG_ROWS = 10_000
-
-
-def collect_config(df: DataFrame) -> list[Row]:
-    rows = df.limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"more than {MAX_CONFIG_ROWS} configuration rows")
-    return rows
-
 
 def rules_for(
     rules: DataFrame, market: str, domain: str, consumer: str | None = None
@@ -62,11 +52,13 @@ def apply_default_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     operator (``=``, ``<``, ``>``), match_value (SQL literal; NULL, blank or ``null`` tests for a
     missing value), default_value (SQL expression) and priority. The first matching rule of a
     column wins, in priority order. Rules become one CASE per column in a single projection that
-    reads the incoming values of all columns.
+    reads the incoming values of all columns. Only the distinct rules for columns of ``df`` reach
+    the driver, as they become part of its plan.
     """
     by_column: dict[str, list[Row]] = defaultdict(list)
-    ordered = rules.orderBy("priority").withColumn("__name", lookup_key("source_attribute"))
-    for rule in collect_config(ordered):
+    named = rules.withColumn("__name", lookup_key("source_attribute"))
+    named = named.filter(F.col("__name").isin([c.upper() for c in df.columns])).distinct()
+    for rule in named.orderBy("priority").collect():
         by_column[rule["__name"]].append(rule)
     if not by_column:
         return df
@@ -149,9 +141,11 @@ def market_config(
 
 
 def config_value(rows: DataFrame, column: str, default: str = "") -> str:
-    """First value of ``column``, or ``default`` when there is no row."""
-    found = rows.select(column).orderBy(column).first()
-    return default if found is None or found[0] is None else str(found[0])
+    """The value of ``column``, or ``default`` when there is none; several are an error."""
+    found = rows.filter(F.col(column).isNotNull()).select(column).distinct().limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"several values of {column}: {found[0][0]!r}, {found[1][0]!r}, ...")
+    return str(found[0][0]) if found else default
 
 
 def file_prefix(names: DataFrame, tenant: str, market: str) -> str:
@@ -169,4 +163,4 @@ def enterprise_id_applied(names: DataFrame, market: str) -> str:
 
 def markets_of(names: DataFrame, sdm_type: str) -> Sequence[str]:
     rows = names.filter(F.col("sdm_type") == sdm_type).select("target_market").distinct()
-    return sorted(r.target_market for r in collect_config(rows))
+    return sorted(r.target_market for r in rows.collect())

@@ -148,7 +148,8 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
         spread_by=["claim_header_sk"],
     )
     columns = [value.alias(name) for name, value in _columns(config).items()]
-    return rows.select(*columns, *_diagnoses(config)).select(*layouts.CLAIM_HEADER_STATE)
+    rows = rows.select(*columns, *_diagnoses(config))
+    return rows.select(*layouts.CLAIM_HEADER_STATE, *layouts.CLAIM_HEADER_NEWEST)
 
 
 def _diagnoses(config: RunConfig) -> list[Column]:
@@ -232,6 +233,9 @@ def _columns(config: RunConfig) -> dict[str, Column]:
         "UPDATE_TYPE": F.lit(""),
         "SERV_FROM_DT": F.col("serv_from_dt"),
         "DEL_IND": F.col("del_ind"),
+        # Not sent; of several rows for one claim they tell which is the newest.
+        "CLAIM_HEADER_SK": F.col("claim_header_sk"),
+        "AUD_UPD_DT": F.col("aud_upd_dt"),
     }
 
 
@@ -242,7 +246,7 @@ def _charged(config: RunConfig, df: DataFrame) -> DataFrame:
 def claim_header_current(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFrame:
     source = claim_header_source(config, inputs)
     defaulted = _charged(config, apply_default_rules(source, inputs.rules))
-    return row_fingerprint(defaulted, exclude=["UPDATE_TYPE"])
+    return row_fingerprint(defaulted, exclude=["UPDATE_TYPE", *layouts.CLAIM_HEADER_NEWEST])
 
 
 def claim_header_state(
@@ -250,11 +254,25 @@ def claim_header_state(
     inputs: ClaimHeaderInputs,
     previous: DataFrame,
     line_state: DataFrame,
+    pending: bool = False,
 ) -> DataFrame:
-    """New current state, with every changed claim classified in UPDATE_TYPE."""
-    order = [F.col("SERV_FROM_DT").desc_nulls_first(), F.col("HASH")]
+    """New current state, with every changed claim classified in UPDATE_TYPE.
+
+    Of several rows for one claim the latest service date counts, then the latest update, then
+    the newest surrogate. ``pending`` keeps the changes of a ``previous`` that was not published.
+    """
+    order = [
+        F.col("SERV_FROM_DT").desc_nulls_first(),
+        F.col("AUD_UPD_DT").desc_nulls_last(),
+        F.col("CLAIM_HEADER_SK").desc_nulls_last(),
+        F.col("HASH"),
+    ]
     merged = upsert_by_fingerprint(
-        previous, claim_header_current(config, inputs), layouts.CLAIM_HEADER_KEY, order=order
+        previous,
+        claim_header_current(config, inputs),
+        layouts.CLAIM_HEADER_KEY,
+        order=order,
+        pending=pending,
     )
     return classify_changes(merged, changed_rows(line_state))
 
@@ -299,7 +317,8 @@ def claim_header_extract(
 def _published(config: RunConfig, inputs: ClaimHeaderInputs, rows: DataFrame) -> DataFrame:
     kind = codes.published_adjust_type("CLAIM_ADJUST_TYPE", "UPDATE_TYPE")
     rows = rows.withColumn("CLAIM_ADJUST_TYPE", kind).drop(CHANGE)
-    rows = project(rows, {name: name.upper() for name in layouts.CLAIM_HEADER}).distinct()
+    # The columns hold the key of the state, so no two rows are alike.
+    rows = project(rows, {name: name.upper() for name in layouts.CLAIM_HEADER})
     if inputs.vault is not None:
         rows = detokenize(
             rows, ["Payto_Provider_Tin"], inputs.vault, spread_by=["Claim_Number"]

@@ -139,11 +139,12 @@ def claim_line_current(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
 
 
 def claim_line_state(
-    config: RunConfig, inputs: ClaimLineInputs, previous: DataFrame
+    config: RunConfig, inputs: ClaimLineInputs, previous: DataFrame, pending: bool = False
 ) -> DataFrame:
     """New current state with ``_change_type``; of several rows for one claim line the newest
-    surrogate counts."""
+    surrogate counts. ``pending`` keeps the changes of a ``previous`` that was not published."""
     order = [F.col("CLAIM_DETAIL_SK").desc_nulls_first(), F.col("HASH")]
+    current = claim_line_current(config, inputs)
     return upsert_by_fingerprint(
-        previous, claim_line_current(config, inputs), layouts.CLAIM_LINE_KEY, order=order
+        previous, current, layouts.CLAIM_LINE_KEY, order=order, pending=pending
     )

@@ -162,14 +162,17 @@ def lab_current(config: RunConfig, inputs: LabInputs) -> DataFrame:
     return row_fingerprint(defaulted, exclude=["LAB_RESULT_SK"])
 
 
-def lab_state(config: RunConfig, inputs: LabInputs, previous: DataFrame) -> DataFrame:
+def lab_state(
+    config: RunConfig, inputs: LabInputs, previous: DataFrame, pending: bool = False
+) -> DataFrame:
     """New current state with ``_change_type``.
 
-    Defaults may make keys equal that were distinct; the newest result counts.
+    Defaults may make keys equal that were distinct; the newest result counts. ``pending`` keeps
+    the changes of a ``previous`` that was not published.
     """
     current = lab_current(config, inputs)
     order = [F.col("LAB_RESULT_SK").desc_nulls_first(), F.col("HASH")]
-    return upsert_by_fingerprint(previous, current, layouts.LAB_KEY, order=order)
+    return upsert_by_fingerprint(previous, current, layouts.LAB_KEY, order=order, pending=pending)
 
 
 def lab_extract(config: RunConfig, state: DataFrame) -> LabExtract:

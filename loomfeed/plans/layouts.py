@@ -59,7 +59,8 @@ CLAIM_LINE_STATE = [
 
 CLAIM_LINE = ["TENANT_SK", "SOURCE_SYSTEM_SK", *CLAIM_LINE_VALUES]
 
-CLAIM_LINE_KEY = ["CLAIM_NUMBER", "SERVICE_LINE"]
+# Claim numbers of some sources carry no prefix, so tenants and sources may share one.
+CLAIM_LINE_KEY = ["TENANT_SK", "SOURCE_SYSTEM_SK", "CLAIM_NUMBER", "SERVICE_LINE"]
 
 DIAGNOSIS_SLOTS = 34
 PROCEDURE_SLOTS = 6
@@ -88,4 +89,7 @@ CLAIM_HEADER_STATE = [
     "DEL_IND",
 ]
 
+# Kept in the state beside its columns: what tells the newest of several rows for one claim.
+CLAIM_HEADER_NEWEST = ["AUD_UPD_DT", "CLAIM_HEADER_SK"]
+
 CLAIM_HEADER_KEY = ["TENANT_SK", "SOURCE_SYSTEM", "CLAIM_NUMBER"]

@@ -1,7 +1,14 @@
-"""Running the extracts: new state, file, history and control table."""
+"""Running the extracts: new state, file, history and control table.
+
+A run may stop anywhere and be repeated. A state that was not published keeps naming its changes,
+so the next run sends them; what a run delivers carries the number of the publication it belongs
+to (the batch), which stays the same until the publication is marked, so a repeated run writes its
+own file, history rows and control times over.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -22,15 +29,19 @@ from ..sources.extract import write_extract
 from ..sources.snapshots import (
     MERGE,
     REBUILD,
+    append_log,
     has_snapshot,
-    is_published,
-    mark_published,
+    latest_version,
+    read_before,
+    read_log,
     read_snapshot,
+    version_log,
     write_snapshot,
 )
 from ..sources.staging import stage
 from ..sources.tables import (
     drop_partitions,
+    drop_where,
     overwrite_partitions,
     read_table,
     table_exists,
@@ -50,6 +61,7 @@ from .eligibility import EligibilityInputs, eligibility, eligibility_source
 from .labs import LabInputs, lab_current, lab_extract, lab_state
 
 INDEX = "Filename string, folder string"
+PUBLICATIONS = "domain string, version long, published_at timestamp_ntz"
 
 
 @dataclass(frozen=True)
@@ -64,8 +76,9 @@ class Store:
     def state(self, domain: str) -> str:
         return f"{self.root}/state/{domain}"
 
-    def extract(self, report: str) -> str:
-        return f"{self.root}/extract/{report}"
+    def extract(self, report: str, batch: int) -> str:
+        """Folder of one delivery; reports of several runs may share a name."""
+        return f"{self.root}/extract/batch={batch}/{report}"
 
     def history(self, domain: str) -> str:
         return f"{self.database}.{domain}_hist"
@@ -77,6 +90,10 @@ class Store:
     def control(self) -> str:
         return f"{self.root}/control"
 
+    @property
+    def publications(self) -> str:
+        return f"{self.root}/publications"
+
 
 def previous_state(store: Store, domain: str, like: DataFrame) -> DataFrame:
     """Current state of ``domain``, empty with the schema of ``like`` on the first run."""
@@ -93,12 +110,43 @@ def save_state(
     return read_snapshot(store.spark, store.state(domain))
 
 
+def _current_version(store: Store, domain: str) -> int | None:
+    last = latest_version(version_log(store.spark, store.state(domain))).first()
+    return None if last is None else last.version
+
+
+def _publications(store: Store, domain: str) -> DataFrame:
+    log = read_log(store.spark, store.publications, PUBLICATIONS)
+    return log.filter(F.col("domain") == domain)
+
+
+def mark_published(store: Store, domains: Sequence[str], now: datetime) -> None:
+    """Note that the changes of the current versions went out, of all domains or of none."""
+    rows = [(domain, _current_version(store, domain), now) for domain in domains]
+    append_log(store.spark, store.publications, rows, PUBLICATIONS)
+
+
+def is_published(store: Store, domain: str) -> bool:
+    version = _current_version(store, domain)
+    return not _publications(store, domain).filter(F.col("version") == version).isEmpty()
+
+
+def pending_changes(store: Store, domain: str) -> bool:
+    """Whether the current state of ``domain`` holds changes that did not go out yet."""
+    return _current_version(store, domain) is not None and not is_published(store, domain)
+
+
 def record_history(
-    store: Store, domain: str, rows: DataFrame, filename: str, now: datetime
+    store: Store, domain: str, rows: DataFrame, filename: str, now: datetime, batch: int = 0
 ) -> DataFrame:
-    """Append the delivered rows to the history table, one partition per load date."""
-    stamped = history_rows(rows, filename, now)
-    write_table(stamped, store.history(domain), partition_by=["LoadDate"])
+    """Add the delivered rows to the history table, partitioned by load date and batch.
+
+    Rows that an interrupted run recorded for the same batch go first.
+    """
+    stamped = history_rows(rows, filename, now).withColumn("Batch", F.lit(batch))
+    if table_exists(store.spark, store.history(domain)):
+        drop_where(store.spark, store.history(domain), "Batch", batch)
+    write_table(stamped, store.history(domain), partition_by=["LoadDate", "Batch"])
     return read_table(store.spark, store.history(domain))
 
 
@@ -115,17 +163,22 @@ def age_history(store: Store, domain: str, today: datetime) -> None:
         overwrite_partitions(aged, store.archive(domain))
         drop_partitions(store.spark, store.archive(domain), "LoadDate", drop)
     else:
-        write_table(aged, store.archive(domain), partition_by=["LoadDate"])
+        write_table(aged, store.archive(domain), partition_by=["LoadDate", "Batch"])
     drop_partitions(store.spark, store.history(domain), "LoadDate", move)
 
 
 def index_extract(
-    store: Store, config: RunConfig, label: str, report: str, now: datetime
+    store: Store, config: RunConfig, label: str, report: str, now: datetime, batch: int
 ) -> None:
-    """List the new extract as current and the earlier ones of its kind as archived."""
+    """List the new extract as current and the earlier ones of its kind as archived.
+
+    An entry of the same folder is that of an interrupted run and is replaced.
+    """
     prefixes = [f"{config.file_prefix}_{run}_{label}_" for run in ("Hist", config.run_type)]
-    entry = store.spark.createDataFrame([(report, store.extract(report))], INDEX)
+    folder = store.extract(report, batch)
+    entry = store.spark.createDataFrame([(report, folder)], INDEX)
     listed = previous_state(store, "extracts", entry.withColumn("place", F.lit("")))
+    listed = listed.filter(F.col("folder") != folder)
     is_current = F.col("place") == "current"
     current, archived = rotate_extracts(
         listed.filter(is_current), listed.filter(~is_current), prefixes
@@ -135,6 +188,16 @@ def index_extract(
     save_state(store, "extracts", current.unionByName(archived).unionByName(fresh), now)
 
 
+def _control(store: Store, domain: str) -> tuple[DataFrame, int, bool]:
+    """Control times as they were before the batch that is due, its number, and whether an
+    interrupted run has moved them for it already."""
+    batch = _publications(store, domain).count() + 1
+    before = read_before(store.spark, store.control, f"{domain} {batch}")
+    if before is not None:
+        return before, batch, True
+    return read_snapshot(store.spark, store.control), batch, False
+
+
 def publish(
     store: Store,
     config: RunConfig,
@@ -146,22 +209,28 @@ def publish(
     last: datetime | None = None,
     keep_previous: bool = False,
 ) -> DataFrame:
-    """Write the file, append the history and move the control time; returns the history.
+    """Write the file, record the history and move the control time; returns the history.
+
+    Everything is written for the batch that follows the last publication of ``domain``; the
+    control time is moved once for a batch. The caller marks the publication. Load dates past
+    their limit move to the archive at the end.
 
     The file holds the history rows without their tenant and source keys, unless ``delta`` says
     otherwise.
     ``last`` replaces the domain's own last extract time in the file name and as previous time.
     """
-    control = read_snapshot(store.spark, store.control)
+    control, batch, moved = _control(store, domain)
     start = last or read_watermark(control, domain) or dates.default_start(config.as_of)
     report = report_title(config, label, start, read_watermark(control) or now)
     history = stage(history, domain)
     delta = history.drop("TENANT_SK", "SOURCE_SYSTEM_SK") if delta is None else delta
-    write_extract(delta, store.extract(report))
-    index_extract(store, config, label, report, now)
-    recorded = record_history(store, domain, history, f"{report}.txt", now)
-    moved = advance_watermark(control, domain, previous=last, keep_previous=keep_previous)
-    write_snapshot(moved, store.control, now)
+    write_extract(delta, store.extract(report, batch))
+    index_extract(store, config, label, report, now, batch)
+    recorded = record_history(store, domain, history, f"{report}.txt", now, batch)
+    if not moved:
+        times = advance_watermark(control, domain, previous=last, keep_previous=keep_previous)
+        write_snapshot(times, store.control, now, f"{domain} {batch}")
+    age_history(store, domain, now)
     return recorded
 
 
@@ -171,27 +240,32 @@ def run_eligibility(
     source = save_state(store, "eligibility", eligibility_source(config, inputs), now, REBUILD)
     history = eligibility(config, inputs, source).history
     publish(store, config, "eligibility", "Eligibility", history, now, keep_previous=True)
+    mark_published(store, ["eligibility"], now)
 
 
 def run_labs(store: Store, config: RunConfig, inputs: LabInputs, now: datetime) -> None:
     previous = previous_state(store, "lab_result", lab_current(config, inputs))
-    state = save_state(store, "lab_result", lab_state(config, inputs, previous), now)
+    pending = pending_changes(store, "lab_result")
+    merged = lab_state(config, inputs, previous, pending)
+    state = save_state(store, "lab_result", merged, now)
     publish(store, config, "lab_result", "Lab", lab_extract(config, state).history, now)
+    mark_published(store, ["lab_result"], now)
 
 
 def run_claim_lines(
     store: Store, config: RunConfig, inputs: ClaimLineInputs, now: datetime
 ) -> DataFrame:
+    """The lines' changes go out with the headers of the same run, or of a later one."""
     previous = previous_state(store, "medclaim_details", claim_line_current(config, inputs))
-    state = claim_line_state(config, inputs, previous)
+    pending = pending_changes(store, "medclaim_details")
+    state = claim_line_state(config, inputs, previous, pending)
     return save_state(store, "medclaim_details", state, now)
 
 
 def previous_headers(store: Store, like: DataFrame) -> DataFrame:
     """Header state before a run: classified changes that went out are cleared, others wait."""
     state = previous_state(store, "medclaim_header", like)
-    sent = is_published(store.spark, store.state("medclaim_header"))
-    return reset_published(state) if sent else state
+    return reset_published(state) if is_published(store, "medclaim_header") else state
 
 
 def run_claim_headers(
@@ -200,16 +274,17 @@ def run_claim_headers(
     """Runs after the claim lines of the same run; sends both claim files."""
     lines = read_snapshot(store.spark, store.state("medclaim_details"))
     previous = previous_headers(store, claim_header_current(config, inputs))
-    classified = claim_header_state(config, inputs, previous, lines)
+    pending = pending_changes(store, "medclaim_header")
+    classified = claim_header_state(config, inputs, previous, lines, pending)
     state = save_state(store, "medclaim_header", classified, now)
     line = claim_line_extract(config, state, lines)
     line = LineExtract(stage(line.history, "lines"), line.delta, stage(line.deleted, "deleted"))
     # Both files are named after the last header run.
-    last = read_watermark(read_snapshot(store.spark, store.control), "medclaim_header")
+    last = read_watermark(_control(store, "medclaim_header")[0], "medclaim_header")
     recorded = publish(
         store, config, "medclaim_details", "MedClaim_D", line.history, now, last=last
     )
     header = claim_header_extract(config, inputs, state, line, recorded)
     delta = header.delta if config.run_type == "Hist" else None
     publish(store, config, "medclaim_header", "MedClaim_H", header.history, now, delta)
-    mark_published(store.spark, store.state("medclaim_header"), now)
+    mark_published(store, ["medclaim_details", "medclaim_header"], now)

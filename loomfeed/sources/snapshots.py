@@ -8,6 +8,7 @@ overwritten while it is read.
 from __future__ import annotations
 
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -20,16 +21,27 @@ MAX_AGE_HOURS = 23
 MAX_AGE_HOURS_PRODUCTION = 2159
 
 REBUILD, MERGE = "REBUILD", "MERGE"
-# Logged for a version, in addition to the operation that wrote it, once its changes went out.
-PUBLISHED = "PUBLISHED"
-LOG_SCHEMA = "version long, committed_at timestamp_ntz, operation string"
+LOG_SCHEMA = "version long, committed_at timestamp_ntz, operation string, folder string"
 
 
-def version_log(spark: SparkSession, root: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a log, none before its first one."""
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
-    except AnalysisException:
-        return spark.createDataFrame([], LOG_SCHEMA)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        # Any other cause must not read as an empty log.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def append_log(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
+    """Add rows in one file, so that all of them count or none."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def version_log(spark: SparkSession, root: str) -> DataFrame:
+    return read_log(spark, f"{root}/log", LOG_SCHEMA)
 
 
 def latest_version(log: DataFrame, operation: str | None = None) -> DataFrame:
@@ -53,41 +65,32 @@ def rebuild_time(
 
 
 def _row_as_of(log: DataFrame, as_of: datetime | None) -> Row | None:
-    rows = log if as_of is None else log.filter(F.col("committed_at") <= dates.timestamp(as_of))
+    rows = log.filter(F.col("folder").isNotNull())
+    if as_of is not None:
+        rows = rows.filter(F.col("committed_at") <= dates.timestamp(as_of))
     return latest_version(rows).first()
 
 
 def write_snapshot(
     df: DataFrame, root: str, committed_at: datetime, operation: str = MERGE
 ) -> int:
-    """Write the next version and commit it; returns its number."""
+    """Write the next version and commit it; returns its number.
+
+    Every write has a folder of its own, so nothing that another version or an interrupted write
+    left is written over. Two writers that commit one number are an error for both.
+    """
     spark = df.sparkSession
     last = latest_version(version_log(spark, root)).first()
     version = 1 if last is None else last.version + 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    _log(spark, root, version, committed_at, operation)
+    folder = f"version={version}-{uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{root}/{folder}")
+    append_log(spark, f"{root}/log", [(version, committed_at, operation, folder)], LOG_SCHEMA)
+    same = (F.col("version") == version) & F.col("folder").isNotNull()
+    if version_log(spark, root).filter(same).count() > 1:
+        raise RuntimeError(f"version {version} of {root} was written twice")
     return version
 
 
-def _log(spark: SparkSession, root: str, version: int, at: datetime, operation: str) -> None:
-    entry = spark.createDataFrame([(version, at, operation)], LOG_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/log")
-
-
-def mark_published(spark: SparkSession, root: str, at: datetime) -> None:
-    """Note that the changes of the current version went out; its files stay as they are."""
-    _log(spark, root, latest_version(version_log(spark, root)).first().version, at, PUBLISHED)
-
-
-def is_published(spark: SparkSession, root: str) -> bool:
-    log = version_log(spark, root)
-    last = latest_version(log).first()
-    if last is None:
-        return False
-    marks = log.filter((F.col("version") == last.version) & (F.col("operation") == PUBLISHED))
-    return marks.first() is not None
-
-
 def read_snapshot(spark: SparkSession, root: str, as_of: datetime | None = None) -> DataFrame:
     """The last version committed by ``as_of``, or the current one.
 
@@ -96,7 +99,21 @@ def read_snapshot(spark: SparkSession, root: str, as_of: datetime | None = None)
     row = _row_as_of(version_log(spark, root), as_of)
     if row is None:
         raise LookupError(f"no version of {root} committed by {as_of}")
-    return spark.read.parquet(f"{root}/version={row.version}")
+    return _read(spark, root, row)
+
+
+def read_before(spark: SparkSession, root: str, operation: str) -> DataFrame | None:
+    """The version before the one that ``operation`` wrote, None if it wrote none."""
+    log = version_log(spark, root)
+    written = latest_version(log, operation).first()
+    if written is None:
+        return None
+    earlier = log.filter((F.col("version") < written.version) & F.col("folder").isNotNull())
+    return _read(spark, root, latest_version(earlier).first())
+
+
+def _read(spark: SparkSession, root: str, row: Row) -> DataFrame:
+    return spark.read.parquet(f"{root}/{row.folder}")
 
 
 def has_snapshot(spark: SparkSession, root: str) -> bool:

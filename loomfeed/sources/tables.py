@@ -63,6 +63,23 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
+def _drop(spark: SparkSession, name: str, partitions: DataFrame) -> None:
+    """Drop the listed partitions, each by its values of all partition columns."""
+    for row in partitions.collect():
+        pairs = [part.split("=", 1) for part in row.partition.split("/")]
+        spec = ", ".join(f"`{key}` = '{text}'" for key, text in pairs)
+        spark.sql(
+            f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION ({spec})", args={"name": name}
+        )
+
+
+def drop_where(spark: SparkSession, name: str, column: str, value: object) -> None:
+    """Drop the partitions of a table whose ``column`` has that value; no data is read."""
+    partitions = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
+    hit = F.array_contains(F.split("partition", "/"), f"{column}={value}")
+    _drop(spark, name, partitions.filter(hit))
+
+
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace just the partitions of a table that ``df`` has rows for.
 
@@ -86,8 +103,4 @@ def drop_partitions(spark: SparkSession, name: str, column: str, before: str) ->
     """
     partitions = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
     value = F.regexp_extract("partition", f"{column}=([^/]*)", 1)
-    for row in partitions.select(value.alias("value")).filter(F.col("value") < before).collect():
-        spark.sql(
-            f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION ({column} = '{row.value}')",
-            args={"name": name},
-        )
+    _drop(spark, name, partitions.filter(value < before))

@@ -100,10 +100,28 @@ def test_default_rules_order_types_and_columns(spark):
     assert rules.apply_default_rules(df, none) is df
 
 
-def test_large_configuration_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(rules, "MAX_CONFIG_ROWS", 3)
+def test_rules_for_other_columns_stay_where_they_are(spark):
+    """Rules of any number; only those for columns of the frame become part of its plan."""
+    columns = (
+        "source_attribute string, source_systems string, attribute string, operator string, "
+        "match_value string, default_value string, priority int"
+    )
+    own = spark.createDataFrame([("a", "all", "a", "=", None, "'x'", 1)], columns)
+    others = spark.range(20_000).selectExpr(
+        "concat('c', id) AS source_attribute", "'all' AS source_systems", "'c' AS attribute",
+        "'=' AS operator", "'1' AS match_value", "'2' AS default_value", "2 AS priority",
+    )
+    frame = spark.createDataFrame([(None,), ("b",)], "a string")
+    changed = rules.apply_default_rules(frame, own.unionByName(others).unionByName(own))
+    assert sorted(r.a for r in changed.collect()) == ["b", "x"]
+
+
+def test_several_config_values_are_an_error(spark):
+    names = spark.createDataFrame([("NY", "standard"), ("NY", "extended")], "target_market string, sdm_type string")
     with pytest.raises(ValueError):
-        rules.collect_config(spark.range(4))
+        rules.model_type(names, "ny")
+    assert rules.model_type(names.limit(0), "ny") == ""
+    assert rules.model_type(names.filter("sdm_type = 'standard'"), "ny") == "standard"
 
 
 LIST_SCHEMA = (

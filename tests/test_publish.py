@@ -29,7 +29,7 @@ from loomfeed.plans.claim_headers import (
     claim_header_source,
     claim_header_state,
 )
-from loomfeed.plans.claim_lines import claim_line_source
+from loomfeed.plans.claim_lines import claim_line_current, claim_line_source, claim_line_state
 from loomfeed.plans.config import EXTENDED, RunConfig
 from loomfeed.plans.eligibility import eligibility
 from loomfeed.plans.labs import lab_current
@@ -62,8 +62,9 @@ def store(spark, folder):
     return store
 
 
-def lines_of(store, report):
-    texts = [open(f, encoding="utf-8").read() for f in glob.glob(f"{store.extract(report)}/*.txt")]
+def lines_of(store, report, batch=1):
+    folder = store.extract(report, batch)
+    texts = [open(f, encoding="utf-8").read() for f in glob.glob(f"{folder}/*.txt")]
     assert len({t.split("\n")[0] for t in texts}) == 1
     return sorted(line for t in texts for line in t.split("\n")[1:] if line)
 
@@ -82,7 +83,7 @@ def test_eligibility_run(spark, store):
     assert len(sent) == 4  # P1 has two live cohort rows, as the cohort table was given
     assert all('"\\"q\\""' in s or "1900-01-01 00:00:00.000" in s for s in sent)
     history = spark.table(store.history("eligibility"))
-    assert history.columns == [*layouts.ELIGIBILITY, "Filename", "LoadTime", "LoadDate"]
+    assert history.columns == [*layouts.ELIGIBILITY, "Filename", "LoadTime", "LoadDate", "Batch"]
     assert {r.LoadDate for r in history.collect()} == {"20240610"}
     source = read_snapshot(spark, store.state("eligibility"))
     assert source.count() == 3
@@ -143,11 +144,12 @@ def test_lab_runs(spark, store):
         ("O5", 6, "update_postimage"),
         ("O8", 8, "insert"),
     ]
-    assert len(lines_of(store, "NYFILE_Delta_Lab_240601_240601")) == 2
+    assert len(lines_of(store, "NYFILE_Delta_Lab_240601_240601", 2)) == 2
     assert spark.table(store.history("lab_result")).count() == 4
 
     publish.run_labs(store, CONFIG, lab_inputs(spark, second), later + timedelta(days=1))
-    assert lines_of(store, "NYFILE_Delta_Lab_240601_240601") == []
+    assert lines_of(store, "NYFILE_Delta_Lab_240601_240601", 3) == []
+    assert len(lines_of(store, "NYFILE_Delta_Lab_240601_240601", 2)) == 2
 
 
 def test_lab_names_by_model(spark):
@@ -249,7 +251,7 @@ def test_claim_runs(spark, store):
     later = NOW + timedelta(days=1)
     config = replace(CONFIG, as_of=date(2024, 6, 11))
     run_claims(spark, store, config, headers, details, later)
-    sent = lines_of(store, "NYFILE_Delta_MedClaim_H_240601_240601")
+    sent = lines_of(store, "NYFILE_Delta_MedClaim_H_240601_240601", 2)
     names = [c.upper() for c in layouts.CLAIM_HEADER[2:]]
     number, kind = names.index("CLAIM_NUMBER"), names.index("CLAIM_ADJUST_TYPE")
     assert [(s.split("|")[number], s.split("|")[kind]) for s in sent] == [
@@ -259,7 +261,7 @@ def test_claim_runs(spark, store):
         ("20-C4", "DELETE"),
         ("20-C5", "ORIGINAL"),
     ]
-    lines = lines_of(store, "NYFILE_Delta_MedClaim_D_240601_240601")
+    lines = lines_of(store, "NYFILE_Delta_MedClaim_D_240601_240601", 2)
     assert [tuple(s.split("|")[1:3]) for s in lines] == [
         ("20-C1", "1"),
         ("20-C1", "2"),
@@ -279,20 +281,114 @@ def test_claim_runs(spark, store):
 
     # Nothing changed: nothing is sent.
     run_claims(spark, store, config, headers, details, later + timedelta(days=1))
-    assert lines_of(store, "NYFILE_Delta_MedClaim_H_240601_240601") == []
-    assert lines_of(store, "NYFILE_Delta_MedClaim_D_240601_240601") == []
+    assert lines_of(store, "NYFILE_Delta_MedClaim_H_240601_240601", 3) == []
+    assert lines_of(store, "NYFILE_Delta_MedClaim_D_240601_240601", 3) == []
 
 
-def test_changes_of_an_interrupted_run_go_out_with_the_next(spark, store):
+class Stop(Exception):
+    pass
+
+
+# Where a run may stop: before the call of these, for the n-th time.
+STEPS = [("write_extract", 1), ("age_history", 1), ("mark_published", 1)]
+
+
+def stopped(monkeypatch, step, call, run):
+    """Runs until ``step`` is called for the ``call``-th time."""
+    with monkeypatch.context() as patch:
+        own, calls = getattr(publish, step), []
+
+        def counted(*args, **kwargs):
+            calls.append(step)
+            if len(calls) == call:
+                raise Stop
+            return own(*args, **kwargs)
+
+        patch.setattr(publish, step, counted)
+        with pytest.raises(Stop):
+            run()
+
+
+def delivered(spark, store, domains, reports):
+    """Sent lines, history without its times, and control times."""
+    files = [lines_of(store, report) for report in reports]
+    history = []
+    for domain in domains:
+        table = spark.table(store.history(domain)).drop("LoadTime", "LoadDate", "Filename")
+        history.append(rows(table, *sorted(table.columns)))
+    control = rows(read_snapshot(spark, store.control))
+    index = rows(read_snapshot(spark, store.state("extracts")), "Filename", "place")
+    return files, history, control, index
+
+
+@pytest.fixture
+def undisturbed(spark, store):
+    """A second store with the same control times."""
+    folder = store.root + "-undisturbed"
+    other = publish.Store(spark, folder, store.database + "_other")
+    spark.sql(f"CREATE DATABASE {other.database}")
+    write_snapshot(read_snapshot(spark, store.control), other.control, day("2024-06-01"))
+    return other
+
+
+@pytest.mark.parametrize("step, call", STEPS)
+def test_labs_repeated_after_a_stop(spark, store, undisturbed, monkeypatch, step, call):
+    inputs = lab_inputs(spark, [lab(1), lab(2, lab_order_id="O2")])
+    stopped(monkeypatch, step, call, lambda: publish.run_labs(store, CONFIG, inputs, NOW))
+    publish.run_labs(store, CONFIG, inputs, NOW + timedelta(days=1))
+    publish.run_labs(undisturbed, CONFIG, inputs, NOW)
+    args = ["lab_result"], ["NYFILE_Delta_Lab_240501_240601"]
+    assert delivered(spark, store, *args) == delivered(spark, undisturbed, *args)
+    assert len(lines_of(store, args[1][0])) == 2
+
+
+@pytest.mark.parametrize("step, call", [("save_state", 2), ("mark_published", 1)])
+def test_claims_repeated_after_a_stop(spark, store, undisturbed, monkeypatch, step, call):
+    headers, details = [header(1), header(2)], [detail(10, 1, 1), detail(20, 2, 1)]
+    def run():
+        run_claims(spark, store, CONFIG, headers, details, NOW)
+
+    stopped(monkeypatch, step, call, run)
+    run_claims(spark, store, CONFIG, headers, details, NOW + timedelta(days=1))
+    run_claims(spark, undisturbed, CONFIG, headers, details, NOW)
+    reports = [f"NYFILE_Delta_MedClaim_{x}_240501_240601" for x in "DH"]
+    args = ["medclaim_details", "medclaim_header"], reports
+    assert delivered(spark, store, *args) == delivered(spark, undisturbed, *args)
+    assert [len(lines_of(store, r)) for r in reports] == [2, 2]
+
+
+def test_lines_repeated_alone_go_out_with_the_headers(spark, store):
     headers, details = [header(1)], [detail(10, 1, 1)]
-    publish.run_claim_lines(store, CONFIG, line_inputs(spark, headers, details), NOW)
-    inputs = header_inputs(spark, headers, details)
-    current = claim_header_current(CONFIG, inputs)
-    lines = read_snapshot(spark, store.state("medclaim_details"))
-    classified = claim_header_state(CONFIG, inputs, current.limit(0), lines)
-    publish.save_state(store, "medclaim_header", classified, NOW)  # and nothing after it
-    kept = publish.previous_headers(store, current)
-    assert rows(kept, "CLAIM_NUMBER", "UPDATE_TYPE") == [("20-C1", "ORIGINAL")]
+    for _ in range(2):
+        publish.run_claim_lines(store, CONFIG, line_inputs(spark, headers, details), NOW)
+    publish.run_claim_headers(store, CONFIG, header_inputs(spark, headers, details), NOW)
+    assert len(lines_of(store, "NYFILE_Delta_MedClaim_D_240501_240601")) == 1
+
+
+def test_newest_header_row_counts(spark):
+    """Of rows for one claim and service date the latest update counts, whatever their hashes."""
+    for n in range(4):
+        pair = [
+            header(1, drg_code=f"{n}a", claim_number="C", aud_upd_dt=day("2024-05-01")),
+            header(2, drg_code=f"{n}b", claim_number="C", aud_upd_dt=day("2024-05-02")),
+        ]
+        inputs = header_inputs(spark, pair, [detail(10, 1, 1)])
+        current = claim_header_current(CONFIG, inputs)
+        lines = line_inputs(spark, pair, [detail(10, 1, 1)])
+        state = claim_header_state(
+            CONFIG, inputs, current.limit(0), claim_line_state(CONFIG, lines, claim_line_current(CONFIG, lines).limit(0))
+        )
+        assert rows(state, "DRG_CODE") == [(f"{n}b",)]
+
+
+def test_tenants_may_share_a_line_number(spark):
+    details = [detail(10, 1, 1, source_system_sk="610"), detail(20, 2, 1, source_system_sk="610", tenant_sk=2, claim_number="C1")]
+    headers = [header(1, source_system_sk="610"), header(2, source_system_sk="610", tenant_sk=2, claim_number="C1")]
+    config = replace(CONFIG, tenants=(1, 2))
+    inputs = line_inputs(spark, headers, details)
+    current = claim_line_current(config, inputs)
+    state = claim_line_state(config, inputs, current.limit(0))
+    assert state.count() == current.count()
 
 
 def test_historic_run_records_deletes_without_sending_them(spark, store):
@@ -307,7 +403,7 @@ def test_history_ageing(spark, store):
     today = datetime(2024, 6, 30)
     for age in (364, 366, 729, 731):
         loaded = today - timedelta(days=age)
-        publish.record_history(store, "pod", spark.range(2), f"{age}.txt", loaded)
+        publish.record_history(store, "pod", spark.range(2), f"{age}.txt", loaded, batch=age)
 
     def tiers():
         return [
