@@ -22,8 +22,9 @@ SAMPLE_PER_CLASS = 25_000
 SIGNS = 20_000
 SUPPORT = 3
 PREFIXES = (4, 5)
-# Share of a sign's documents in which it must stand between other words than before.
-VARIED = 0.5
+# Different pairs of neighbours that a sign must have, and different ones on either side, as a share
+# of its documents.
+VARIED, VARIED_SIDE = 0.5, 0.05
 # Cost in nats of reading a symbol as a letter, of dropping one, and of a double letter read as one.
 LEET, DROP, SINGLE = 0.5, 12.0, 3.0
 
@@ -181,8 +182,10 @@ SIGN_DDL = "kind string, sign string, bad long, good long"
 SIGN = pa.schema(
     [("kind", pa.string()), ("sign", pa.string()), ("bad", pa.int64()), ("good", pa.int64())]
 )
-CONTEXT_DDL = "kind string, sign string, context long"
-CONTEXT = pa.schema([("kind", pa.string()), ("sign", pa.string()), ("context", pa.int64())])
+CONTEXT_DDL = "kind string, sign string, before long, after long"
+CONTEXT = pa.schema(
+    [("kind", pa.string()), ("sign", pa.string()), ("before", pa.int64()), ("after", pa.int64())]
+)
 
 
 def _document_counts(shared):
@@ -219,10 +222,9 @@ def _contexts(shared):
                 known = pa.array(list(model.signs.get(kind, {})), pa.string())
                 hit = pc.is_in(values, value_set=known).to_numpy(zero_copy_only=False)
                 token = np.flatnonzero(hit[place][code])
-                with np.errstate(over="ignore"):
-                    context = around[token] * 31 + around[token + 2]
                 sign = values.take(pa.array(place[code[token]]))
-                out = {"kind": [kind] * len(token), "sign": sign, "context": context}
+                out = {"kind": [kind] * len(token), "sign": sign}
+                out |= {"before": around[token], "after": around[token + 2]}
                 yield record(out, CONTEXT)
 
     return find
@@ -280,9 +282,14 @@ def learn_toxicity(
     model.signs = by_kind(found)
     shared = share(model)
     around = rows.where("toxic = 1").select("text").mapInArrow(_contexts(shared), CONTEXT_DDL)
-    around = around.distinct().groupBy("kind", "sign").agg(F.count("*").alias("contexts")).toPandas()
-    found = found.merge(around, "left", ["kind", "sign"]).fillna({"contexts": 0})
-    model.signs = by_kind(found[found["contexts"] >= np.maximum(VARIED * found["bad"], SUPPORT)])
+    around = around.groupBy("kind", "sign").agg(
+        F.countDistinct("before", "after").alias("pairs"),
+        F.least(F.countDistinct("before"), F.countDistinct("after")).alias("side"),
+    )
+    found = found.merge(around.toPandas(), "left", ["kind", "sign"]).fillna({"pairs": 0, "side": 0})
+    varied = found["pairs"] >= np.maximum(VARIED * found["bad"], SUPPORT)
+    varied &= found["side"] >= np.maximum(VARIED_SIDE * found["bad"], SUPPORT)
+    model.signs = by_kind(found[varied])
     shared = share(model)
     points = rows.select("text", "toxic").mapInArrow(_evidence(shared, ["toxic"]), "toxic long, evidence double")
     points = points.groupBy("toxic", F.round("evidence", 1).alias("x")).agg(F.count("*").alias("n"))
