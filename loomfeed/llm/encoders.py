@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 from .text import distinct, gather, starts, words
 
 # Pieces a worker remembers from one batch to the next; beyond that it keeps the more frequent half.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # Pre-tokens a worker remembers; the memory is emptied beyond that.
-PARTS = 150_000
+PARTS = 60_000
 # Any white space, and the separators that some libraries count as such.
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _UNSURE = rf"{_WS}{_WS}|[\t\x0b\f\r\x1c-\x1f\x{{85}}\x{{a0}}]|[^\x20\P{{Z}}]|^{_WS}|{_WS}$"

@@ -20,6 +20,8 @@ SWITCH = 8.0
 # A language uses a script if at least this share of its letters is written in it.
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
+# Bytes of text handled at once.
+TEXT_AT_ONCE = 2 << 20
 # Labelled rows, at most, that the choice of a mixed text's main language is learned from.
 CALIBRATION_ROWS = 20_000
 SHARES = 20
@@ -108,7 +110,7 @@ CONTEXT, SCRIPT = 3, 5
 def count_grams(batches):
     sizes = [*SLOTS, *SLOTS[:2], N_SCRIPTS]
     totals: dict[str, list[np.ndarray]] = {}
-    for rows in slices(batches):
+    for rows in slices(batches, limit=TEXT_AT_ONCE):
         flat, counts = words(rows["text"])
         if not len(flat):
             continue
@@ -248,7 +250,7 @@ def _calibrated(known: DataFrame, model: LanguageModel) -> np.ndarray:
     def count(batches):
         model = shared.value
         place = {name: i for i, name in enumerate(model.langs)}
-        for rows in slices(batches):
+        for rows in slices(batches, limit=TEXT_AT_ONCE):
             path, counts, weight, share = model.labelled(rows["text"], SWITCH)
             cells = model.features(path, counts, share)
             lang = np.array([place[x] for x in rows["lang"].to_pylist()])
@@ -328,7 +330,7 @@ def _labeller(model, switch: float):
     def label(batches):
         known = model.value
         names = np.array([*known.langs, UNDETERMINED], object)
-        for rows in slices(batches):
+        for rows in slices(batches, limit=TEXT_AT_ONCE):
             path, counts, weight, chance = known.labelled(rows["text"], switch)
             docs = len(counts)
             doc = np.repeat(np.arange(docs), counts)
