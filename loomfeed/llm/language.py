@@ -28,6 +28,9 @@ SHARES = 20
 # What a letter costs in a language that does not use its script.
 FOREIGN = 20.0
 
+# Nats for each letter by which a span must be likelier in its language than by its letters alone.
+LEAST_GAIN = 0.0
+
 # First and last code point of ranges, and a number for each script.
 SCRIPTS = (
     (0x0041, 0x024F, 1),  # Latin
@@ -161,21 +164,28 @@ class LanguageModel:
         return self._total
 
     def labelled(self, texts: pa.Array, switch: float):
-        """Words' languages, texts' word counts, letters of each text in each language, and the
-        chance of each language to be the text's."""
+        """Words' languages, texts' word counts, letters of each text in each language, the chance
+        of each language to be the text's, and the share of the letters in spans that fit theirs."""
         flat, counts = words(texts)
         code, values = distinct(flat)
         docs, width = len(counts), len(self.langs)
         doc = np.repeat(np.arange(docs), counts)
         if not width or not len(values):
-            return np.full(len(code), width, np.int16), counts, np.zeros((docs, width)), np.zeros((docs, width))
-        emission, size = self.scores(values)
+            none = np.zeros((docs, width))
+            return np.full(len(code), width, np.int16), counts, none, none, np.zeros(docs)
+        emission, size, plain = self.scores(values)
         path = label_words(emission, code, counts, switch)
         weight = np.bincount(doc * width + path, size[code], docs * width).reshape(docs, width)
         share = weight / np.maximum(weight.sum(axis=1, keepdims=True), 1)
+        heads = np.flatnonzero(span_heads(path, doc))
+        gain = np.add.reduceat(emission[code, path] - plain[code], heads)
+        letters_ = np.add.reduceat(size[code], heads)
+        fitting = np.bincount(doc[heads], letters_ * (gain > LEAST_GAIN * letters_), docs)
+        fitting /= np.maximum(weight.sum(axis=1), 1)
         if self.chance is None:
-            return path, counts, weight, share
-        return path, counts, weight, self.chance[self.features(path, counts, share)] * (weight > 0)
+            return path, counts, weight, share, fitting
+        chance = self.chance[self.features(path, counts, share)] * (weight > 0)
+        return path, counts, weight, chance, fitting
 
     def features(self, path, counts, share):
         at, lang = starts(counts), np.arange(len(self.langs))
@@ -186,7 +196,8 @@ class LanguageModel:
         return step, (first[:, None] == lang).astype(int), (last[:, None] == lang).astype(int)
 
     def scores(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Natural logarithm of each word's probability in each language, and its letters.
+        """Natural logarithm of each word's probability in each language, its letters, and the
+        logarithm of its probability by the letters' frequency alone, whatever their order.
 
         Only languages that use the word's script are scored; without such, all are.
         """
@@ -207,7 +218,10 @@ class LanguageModel:
             out[:, lang] = np.bincount(word, np.log(p), len(values))
         out -= FOREIGN * grams.size[:, None] * ~allowed
         out[grams.size == 0] = 0.0
-        return out, grams.size
+        every = self.grams[0].sum(axis=0)
+        p = (every[grams.grams[0]] + 0.1) / (every.sum() + 0.1 * 4096)
+        plain = np.bincount(word, np.log(p), len(values))
+        return out, grams.size, plain
 
 
 def tables_of(counts) -> LanguageModel:
@@ -251,7 +265,7 @@ def _calibrated(known: DataFrame, model: LanguageModel) -> np.ndarray:
         model = shared.value
         place = {name: i for i, name in enumerate(model.langs)}
         for rows in slices(batches, limit=TEXT_AT_ONCE):
-            path, counts, weight, share = model.labelled(rows["text"], SWITCH)
+            path, counts, weight, share, _ = model.labelled(rows["text"], SWITCH)
             cells = model.features(path, counts, share)
             lang = np.array([place[x] for x in rows["lang"].to_pylist()])
             own = lang[:, None] == np.arange(len(model.langs))
@@ -273,6 +287,13 @@ def _calibrated(known: DataFrame, model: LanguageModel) -> np.ndarray:
     return (own + 4 * prior) / (n + 4)
 
 
+def span_heads(path: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a span of one language begins at each word."""
+    change = np.ones(len(path), bool)
+    change[1:] = (path[1:] != path[:-1]) | (doc[1:] != doc[:-1])
+    return change
+
+
 def label_words(emission: np.ndarray, code: np.ndarray, counts: np.ndarray, switch: float):
     """The best language of every word of several texts, by Viterbi side by side.
 
@@ -319,10 +340,12 @@ LABELLED = pa.schema(
         ("score", pa.float64()),
         ("span_words", pa.list_(pa.int64())),
         ("span_langs", pa.list_(pa.string())),
+        ("fitting", pa.float64()),
     ]
 )
 LABELLED_DDL = (
-    "doc_id long, lang_pred string, score double, span_words array<long>, span_langs array<string>"
+    "doc_id long, lang_pred string, score double, span_words array<long>, span_langs array<string>, "
+    "fitting double"
 )
 
 
@@ -331,7 +354,7 @@ def _labeller(model, switch: float):
         known = model.value
         names = np.array([*known.langs, UNDETERMINED], object)
         for rows in slices(batches, limit=TEXT_AT_ONCE):
-            path, counts, weight, chance = known.labelled(rows["text"], switch)
+            path, counts, weight, chance, fitting = known.labelled(rows["text"], switch)
             docs = len(counts)
             doc = np.repeat(np.arange(docs), counts)
             some = weight.sum(axis=1) > 0
@@ -340,9 +363,7 @@ def _labeller(model, switch: float):
             best, score = np.full(docs, len(known.langs)), np.zeros(docs)
             if some.any():
                 best[some], score[some] = rank[some].argmax(axis=1), chance[some].max(axis=1)
-            change = np.ones(len(path), bool)
-            change[1:] = (path[1:] != path[:-1]) | (doc[1:] != doc[:-1])
-            heads = np.flatnonzero(change)
+            heads = np.flatnonzero(span_heads(path, doc))
             sizes = np.diff(np.append(heads, len(path)))
             cuts = pa.array(starts(np.bincount(doc[heads], minlength=docs)), pa.int32())
             yield record(
@@ -352,6 +373,7 @@ def _labeller(model, switch: float):
                     "score": score,
                     "span_words": pa.ListArray.from_arrays(cuts, pa.array(sizes, pa.int64())),
                     "span_langs": pa.ListArray.from_arrays(cuts, pa.array(names[path[heads]])),
+                    "fitting": fitting,
                 },
                 LABELLED,
             )
@@ -373,15 +395,18 @@ def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> D
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_labeller(shared, switch), LABELLED_DDL)
+    return rows.mapInArrow(_labeller(shared, switch), LABELLED_DDL).drop("fitting")
 
 
 def with_known_language(
     docs: DataFrame, model: LanguageModel, least: float = 0.5, switch: float = SWITCH
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is known with a chance of ``least``.
+    """The rows of ``docs``, all columns, that a learned language or several explain.
 
-    Texts that are null or have no letter go. A missing ``lang`` is filled with the language found.
+    At least ``least`` of a text's letters must stand in spans that fit the language they are
+    labelled with, that is, are likelier in it than by the frequency of their letters alone. Which
+    language has how large a share does not count. Texts that are null or have no letter go. A
+    missing ``lang`` is filled with the main language found.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     label = _labeller(shared, switch)
@@ -390,9 +415,9 @@ def with_known_language(
         for batch in batches:
             keyed = batch.select(["text"]).append_column("doc_id", pa.nulls(batch.num_rows, pa.int64()))
             found = pa.Table.from_batches(label([keyed]), LABELLED)
-            found = found.select(["lang_pred", "score"]).combine_chunks()
-            names, score = (found[c].combine_chunks() for c in ("lang_pred", "score"))
-            known = pc.and_(pc.not_equal(names, UNDETERMINED), pc.greater_equal(score, least))
+            found = found.select(["lang_pred", "fitting"]).combine_chunks()
+            names, fitting = (found[c].combine_chunks() for c in ("lang_pred", "fitting"))
+            known = pc.and_(pc.not_equal(names, UNDETERMINED), pc.greater_equal(fitting, least))
             place = batch.schema.get_field_index("lang")
             if place >= 0:
                 lang = pc.coalesce(batch["lang"], names.cast(batch["lang"].type))
