@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.staging import stage
 from .language import COUNTS_DDL, LanguageModel, count_grams, tables_of
 from .text import distinct, record, slices, starts, words
 
@@ -22,9 +23,9 @@ SAMPLE_PER_CLASS = 25_000
 SIGNS = 20_000
 SUPPORT = 3
 PREFIXES = (4, 5)
-# Different pairs of neighbours that a sign must have, and different ones on either side, as a share
-# of its documents.
-VARIED, VARIED_SIDE = 0.5, 0.05
+# Different pairs of neighbours that a sign must have, and different ones on either side, whatever
+# the number of its documents.
+VARIED, VARIED_SIDE = 3, 3
 # Cost in nats of reading a symbol as a letter, of dropping one, and of a double letter read as one.
 LEET, DROP, SINGLE = 0.5, 12.0, 3.0
 
@@ -247,10 +248,10 @@ def learn_toxicity(
     """A model from all (doc_id, text) rows and the (doc_id, toxic) rows that have a label.
 
     The character model counts every text. Signs and the final logistic curve are fitted on
-    labelled documents, at most about ``per_class`` of each class, drawn evenly; their ids and
-    labels are what is broadcast. A sign is a word or word beginning whose log-odds between the
+    labelled documents, at most about ``per_class`` of each class, drawn evenly from the distinct
+    texts of the class; their ids and labels are what is broadcast. A sign is a word or word beginning whose log-odds between the
     classes are positive beyond chance and that stands in varied contexts, so that passages copied
-    from one toxic document to others do not become signs.
+    from one toxic document to others do not become signs; copies of it take none away either.
     """
     spark = texts.sparkSession
     share = spark.sparkContext.broadcast
@@ -258,14 +259,22 @@ def learn_toxicity(
     letters = letters.groupBy("lang", "kind", "slot").agg(F.sum("n").alias("n"))
     model = ToxicityModel(tables_of(letters.toPandas()), {})
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
-    known = known.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
-    sizes = {int(r["toxic"] > 0): r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("long").alias("toxic"))
+    body = F.xxhash64(F.coalesce("text", F.lit(""))).alias("body")
+    bodies = texts.select(F.col("doc_id").cast("long"), body)
+    # Copies of a text count once in each class.
+    known = bodies.join(known, "doc_id").groupBy("body", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not (sizes.get(0) and sizes.get(1)):
         model.bias = math.log((sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + 0.5))
         return model
     parts = {k: min(1.0, per_class / n) for k, n in sizes.items()}
-    drawn = known.withColumn("toxic", (F.col("toxic") > 0).cast("long")).sampleBy("toxic", parts, seed=1)
-    rows = texts.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id")
+    # By the text, so that the draw is the same each time it is computed.
+    draw = F.pmod(F.xxhash64("body", F.lit(1)), F.lit(1 << 30)) / (1 << 30)
+    drawn = stage(known.where(draw < F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0])), "labelled")
+    rows = texts.select(F.col("doc_id").cast("long"), "text", body)
+    rows = rows.join(F.broadcast(drawn), ["doc_id", "body"]).dropDuplicates(["body", "toxic"])
+    rows = stage(rows.select("text", "toxic"), "labelled-texts")
     shared = share(model)
     signs = rows.select("text", "toxic").mapInArrow(_document_counts(shared), SIGN_DDL)
     signs = signs.where("sign <> ''").groupBy("kind", "sign").agg(
@@ -287,8 +296,7 @@ def learn_toxicity(
         F.least(F.countDistinct("before"), F.countDistinct("after")).alias("side"),
     )
     found = found.merge(around.toPandas(), "left", ["kind", "sign"]).fillna({"pairs": 0, "side": 0})
-    varied = found["pairs"] >= np.maximum(VARIED * found["bad"], SUPPORT)
-    varied &= found["side"] >= np.maximum(VARIED_SIDE * found["bad"], SUPPORT)
+    varied = (found["pairs"] >= VARIED) & (found["side"] >= VARIED_SIDE)
     model.signs = by_kind(found[varied])
     shared = share(model)
     points = rows.select("text", "toxic").mapInArrow(_evidence(shared, ["toxic"]), "toxic long, evidence double")
