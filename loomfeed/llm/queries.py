@@ -12,6 +12,8 @@ from .exact_dedup import exact_groups
 from .language import identify, learn_languages
 from .mixing import learn_mixing, score_mixing
 from .packing import pack_documents
+from .periodic import find_runs
+from .phrases import phrase_collocations
 from .sentencepiece import decode_pieces, encode_pieces
 from .ship import ship
 from .simhash import simhash_groups
@@ -138,3 +140,88 @@ def op3_context_mixing(spark, folder):
     model, vocabulary = learn_mixing(docs.where(remainder(5) != 1), kind="lang")
     scored = score_mixing(docs, model, vocabulary)
     return scored.withColumn("held_out", remainder(5) == 1)
+
+
+@query
+def op12_stripes(spark, folder):
+    return phrase_collocations(_table(spark, folder, "documents"))
+
+
+# Phrases of up to four words as joined text; sums and products in 128 bits.
+SQL["op12_stripes"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), k AS (SELECT unnest([1, 2, 3, 4]) AS k
+), o AS (
+  SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, k WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM o GROUP BY ALL HAVING count(*) >= 30
+), c AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1
+), inner_part AS (
+  SELECT lang, a, unnest(list_distinct(flatten(list_transform(range(2, k), lambda m:
+           list_transform(range(1, k - m + 2), lambda s: array_to_string(w[s:s + m - 1], ' ')))))) AS phrase
+  FROM c WHERE k > 2
+), longer AS (
+  SELECT lang, phrase, max(a) AS most FROM inner_part GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase)
+  WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+), cut AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)
+), s AS (
+  SELECT c.lang, c.phrase, a, j, x.f AS l, y.f AS r,
+         (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM low JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_difference_cover(spark, folder):
+    docs = _table(spark, folder, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = find_runs(docs.withColumn("text", _periodic_text()))
+    best = F.expr(
+        "aggregate(runs, cast(null as struct<start:long,length:long,period:long>), (b, r) -> "
+        "if(b is null or r.length * b.period > b.length * r.period, r, b))"
+    )
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def _periodic_text():
+    """The text; of ids whose checksum ends in 0 the words from one place on repeat with a period."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.when(checksum % 10 == 0, F.expr(r"""
+        transform(array(named_struct(
+            'w', regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0),
+            'g', crc32(cast(cast(doc_id as string) as binary)) div 10)), x ->
+          if(size(x.w) = 0, '', transform(array(cast(x.g % size(x.w) as int)), a ->
+            transform(array(cast(1 + (size(x.w) - a) div (3 + x.g % 8) as int)), p ->
+              array_join(transform(x.w, (v, i) -> if(i < a, v, x.w[a + (i - a) % p])), ' '))[0])[0]))[0]
+    """)).otherwise(F.col("text"))
