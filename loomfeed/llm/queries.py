@@ -19,6 +19,7 @@ from .ship import ship
 from .simhash import simhash_groups
 from .spherical import vector_groups
 from .substring import remove_repeats
+from .suffixes import remove_repeated_strings
 from .token_planes import read_documents, write_tokens
 from .toxicity import learn_toxicity, score_toxicity
 
@@ -142,6 +143,18 @@ def op3_context_mixing(spark, folder):
     return scored.withColumn("held_out", remainder(5) == 1)
 
 
+@query
+def op11_induced_suffixes(spark, folder):
+    found = remove_repeated_strings(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op12_stripes(spark, folder):
     return phrase_collocations(_table(spark, folder, "documents"))
