@@ -18,3 +18,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the files of staged results that no later result reads any more.
+
+    What was computed from them has to be staged itself, or a lost executor's part of it could not
+    be computed again.
+    """
+    for df in staged:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
