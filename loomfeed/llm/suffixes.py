@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import release, stage
 from .cells import runs
 from .induced import permuted_prefixes, suffix_array
 from .substring import _joined, _spans
@@ -29,7 +29,7 @@ from .text import BASES, STEP, distinct, gather, mixed, record, slices, starts
 
 STRING = 200
 # Bytes of a piece that may be an anchor.
-PIECE = 32
+PIECE = 64
 # Different stretches of an anchor beyond which they are cut again, and into how many strings each.
 CROWD = 4096
 FINER = (16, 1)
@@ -97,8 +97,8 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets[1:].astype(np.int64) - begin
 
 
-ANCHORS = pa.schema([("okey", pa.int64()), ("th", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
-ANCHORS_DDL = "okey long, th long, h long, n long"
+ANCHORS = pa.schema([("okey", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
+ANCHORS_DDL = "okey long, h long, n long"
 
 
 def _anchors(string: int, piece: int):
@@ -112,8 +112,8 @@ def _anchors(string: int, piece: int):
             new = np.ones(len(doc), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
             heads = np.flatnonzero(new)
-            out = {"okey": rows["okey"].to_numpy()[doc[heads]], "th": rows["th"].to_numpy()[doc[heads]]}
-            out |= {"h": hashes[heads].view(np.int64), "n": np.diff(np.append(heads, len(doc)))}
+            out = {"okey": rows["okey"].to_numpy()[doc[heads]], "h": hashes[heads].view(np.int64)}
+            out["n"] = np.diff(np.append(heads, len(doc)))
             yield record(out, ANCHORS)
 
     return run
@@ -242,7 +242,13 @@ def _repeats(string: int):
 
     def run(batches):
         for rows in shards(batches):
-            h, n = rows["h"].to_numpy(), rows["n"].to_numpy()
+            # Equal stretches of an anchor follow each other; one stands for all.
+            h, digests = rows["h"].to_numpy(), rows["s"]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | pc.not_equal(digests[1:], digests[:-1]).to_numpy(zero_copy_only=False)
+            n = np.add.reduceat(rows["n"].to_numpy(), np.flatnonzero(new))
+            rows = rows.filter(pa.array(new))
+            h = rows["h"].to_numpy()
             sizes = pc.binary_length(rows["bytes"]).to_numpy(zero_copy_only=False).astype(np.int64)
             # An anchor with one stretch has nothing to be compared with.
             several = np.zeros(len(h), bool)
@@ -346,15 +352,16 @@ def remove_repeated_strings(docs: DataFrame, string: int = STRING, piece: int =
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     doc_id, th = F.col("doc_id").cast("long"), F.xxhash64("text")
     keyed = docs.select(doc_id.alias("doc_id"), "text", F.coalesce(doc_id, th).alias("okey"), th.alias("th"))
-    found = keyed.select("okey", "th", "text").mapInArrow(_anchors(string, piece), ANCHORS_DDL)
-    found = stage(found, "anchors")
+    found = stage(keyed.select("okey", "text").mapInArrow(_anchors(string, piece), ANCHORS_DDL), "anchors")
     often = found.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    hits = found.join(often, "h", "left_semi").groupBy("okey", "th").agg(F.collect_set("h").alias("hits"))
-    hits = hits.select(F.col("okey").alias("zkey"), F.col("th").alias("zth"), "hits")
+    # Rows that share an id share their hits, which is more than each needs.
+    hits = found.join(often, "h", "left_semi").groupBy("okey").agg(F.collect_set("h").alias("hits"))
+    hits = stage(hits.withColumnRenamed("okey", "zkey"), "shared-anchors")
+    release(found)
     # The texts are shuffled once for both joins, by the id alone.
     placed = keyed.repartition(parts, "okey")
     same = (F.col("okey") == F.col("zkey")) & (F.col("th").bitwiseXOR(F.col("zth")) == 0)
-    near = placed.hint("merge").join(hits.repartition(parts, "zkey"), same)
+    near = placed.hint("merge").join(hits.repartition(parts, "zkey"), F.col("okey") == F.col("zkey"))
     stretches = near.select("okey", "th", "text", "hits").mapInArrow(_shared(string, piece), PLACED_DDL)
     cuts = _all_cuts(stage(stretches, "stretches"), string, crowd, parts)
     cuts = cuts.groupBy("okey", "th").agg(F.collect_list("spans").alias("spans"))
@@ -367,13 +374,13 @@ def _all_cuts(stretches: DataFrame, string: int, crowd: int, parts: int) -> Data
     """``okey``, ``th`` and ``spans`` of all repeated strings in ``stretches``."""
     answers = []
     for width in (*FINER, 0):
-        # One row for each different stretch; where it stands is not moved.
-        each = stretches.groupBy("h", "s").agg(F.min("bytes").alias("bytes"), F.sum("n").alias("n"))
-        each = stage(each, "different-stretches")
-        crowded = each.groupBy("h").count().where(F.col("count") > crowd).select("h")
+        different = stretches.select("h", "s").distinct()
+        crowded = different.groupBy("h").count().where(F.col("count") > crowd).select("h")
         crowded = stage(crowded, "crowded-anchors") if width else None
         if crowded is None or crowded.isEmpty():
             width = 0
+        # Where a stretch stands is not moved.
+        each = stretches.select("h", "s", "bytes", "n")
         if width:
             each = each.join(crowded, "h", "left_anti")
         sorted_ = each.repartition(parts, "h").sortWithinPartitions("h", "s")
