@@ -34,7 +34,9 @@ PIECE = 64
 CROWD = 4096
 FINER = (16, 1)
 # Bytes whose suffixes are sorted at once; a shard is never cut.
-SORTED = 2 << 20
+SORTED = 1 << 20
+# Bytes of text cut into stretches at once.
+SLICE = 2 << 20
 
 # End marks of the whole text and of a stretch; bytes follow.
 _END, _APART, _BYTE = 0, 1, 2
@@ -103,7 +105,7 @@ ANCHORS_DDL = "okey long, h long, n long"
 
 def _anchors(string: int, piece: int):
     def run(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, limit=SLICE):
             data, ends = _bytes(rows["text"])
             first, _, hashes, _ = _stretches(data, ends, string, piece)
             doc = np.searchsorted(ends, first, "right")
@@ -142,7 +144,7 @@ def _shared(string: int, piece: int):
     """Stretches of each text whose anchors are in its ``hits``, equal ones of a slice as one."""
 
     def run(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, limit=SLICE):
             data, ends = _bytes(rows["text"])
             first, counts, hashes, anchor = _stretches(data, ends, string, piece)
             doc = np.searchsorted(ends, first, "right")
