@@ -1,26 +1,28 @@
 """Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
 
 The stripe of the empty prefix counts words, that of a word the words after it, and so on up to
-prefixes of one word less than the longest phrase. A task fills the stripes of its texts; they are
-merged element by element, one element a row, so that the stripe of a frequent prefix is spread
-over all tasks. Every stripe also holds its prefix's own total. Phrases (one more word), the
-totals that score them and the largest extension that may subsume them are all read off there.
-
-A phrase is no more frequent than any phrase inside it, so words and pairs that occur too rarely
-are left out of all longer stripes. A bitmap of bounded size tells them, which may let some pass
-and loses none; the counts themselves are by text.
+prefixes of one word less than the longest phrase. A slice of texts fills its stripes and sends
+every bucket the part it has to merge, element by element. Phrases, the totals that score them and
+the largest extensions that may subsume them are all read off the merged stripes.
+
+A phrase is no more frequent than any phrase inside it, so words and phrases that occur too rarely
+are left out of longer stripes. A bitmap of bounded size tells them, which may let some pass and
+loses none; the counts themselves are by text.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import LongType
 
 from ..sources.staging import stage
-from .text import BASES, STEP, distinct, mixed, record, slices, starts, window_hashes, within, word_hashes
+from .cells import runs
+from .substring import packed, unpacked
+from .text import BASES, STEP, distinct, gather, mixed, record, slices, starts, window_hashes, word_hashes
 
 # What ends a piece, and what stands between words.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -35,7 +37,9 @@ SCALE = 2_000_000
 # Bits of the bitmap for each frequent phrase, and its least and greatest size as powers of two.
 BITS_EACH = 16
 BITMAP = (16, 27)
-SLICE = 8 << 20
+SLICE = 4 << 20
+# Buckets for each shuffle partition, at least.
+BUCKETS = 4
 
 _BREAK = np.isin(np.arange(256), list(BREAKS))
 _INSIDE = ~_BREAK & ~np.isin(np.arange(256), list(BLANKS))
@@ -73,39 +77,6 @@ def _coded(rows: pa.RecordBatch):
     return word.astype(np.int64), vocabulary, lang.astype(np.int64)[text], languages, piece
 
 
-# A stripe: the words after a prefix with their counts. Its total stands under the empty word.
-STRIPE = pa.schema(
-    [
-        ("lang", pa.string()),
-        ("size", pa.int32()),
-        ("prefix", pa.string()),
-        ("next", pa.list_(pa.string())),
-        ("n", pa.list_(pa.int64())),
-    ]
-)
-STRIPE_DDL = "lang string, size int, prefix string, next array<string>, n array<long>"
-
-
-def _words(batches):
-    """For each language the stripe of the empty prefix."""
-    for rows in slices(batches, limit=SLICE):
-        word, vocabulary, lang, languages, _ = _coded(rows)
-        if not len(word):
-            continue
-        key, n = np.unique(lang * len(vocabulary) + word, return_counts=True)
-        owner, word = key // len(vocabulary), key % len(vocabulary)
-        heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        cuts = pa.array(np.append(heads, len(key)), pa.int32())
-        out = {
-            "lang": languages.take(pa.array(owner[heads])),
-            "size": [0] * len(heads),
-            "prefix": [""] * len(heads),
-            "next": pa.ListArray.from_arrays(cuts, vocabulary.take(pa.array(word))),
-            "n": pa.ListArray.from_arrays(cuts, pa.array(n)),
-        }
-        yield record(out, STRIPE)
-
-
 def _hashes(lang: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
     """A hash of the ``size`` words from each place on, and their language."""
     joined = window_hashes(words, size)
@@ -123,70 +94,111 @@ def _bits(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes & low, (hashes >> np.uint64(32)) & low
 
 
-def _stripes(bitmap, inner: int, sizes: tuple[int, ...]):
-    """Stripes of prefixes of ``sizes`` words whose every ``inner`` words pass the bitmap."""
+# What a slice of texts sends to a bucket: its stripes as lines, in each a prefix and the words after
+# it, and a count for each such word.
+SENT = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("stripes", pa.string()), ("counts", pa.binary())])
+SENT_DDL = "bucket int, lang string, stripes string, counts binary"
+
+
+def _stripes(known, size: int, bits: int):
+    """Stripes of the prefixes of ``size`` words that pass a bitmap with their last words and the next.
+
+    An element goes to a bucket by a hash of its prefix and its word, so that a frequent prefix is
+    spread over all buckets; each gets a part of the stripe.
+    """
 
     def run(batches):
-        frequent = bitmap.value
         for rows in slices(batches, limit=SLICE):
             word, vocabulary, lang, languages, piece = _coded(rows)
-            if len(word) <= inner:
+            if len(word) <= size:
                 continue
-            spoken, known = word_hashes(languages, BASES[0]), word_hashes(vocabulary, BASES[0])
-            good = _passes(frequent, _hashes(spoken[lang], known[word], inner))
-            good &= piece[: len(good)] == piece[inner - 1 :]
-            for size in sizes:
-                # ``size`` words: all stretches of ``inner`` words in them pass.
-                n = len(word) - size + 1
-                whole = np.ones(n, bool)
-                for shift in range(size - inner + 1):
-                    whole &= good[shift : shift + n]
-                place = np.flatnonzero(whole & (piece[:n] == piece[size - 1 :]))
-                if len(place):
-                    yield _stripe(place, size, inner, word, vocabulary, lang, languages, piece, good)
+            spoken, values = word_hashes(languages, BASES[0])[lang], word_hashes(vocabulary, BASES[0])[word]
+            place = np.arange(len(word))
+            if size:
+                passing = _passes(known.value, _hashes(spoken, values, size))
+                place = np.flatnonzero(passing[:-1] & passing[1:] & (piece[:-size] == piece[size:]))
+            if len(place):
+                hashes = _hashes(spoken, values, size + 1)
+                yield _filled(place, hashes, size, bits, word, vocabulary, lang, languages)
 
     return run
 
 
-def _stripe(place, size, inner, word, vocabulary, lang, languages, piece, good) -> pa.RecordBatch:
-    # Prefixes as numbers, one word after the other.
-    prefix, heads = lang[place], None
+def _filled(place, hashes, size, bits, word, vocabulary, lang, languages) -> pa.RecordBatch:
+    # Prefixes as numbers, one word after the other; then their elements.
+    prefix, heads = np.unique(lang[place], return_inverse=True)[1], None
     for shift in range(size):
-        _, heads, prefix = np.unique(
-            prefix * len(vocabulary) + word[place + shift], return_index=True, return_inverse=True
-        )
-    total = np.bincount(prefix)
-    later = place + size
-    inside = later < len(word)
-    later = np.minimum(later, len(word) - 1)
-    fits = inside & (piece[later] == piece[place])
-    follows = later - inner + 1
-    fits &= (follows < len(good)) & good[np.minimum(follows, len(good) - 1)]
-    key, n = np.unique(prefix[fits] * (len(vocabulary) + 1) + word[later[fits]] + 1, return_counts=True)
-    # The totals under code 0, which is the empty word.
-    all_keys = np.concatenate([key, np.arange(len(total)) * (len(vocabulary) + 1)])
-    order = np.argsort(all_keys, kind="stable")
-    counts = np.concatenate([n, total])[order]
-    owner, code = all_keys[order] // (len(vocabulary) + 1), all_keys[order] % (len(vocabulary) + 1)
-    cuts = pa.array(np.searchsorted(owner, np.arange(len(total) + 1)), pa.int32())
-    named = pa.concat_arrays([pa.array([""]), vocabulary])
-    parts = [vocabulary.take(pa.array(word[place[heads] + shift])) for shift in range(size)]
+        prefix = np.unique(prefix * len(vocabulary) + word[place + shift], return_inverse=True)[1]
+    key, heads, n = np.unique(prefix * len(vocabulary) + word[place + size], return_index=True, return_counts=True)
+    first = place[heads]
+    bucket = (hashes[first] >> np.uint64(64 - bits)).astype(np.int64)
+    owner = lang[first] << bits | bucket
+    order = np.argsort(owner, kind="stable")
+    first, n, owner, prefix = first[order], n[order], owner[order], key[order] // len(vocabulary)
+    send = np.concatenate([[True], owner[1:] != owner[:-1]])
+    stripe = send | np.concatenate([[True], prefix[1:] != prefix[:-1]])
+    # Each stripe as its prefix and its words, all taken from one array.
+    lead = np.flatnonzero(stripe)
+    parts = [vocabulary.take(pa.array(word[first[lead] + shift])) for shift in range(size)]
+    named = pc.binary_join_element_wise(*parts, " ") if size else pa.array([""] * len(lead), pa.string())
+    pool = pa.concat_arrays([vocabulary, named])
+    at = np.insert(word[first + size], lead, len(vocabulary) + np.arange(len(lead)))
+    cuts = pa.array(np.append(lead + np.arange(len(lead)), len(at)), pa.int32())
+    lines = pc.binary_join(pa.ListArray.from_arrays(cuts, pool.take(pa.array(at))), "\t")
+    begin = np.flatnonzero(send)
+    ends = np.append(begin, len(first))
+    cuts = pa.array(np.append(np.searchsorted(lead, begin), len(lead)), pa.int32())
     out = {
-        "lang": languages.take(pa.array(lang[place[heads]])),
-        "size": np.full(len(total), size),
-        "prefix": pc.binary_join_element_wise(*parts, " "),
-        "next": pa.ListArray.from_arrays(cuts, named.take(pa.array(code))),
-        "n": pa.ListArray.from_arrays(cuts, pa.array(counts)),
+        "bucket": owner[begin] & ((1 << bits) - 1),
+        "lang": languages.take(pa.array(owner[begin] >> bits)),
+        "stripes": pc.binary_join(pa.ListArray.from_arrays(cuts, lines), "\n"),
+        "counts": [packed(n[i:j].astype(np.uint32)) for i, j in zip(ends[:-1], ends[1:], strict=True)],
     }
-    return record(out, STRIPE)
+    return record(out, SENT)
+
+
+# An element of the merged stripes. Under the empty prefix and word: all words of a bucket.
+ELEMENT = pa.schema(
+    [("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())]
+)
+ELEMENT_DDL = "lang string, size int, phrase string, f long"
+
+
+def _merge(size: int, least: int):
+    """Sums of the elements of each bucket; those of ``least`` and more."""
 
+    def run(batches):
+        for table, begins in runs(batches, ["bucket"]):
+            for begin, end in zip(begins[:-1], begins[1:], strict=True):
+                part = table.slice(begin, end - begin)
+                lines = pc.split_pattern(part["stripes"], "\n")
+                lang, languages = distinct(part["lang"])
+                lang = np.repeat(lang, pc.list_value_length(lines).to_numpy(zero_copy_only=False))
+                lists = pc.split_pattern(lines.flatten(), "\t")
+                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat, at = lists.flatten(), starts(sizes)
+                prefix = np.repeat(at[:-1], sizes - 1)
+                words = gather(at[:-1] + 1, sizes - 1)
+                phrases = flat.take(pa.array(words))
+                if size:
+                    phrases = pc.binary_join_element_wise(flat.take(pa.array(prefix)), phrases, " ")
+                code, named = distinct(phrases)
+                n = np.concatenate([unpacked(c, np.uint32)[0] for c in part["counts"].to_pylist()])
+                key = np.repeat(lang, sizes - 1).astype(np.int64) * len(named) + code
+                order = np.argsort(key, kind="stable")
+                heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+                sums, key = np.add.reduceat(n[order], heads, dtype=np.int64), key[order][heads]
+                full = sums >= least
+                out = [key[full] // len(named), named.take(pa.array(key[full] % len(named))), sums[full]]
+                if not size:
+                    whole = np.bincount(key // len(named), sums, minlength=len(languages)).astype(np.int64)
+                    out[0] = np.append(out[0], np.arange(len(whole)))
+                    out[1] = pa.concat_arrays([out[1], pa.array([""] * len(whole))])
+                    out[2] = np.append(out[2], whole)
+                rows = {"lang": languages.take(pa.array(out[0])), "size": np.full(len(out[0]), size + 1)}
+                yield record(rows | {"phrase": out[1], "f": out[2]}, ELEMENT)
 
-def merged(stripes: DataFrame) -> DataFrame:
-    """``lang``, ``size``, ``prefix``, ``next``, ``f``: the elements of the merged stripes."""
-    element = F.explode(F.arrays_zip("next", "n")).alias("e")
-    flat = stripes.select("lang", "size", "prefix", element)
-    flat = flat.select("lang", "size", "prefix", F.col("e.next").alias("next"), F.col("e.n").alias("n"))
-    return flat.groupBy("lang", "size", "prefix", "next").agg(F.sum("n").alias("f"))
+    return run
 
 
 def _slots(size: int, bits: int):
@@ -248,46 +260,49 @@ def phrase_collocations(
     columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(1, (BUCKETS * parts - 1).bit_length())
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    vocabulary = stage(merged(texts.mapInArrow(_words, STRIPE_DDL)), "stripes-0")
-    n = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = vocabulary.where(F.col("f") >= least).select("lang", F.col("next").alias("phrase"))
-    known = spark.sparkContext.broadcast(bitmap(frequent, 1))
-    pairs = merged(texts.mapInArrow(_stripes(known, 1, (1,)), STRIPE_DDL))
-    pairs = stage(pairs.where(F.col("f") >= least), "stripes-1")
-    phrase = F.concat_ws(" ", "prefix", "next").alias("phrase")
-    both = spark.sparkContext.broadcast(bitmap(pairs.where("next != ''").select("lang", phrase), 2))
-    stripes = pairs
-    if longest > 2:
-        more = merged(texts.mapInArrow(_stripes(both, 2, tuple(range(2, longest))), STRIPE_DDL))
-        stripes = stripes.unionByName(stage(more.where(F.col("f") >= least), "stripes-2"))
-    return _best(stripes, n, top, subsumes, scale)
-
-
-def _best(stripes: DataFrame, n: DataFrame, top: int, subsumes: int, scale: int) -> DataFrame:
-    total = F.max(F.when(F.col("next") == "", F.col("f"))).alias("total")
-    longer = F.max(F.when(F.col("next") != "", F.col("f"))).alias("longer")
-    # Of every prefix its total, and its most frequent extension to the right.
-    prefixes = stripes.groupBy("lang", F.col("prefix").alias("phrase")).agg(total, longer)
-    prefixes = stage(prefixes, "stripe-totals")
-    phrase = F.concat_ws(" ", "prefix", "next")
-    found = stripes.where("next != ''").select(
-        "lang", phrase.alias("phrase"), (F.col("size") + 1).alias("size"), F.col("f").alias("a")
+
+    def merged(size, known):
+        sent = texts.mapInArrow(_stripes(known, size, bits), SENT_DDL)
+        met = sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "lang")
+        return stage(met.mapInArrow(_merge(size, least), ELEMENT_DDL), f"stripes-{size}")
+
+    first = merged(0, None)
+    n = first.where("phrase = ''").groupBy("lang").agg(F.sum("f").alias("n"))
+    found = [first.where("phrase != ''")]
+    for size in range(1, longest):
+        known = spark.sparkContext.broadcast(bitmap(found[-1], size))
+        found.append(merged(size, known))
+    return _best(functools.reduce(DataFrame.unionByName, found), n, top, subsumes, scale)
+
+
+def _best(elements: DataFrame, n: DataFrame, top: int, subsumes: int, scale: int) -> DataFrame:
+    """The best phrases, from the elements of all stripes: ``lang``, ``size``, ``phrase``, ``f``.
+
+    An element is at once an extension of its prefix and, as a prefix, the total of its own stripe.
+    """
+    total = F.max(F.when(F.col("own"), F.col("f"))).alias("total")
+    longer = F.max(F.when(~F.col("own"), F.col("f"))).alias("longer")
+    # A phrase of several words is the best extension, to the right or to the left, of its parts. A
+    # phrase of two words more than another holds one of one word more that is no rarer.
+    rows = F.array(
+        F.struct(F.col("phrase"), F.lit(True).alias("own")),
+        F.struct(F.expr("substring_index(phrase, ' ', size - 1)").alias("phrase"), F.lit(False).alias("own")),
+        F.struct(F.expr("substring_index(phrase, ' ', 1 - size)").alias("phrase"), F.lit(False).alias("own")),
     )
-    # The most frequent extension to the left: of a phrase's last words. A longer phrase of two
-    # words more holds one of one word more that is no rarer, so these are enough.
-    tail = F.expr("substring_index(phrase, ' ', 1 - size)").alias("phrase")
-    lefts = found.where("size > 2").select("lang", tail, "a").groupBy("lang", "phrase").agg(F.max("a").alias("left"))
+    each = elements.select("lang", "f", F.inline(F.when(F.col("size") > 1, rows).otherwise(F.slice(rows, 1, 1))))
+    totals = stage(each.groupBy("lang", "phrase").agg(total, longer), "stripe-totals")
     wide = lambda c: F.col(c).cast("decimal(38,0)")
-    subsumed = wide("most") * 100 >= wide("a") * subsumes
-    rights = prefixes.select("lang", "phrase", F.col("longer").alias("right"))
-    kept = found.join(rights, ["lang", "phrase"], "left").join(lefts, ["lang", "phrase"], "left")
-    kept = kept.withColumn("most", F.greatest("left", "right"))
-    kept = kept.where(~F.coalesce(subsumed, F.lit(False))).select("lang", "phrase", "size", "a")
+    phrases = totals.withColumn("size", F.expr("size(split(phrase, ' '))"))
+    subsumed = wide("longer") * 100 >= wide("total") * subsumes
+    kept = phrases.where((F.col("size") > 1) & ~F.coalesce(subsumed, F.lit(False)))
+    kept = kept.select("lang", "phrase", "size", F.col("total").alias("a"))
     cut = kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cut = cut.withColumn("left", F.expr("substring_index(phrase, ' ', k)"))
     cut = cut.withColumn("right", F.expr("substring_index(phrase, ' ', k - size)"))
-    part = lambda side, name: prefixes.select("lang", F.col("phrase").alias(side), F.col("total").alias(name))
+    part = lambda side, name: totals.select("lang", F.col("phrase").alias(side), F.col("total").alias(name))
     cut = cut.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"])
     cut = cut.withColumn("whole", wide("a") * F.lit(scale).cast("decimal(10,0)"))
     cut = cut.withColumn("parts", wide("l") + wide("r"))
@@ -297,5 +312,5 @@ def _best(stripes: DataFrame, n: DataFrame, top: int, subsumes: int, scale: int)
     scored = scored.select("lang", "phrase", "a", "low.l", "low.r", "low.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    ranked = ranked.withColumn("rank", F.col("rank").cast(LongType())).join(F.broadcast(n), "lang")
+    ranked = ranked.withColumn("rank", F.col("rank").cast("long")).join(n, "lang")
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

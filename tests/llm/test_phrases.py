@@ -92,8 +92,8 @@ def test_hard_rows(llm, hard, empty):
 def test_products_beyond_64_bits(llm):
     """Counts as they would be on a corpus of 10**14 words."""
     big = 10**14
-    rows = [("en", 1, "a", "", 3 * big), ("en", 1, "b", "", 2 * big), ("en", 1, "a", "b", 2 * big - 1)]
-    stripes = llm.createDataFrame(rows, "lang string, size int, prefix string, next string, f long")
+    rows = [("en", 1, "a", 3 * big), ("en", 1, "b", 2 * big), ("en", 2, "a b", 2 * big - 1)]
+    stripes = llm.createDataFrame(rows, "lang string, size int, phrase string, f long")
     n = llm.createDataFrame([("en", 9 * big)], "lang string, n long")
     row = phrases._best(stripes, n, 10, 80, 2_000_000).head()
     assert row["score"] == 2_000_000 * (2 * big - 1) // (5 * big)
