@@ -39,7 +39,7 @@ BITS_EACH = 16
 BITMAP = (16, 27)
 SLICE = 4 << 20
 # Buckets for each shuffle partition, at least.
-BUCKETS = 4
+BUCKETS = 2
 
 _BREAK = np.isin(np.arange(256), list(BREAKS))
 _INSIDE = ~_BREAK & ~np.isin(np.arange(256), list(BLANKS))
@@ -94,10 +94,12 @@ def _bits(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes & low, (hashes >> np.uint64(32)) & low
 
 
-# What a slice of texts sends to a bucket: its stripes as lines, in each a prefix and the words after
-# it, and a count for each such word.
-SENT = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("stripes", pa.string()), ("counts", pa.binary())])
-SENT_DDL = "bucket int, lang string, stripes string, counts binary"
+# What a slice of texts sends to a bucket: its stripes as lines, in each the number of a language, a
+# prefix and the words after it, and a count for each such word.
+SENT = pa.schema(
+    [("bucket", pa.int32()), ("langs", pa.list_(pa.string())), ("stripes", pa.string()), ("counts", pa.binary())]
+)
+SENT_DDL = "bucket int, langs array<string>, stripes string, counts binary"
 
 
 def _stripes(known, size: int, bits: int):
@@ -132,15 +134,16 @@ def _filled(place, hashes, size, bits, word, vocabulary, lang, languages) -> pa.
     key, heads, n = np.unique(prefix * len(vocabulary) + word[place + size], return_index=True, return_counts=True)
     first = place[heads]
     bucket = (hashes[first] >> np.uint64(64 - bits)).astype(np.int64)
-    owner = lang[first] << bits | bucket
-    order = np.argsort(owner, kind="stable")
-    first, n, owner, prefix = first[order], n[order], owner[order], key[order] // len(vocabulary)
-    send = np.concatenate([[True], owner[1:] != owner[:-1]])
+    order = np.argsort(bucket, kind="stable")
+    first, n, bucket, prefix = first[order], n[order], bucket[order], key[order] // len(vocabulary)
+    send = np.concatenate([[True], bucket[1:] != bucket[:-1]])
     stripe = send | np.concatenate([[True], prefix[1:] != prefix[:-1]])
     # Each stripe as its prefix and its words, all taken from one array.
     lead = np.flatnonzero(stripe)
     parts = [vocabulary.take(pa.array(word[first[lead] + shift])) for shift in range(size)]
     named = pc.binary_join_element_wise(*parts, " ") if size else pa.array([""] * len(lead), pa.string())
+    spoken = pa.array(lang[first[lead]]).cast(pa.string())
+    named = pc.binary_join_element_wise(spoken, named, "\t")
     pool = pa.concat_arrays([vocabulary, named])
     at = np.insert(word[first + size], lead, len(vocabulary) + np.arange(len(lead)))
     cuts = pa.array(np.append(lead + np.arange(len(lead)), len(at)), pa.int32())
@@ -149,8 +152,8 @@ def _filled(place, hashes, size, bits, word, vocabulary, lang, languages) -> pa.
     ends = np.append(begin, len(first))
     cuts = pa.array(np.append(np.searchsorted(lead, begin), len(lead)), pa.int32())
     out = {
-        "bucket": owner[begin] & ((1 << bits) - 1),
-        "lang": languages.take(pa.array(owner[begin] >> bits)),
+        "bucket": bucket[begin],
+        "langs": [languages.to_pylist()] * len(begin),
         "stripes": pc.binary_join(pa.ListArray.from_arrays(cuts, lines), "\n"),
         "counts": [packed(n[i:j].astype(np.uint32)) for i, j in zip(ends[:-1], ends[1:], strict=True)],
     }
@@ -172,19 +175,21 @@ def _merge(size: int, least: int):
             for begin, end in zip(begins[:-1], begins[1:], strict=True):
                 part = table.slice(begin, end - begin)
                 lines = pc.split_pattern(part["stripes"], "\n")
-                lang, languages = distinct(part["lang"])
-                lang = np.repeat(lang, pc.list_value_length(lines).to_numpy(zero_copy_only=False))
+                lang, languages = distinct(part["langs"].flatten())
+                known = starts(pc.list_value_length(part["langs"]).to_numpy(zero_copy_only=False))[:-1]
+                known = np.repeat(known, pc.list_value_length(lines).to_numpy(zero_copy_only=False))
                 lists = pc.split_pattern(lines.flatten(), "\t")
-                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-                flat, at = lists.flatten(), starts(sizes)
-                prefix = np.repeat(at[:-1], sizes - 1)
-                words = gather(at[:-1] + 1, sizes - 1)
+                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64) - 2
+                flat, at = lists.flatten(), starts(sizes + 2)[:-1]
+                lang = lang[known + flat.take(pa.array(at)).cast(pa.int64()).to_numpy()]
+                prefix = np.repeat(at + 1, sizes)
+                words = gather(at + 2, sizes)
                 phrases = flat.take(pa.array(words))
                 if size:
                     phrases = pc.binary_join_element_wise(flat.take(pa.array(prefix)), phrases, " ")
                 code, named = distinct(phrases)
                 n = np.concatenate([unpacked(c, np.uint32)[0] for c in part["counts"].to_pylist()])
-                key = np.repeat(lang, sizes - 1).astype(np.int64) * len(named) + code
+                key = np.repeat(lang, sizes).astype(np.int64) * len(named) + code
                 order = np.argsort(key, kind="stable")
                 heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
                 sums, key = np.add.reduceat(n[order], heads, dtype=np.int64), key[order][heads]
@@ -266,7 +271,7 @@ def phrase_collocations(
 
     def merged(size, known):
         sent = texts.mapInArrow(_stripes(known, size, bits), SENT_DDL)
-        met = sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "lang")
+        met = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
         return stage(met.mapInArrow(_merge(size, least), ELEMENT_DDL), f"stripes-{size}")
 
     first = merged(0, None)
