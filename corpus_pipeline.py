@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomfeed.llm.exact_dedup import without_copies
 from loomfeed.llm.language import learn_languages, with_known_language
-from loomfeed.llm.near_copies import without_near_copies
 from loomfeed.llm.packing import pack_documents
 from loomfeed.llm.ship import ship
+from loomfeed.llm.simhash import without_near_copies
 from loomfeed.llm.substring import without_repeats
 from loomfeed.session import tune
 from loomfeed.sources.staging import stage
@@ -35,7 +35,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 in shingles of five words the smallest id."""
+    """Of documents whose fingerprints of three-word shingles are linked within three bits the smallest id."""
     ship(tune(spark))
     return without_near_copies(docs)
 
