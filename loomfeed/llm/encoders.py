@@ -62,19 +62,45 @@ class Pool:
         self.begin = starts(self.size)[:-1]
 
 
+def woven(parts: list[tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and sizes of all texts, from those of some (told by a mask) and of others."""
+    sizes = np.zeros(len(parts[0][0]), np.int64)
+    for mask, (_, own) in parts:
+        sizes[mask] = own
+    flat = np.empty(int(sizes.sum()), np.int32)
+    at = starts(sizes)[:-1]
+    for mask, (ids, own) in parts:
+        flat[gather(at[mask], own)] = ids
+    return flat, sizes
+
+
 class Encoder:
     """``encode`` gives the ids of all texts in one array, and the number for each text."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        # A special token's string inside a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # A special token's string inside a text is that token, as the library has it.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Pieces of other texts hold none, though lower case may make them look like one.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.pool = Pool()
         self.parts: dict[str, list[int]] = {}
 
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, texts: list[str], special: bool = False) -> list[list[int]]:
+        tokenizer = self.tokenizer if special else self.plain
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.zeros(len(texts), bool)
+        for name in self.special:
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self.usual(texts)
+        lists = self.whole(texts.filter(pa.array(whole)).to_pylist(), special=True)
+        rest = self.usual(texts.filter(pa.array(~whole)))
+        return woven([(whole, self._listed(lists)), (~whole, rest)])
 
     def known(self, pieces: list[str]) -> np.ndarray:
         """The place in the pool of every (distinct) piece; missing ones are encoded first."""
@@ -166,24 +192,17 @@ class ByteLevel(Encoder):
             out += self.part("".join(map(LATIN.__getitem__, part)))
         return out
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def usual(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         unsure = pc.match_substring_regex(texts, _UNSURE).to_numpy(zero_copy_only=False)
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
         usual = ~(unsure | empty)
-        out_sizes = np.zeros(len(texts), np.int64)
-        parts: dict[bool, tuple[np.ndarray, np.ndarray]] = {}
+        parts = [(empty, (np.empty(0, np.int32), np.zeros(int(empty.sum()), np.int64)))]
         if usual.any():
-            parts[True] = self._pieces(texts.filter(pa.array(usual)))
-            out_sizes[usual] = parts[True][1]
+            parts.append((usual, self._pieces(texts.filter(pa.array(usual)))))
         if unsure.any():
             lists = self.whole(texts.filter(pa.array(unsure)).to_pylist())
-            parts[False] = self._listed(lists)
-            out_sizes[unsure] = parts[False][1]
-        flat = np.empty(int(out_sizes.sum()), np.int32)
-        at = starts(out_sizes)[:-1]
-        for is_usual, (ids, sizes) in parts.items():
-            flat[gather(at[usual if is_usual else unsure], sizes)] = ids
-        return flat, out_sizes
+            parts.append((unsure, self._listed(lists)))
+        return woven(parts)
 
     def _pieces(self, texts):
         # A line feed before each text and each line marks words that have no space before them.
@@ -227,7 +246,7 @@ class WordLevel(Encoder):
             out += self.part("".join(map(LATIN.__getitem__, part)))
         return out
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def usual(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         flat, counts = words(pc.ascii_lower(texts))
         if not len(flat):
             return np.empty(0, np.int32), counts

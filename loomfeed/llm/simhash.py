@@ -158,13 +158,17 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
             for k, (_, mask) in enumerate(chains())
         ]
     )
-    keyed = nodes.where("rep IS NOT NULL").select("fp", "rep", F.inline(keys))
+    # The fingerprint itself stands for the node, so that those of null ids link as well.
+    keyed = nodes.select("fp", F.col("fp").alias("rep"), F.inline(keys))
     met = cells(keyed, ["k", "masked"], "fp")
     edges = met.mapInArrow(_links, "a long, b long")
     linked = components(edges)
-    named = nodes.join(linked, nodes.rep == linked.id, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
+    named = nodes.join(linked, nodes.fp == linked.id, "left").select(
+        "fp", "rep", F.coalesce("component", "fp").alias("component")
     )
+    named = stage(named, "simhash-nodes")
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = named.join(least, "component").select("fp", "component_id")
     return prints.join(stage(named, "simhash-components"), "fp")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -90,17 +91,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+# Letters of a word whose share in its hash is looked up.
+_LOOKED_UP = 64
+
+
+@lru_cache(maxsize=4)
+def _shares(base: int) -> np.ndarray:
+    return mixed(np.arange(_LOOKED_UP * 256, dtype=np.uint64) * np.uint64(base))
+
+
 def word_hashes(flat: pa.StringArray, base: np.uint64) -> np.ndarray:
-    """A 64-bit hash of every word (none of them empty)."""
+    """A 64-bit hash of every word (none of them empty): the sum of a hash of each letter and its
+    place, mixed again."""
     out = np.empty(len(flat), np.uint64)
     for begin in range(0, len(flat), _AT_ONCE):
         part = flat.slice(begin, _AT_ONCE)
         ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1]
         data = np.frombuffer(part.buffers()[2], np.uint8)[ends[0] : ends[-1]]
         sizes = np.diff(ends).astype(np.int64)
-        powers = np.cumprod(np.full(int(sizes.max(initial=1)), base))
-        value = powers[within(sizes)]
-        value *= data + np.uint64(1)
+        place = within(sizes) * 256 + data
+        if len(sizes) and sizes.max() > _LOOKED_UP:
+            value = mixed(place.astype(np.uint64) * base)
+        else:
+            value = _shares(int(base))[place]
         total = np.add.reduceat(value, (ends[:-1] - ends[0]).astype(np.int64))
         out[begin : begin + len(part)] = mixed(total + sizes.astype(np.uint64) * STEP)
     return out

@@ -203,3 +203,27 @@ def test_repeats_hard_rows(hard, empty):
     texts = {(r["doc_id"], r["text"]) for r in left.collect()}
     assert (10, "same") in texts and (2, None) in texts and (4, " \t\n ") in texts
     assert remove_repeats(empty).count() == 0 and without_repeats(empty).count() == 0
+
+
+def thue_morse(n):
+    """A word of 2**n letters and the one with both letters swapped."""
+    one = "".join("ab"[i.bit_count() & 1] for i in range(1 << n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_clash_under_sums_of_powers(llm):
+    x, y = thue_morse(10)
+    rest = " ".join(f"w{i}" for i in range(19))
+    frame = llm.createDataFrame([(1, f"{x} {rest}"), (2, f"{y} {rest}")], "doc_id long, text string")
+    assert {r["n_removed"] for r in remove_repeats(frame).collect()} == {0}
+
+
+def test_null_ids_link(llm):
+    """A fingerprint that only a null id holds lies in the component of a close one."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words)]
+    near = (" ".join([*words[:-k], *["v"] * k]) for k in range(1, 50))
+    texts.append(next(t for t in near if 0 < (fingerprint(texts[0]) ^ fingerprint(t)).bit_count() <= 3))
+    frame = llm.createDataFrame([(5, texts[0]), (None, texts[1]), (None, "quite another text")], "doc_id long, text string")
+    found = {(r["doc_id"], r["component_id"]) for r in simhash.simhash_groups(frame).collect()}
+    assert found == {(5, 5), (None, 5), (None, None)}

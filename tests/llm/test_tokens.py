@@ -23,7 +23,6 @@ PIECE = public_tokenizers.path("piece_bpe_32k.model")
 
 def library(path, texts, end):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [e.ids + [end] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -34,7 +33,7 @@ def crc(ids):
 def odd_texts(n):
     make = random.Random(n)
     some = list("aAbB .,\n\t\r\x0b\x0c\x1c\x85\xa0 '12éÉß日本́ \x00ªµÿſ")
-    some += ["'s", "'LL", "<|endoftext|>", "  ", "İ", "Σ", "ŉ", "words ", "Words", "and.\nThe", "▁"]
+    some += ["'s", "'LL", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "  ", "İ", "Σ", "ŉ", "words ", "Words", "and.\nThe", "▁"]
     return ["".join(make.choices(some, k=make.randint(0, 25))) for _ in range(n)]
 
 
