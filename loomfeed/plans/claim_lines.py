@@ -143,8 +143,12 @@ def claim_line_state(
 ) -> DataFrame:
     """New current state with ``_change_type``; of several rows for one claim line the newest
     surrogate counts. ``pending`` keeps the changes of a ``previous`` that was not published."""
-    order = [F.col("CLAIM_DETAIL_SK").desc_nulls_first(), F.col("HASH")]
     current = claim_line_current(config, inputs)
     return upsert_by_fingerprint(
-        previous, current, layouts.CLAIM_LINE_KEY, order=order, pending=pending
+        previous, current, layouts.CLAIM_LINE_KEY, order=newest(), pending=pending
     )
+
+
+def newest() -> list[Column]:
+    """Which of several rows for one claim line counts."""
+    return [F.col("CLAIM_DETAIL_SK").desc_nulls_first(), F.col("HASH")]

@@ -171,8 +171,14 @@ def lab_state(
     the changes of a ``previous`` that was not published.
     """
     current = lab_current(config, inputs)
-    order = [F.col("LAB_RESULT_SK").desc_nulls_first(), F.col("HASH")]
-    return upsert_by_fingerprint(previous, current, layouts.LAB_KEY, order=order, pending=pending)
+    return upsert_by_fingerprint(
+        previous, current, layouts.LAB_KEY, order=newest(), pending=pending
+    )
+
+
+def newest() -> list[Column]:
+    """Which of several results for one key counts."""
+    return [F.col("LAB_RESULT_SK").desc_nulls_first(), F.col("HASH")]
 
 
 def lab_extract(config: RunConfig, state: DataFrame) -> LabExtract:

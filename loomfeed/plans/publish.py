@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
@@ -25,6 +25,7 @@ from ..operators.history import (
     history_rows,
     rotate_extracts,
 )
+from ..sources.buckets import merge_state
 from ..sources.extract import write_extract
 from ..sources.snapshots import (
     MERGE,
@@ -55,10 +56,11 @@ from .claim_headers import (
     claim_header_state,
     claim_line_extract,
 )
-from .claim_lines import ClaimLineInputs, claim_line_current, claim_line_state
+from . import claim_lines, labs, layouts
+from .claim_lines import ClaimLineInputs, claim_line_current
 from .config import RunConfig, report_title
 from .eligibility import EligibilityInputs, eligibility, eligibility_source
-from .labs import LabInputs, lab_current, lab_extract, lab_state
+from .labs import LabInputs, lab_current, lab_extract
 
 INDEX = "Filename string, folder string"
 PUBLICATIONS = "domain string, version long, published_at timestamp_ntz"
@@ -110,6 +112,16 @@ def save_state(
     return read_snapshot(store.spark, store.state(domain))
 
 
+def merge_rows(
+    store: Store, domain: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column], now: datetime
+) -> DataFrame:
+    """Merge ``rows`` into the state of ``domain`` and read it back; buckets without a change are
+    carried over. Changes that were not published yet stay named."""
+    sent = _publications(store, domain).agg(F.max("version")).first()[0]
+    merge_state(rows, store.state(domain), keys, now, order, published=sent or 0)
+    return read_snapshot(store.spark, store.state(domain))
+
+
 def _current_version(store: Store, domain: str) -> int | None:
     last = latest_version(version_log(store.spark, store.state(domain))).first()
     return None if last is None else last.version
@@ -244,10 +256,8 @@ def run_eligibility(
 
 
 def run_labs(store: Store, config: RunConfig, inputs: LabInputs, now: datetime) -> None:
-    previous = previous_state(store, "lab_result", lab_current(config, inputs))
-    pending = pending_changes(store, "lab_result")
-    merged = lab_state(config, inputs, previous, pending)
-    state = save_state(store, "lab_result", merged, now)
+    current = lab_current(config, inputs)
+    state = merge_rows(store, "lab_result", current, layouts.LAB_KEY, labs.newest(), now)
     publish(store, config, "lab_result", "Lab", lab_extract(config, state).history, now)
     mark_published(store, ["lab_result"], now)
 
@@ -256,10 +266,9 @@ def run_claim_lines(
     store: Store, config: RunConfig, inputs: ClaimLineInputs, now: datetime
 ) -> DataFrame:
     """The lines' changes go out with the headers of the same run, or of a later one."""
-    previous = previous_state(store, "medclaim_details", claim_line_current(config, inputs))
-    pending = pending_changes(store, "medclaim_details")
-    state = claim_line_state(config, inputs, previous, pending)
-    return save_state(store, "medclaim_details", state, now)
+    current = claim_line_current(config, inputs)
+    keys, newest = layouts.CLAIM_LINE_KEY, claim_lines.newest()
+    return merge_rows(store, "medclaim_details", current, keys, newest, now)
 
 
 def previous_headers(store: Store, like: DataFrame) -> DataFrame:

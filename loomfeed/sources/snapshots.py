@@ -20,7 +20,7 @@ from ..functions import dates
 MAX_AGE_HOURS = 23
 MAX_AGE_HOURS_PRODUCTION = 2159
 
-REBUILD, MERGE = "REBUILD", "MERGE"
+REBUILD, MERGE, RELEASED = "REBUILD", "MERGE", "RELEASED"
 LOG_SCHEMA = "version long, committed_at timestamp_ntz, operation string, folder string"
 
 
@@ -47,9 +47,22 @@ def version_log(spark: SparkSession, root: str) -> DataFrame:
 def latest_version(log: DataFrame, operation: str | None = None) -> DataFrame:
     """The log row of the highest version, of one operation if named."""
     rows = log if operation is None else log.filter(F.col("operation") == operation)
+    if "folder" in log.columns:
+        # Of two writers of one version the first folder by name counts, for every reader.
+        rows = rows.filter(F.col("folder").isNotNull())
+        return rows.orderBy(F.col("version").desc(), "folder").limit(1)
     return rows.orderBy(F.col("version").desc()).limit(1)
 
 
+def readable(log: DataFrame) -> DataFrame:
+    """The versions that can be read: one row each, none of those released."""
+    gone = log.filter(F.col("operation") == RELEASED).select("version")
+    rows = log.filter(F.col("folder").isNotNull()).join(gone, "version", "left_anti")
+    first = F.min(F.struct("folder", "committed_at", "operation")).alias("row")
+    rows = rows.groupBy("version").agg(first)
+    return rows.select("version", "row.committed_at", "row.operation", "row.folder")
+
+
 def latest_times(log: DataFrame) -> DataFrame:
     """Last commit time per operation."""
     return log.groupBy("operation").agg(F.max("committed_at").alias("committed_at"))
@@ -65,7 +78,7 @@ def rebuild_time(
 
 
 def _row_as_of(log: DataFrame, as_of: datetime | None) -> Row | None:
-    rows = log.filter(F.col("folder").isNotNull())
+    rows = readable(log)
     if as_of is not None:
         rows = rows.filter(F.col("committed_at") <= dates.timestamp(as_of))
     return latest_version(rows).first()
@@ -77,18 +90,28 @@ def write_snapshot(
     """Write the next version and commit it; returns its number.
 
     Every write has a folder of its own, so nothing that another version or an interrupted write
-    left is written over. Two writers that commit one number are an error for both.
+    left is written over. Of two writers that commit one number one counts; the other gets an error.
     """
     spark = df.sparkSession
-    last = latest_version(version_log(spark, root)).first()
-    version = 1 if last is None else last.version + 1
+    version = next_version(latest_version(version_log(spark, root)).first())
     folder = f"version={version}-{uuid4().hex}"
     df.write.mode("errorifexists").parquet(f"{root}/{folder}")
+    commit_version(spark, root, version, committed_at, operation, folder)
+    return version
+
+
+def next_version(last: Row | None) -> int:
+    return 1 if last is None else last.version + 1
+
+
+def commit_version(
+    spark: SparkSession, root: str, version: int, committed_at: datetime, operation: str, folder: str
+) -> None:
+    """Add a written version to the log; an error if another writer's folder counts for it."""
     append_log(spark, f"{root}/log", [(version, committed_at, operation, folder)], LOG_SCHEMA)
-    same = (F.col("version") == version) & F.col("folder").isNotNull()
-    if version_log(spark, root).filter(same).count() > 1:
+    same = version_log(spark, root).filter(F.col("version") == version)
+    if latest_version(same).first().folder != folder:
         raise RuntimeError(f"version {version} of {root} was written twice")
-    return version
 
 
 def read_snapshot(spark: SparkSession, root: str, as_of: datetime | None = None) -> DataFrame:
@@ -113,6 +136,10 @@ def read_before(spark: SparkSession, root: str, operation: str) -> DataFrame | N
 
 
 def _read(spark: SparkSession, root: str, row: Row) -> DataFrame:
+    if row.folder.startswith("buckets-"):
+        from .buckets import read_buckets
+
+        return read_buckets(spark, root, row.folder)
     return spark.read.parquet(f"{root}/{row.folder}")
 
 
