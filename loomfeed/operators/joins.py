@@ -19,6 +19,42 @@ Key = Column | str
 SPREAD = 1 << 20
 
 
+def join_condition(
+    facts: DataFrame, dim: DataFrame, text: str, left: str = "e", right: str = "d"
+) -> Column:
+    """A condition given as text over both sides of a join, named by the aliases.
+
+    It is resolved against the two frames before it is used: an unknown or ambiguous column is an
+    error, and so is anything that is not true or false for one pair of rows.
+    """
+    condition = F.expr(text)
+    pair = facts.alias(left).limit(0).join(dim.alias(right).limit(0), F.lit(True), "inner")
+    field = pair.select(condition.alias("condition")).schema["condition"]
+    if field.dataType.simpleString() != "boolean":
+        raise ValueError(f"not a condition: {text}")
+    return condition
+
+
+def join_where(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Sequence[tuple[str, str]],
+    condition: str,
+    where: Column | None = None,
+    left: str = "e",
+    right: str = "d",
+) -> DataFrame:
+    """Facts with a row of ``dim`` that has their keys and meets ``condition``, once for each.
+
+    ``condition`` is text as in ``join_condition``; it is part of the join, as are the keys.
+    """
+    dim = dim if where is None else dim.filter(where)
+    checked = join_condition(facts, dim, condition, left, right)
+    keys = [F.col(f"{left}.{a}") == F.col(f"{right}.{b}") for a, b in on]
+    joined = facts.alias(left).join(dim.alias(right), _all([*keys, checked]))
+    return joined.select(f"{left}.*")
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

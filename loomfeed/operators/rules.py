@@ -100,23 +100,41 @@ def reference_list(
     return values.unionByName(blank.filter(~values.exists()))
 
 
+# A list of up to this many values becomes part of the plan; a longer one is joined.
+LITERAL_VALUES = 10_000
+
+
+def _listed(values: DataFrame, most: int) -> list[str] | None:
+    """The values of a list of bounded size, None for a longer one."""
+    found = values.select("value").filter(F.col("value").isNotNull()).limit(most + 1).collect()
+    return None if len(found) > most else [r.value for r in found]
+
+
 def apply_reference_lists(
     df: DataFrame,
     column: str,
     include: DataFrame | None = None,
     exclude: DataFrame | None = None,
+    literal_values: int = LITERAL_VALUES,
 ) -> DataFrame:
     """Keep rows whose upper-cased value is in ``include`` and not in ``exclude``.
 
-    As with SQL ``IN``/``NOT IN``, a row whose value is NULL passes neither list.
+    As with SQL ``IN``/``NOT IN``, a row whose value is NULL passes neither list. A list of up to
+    ``literal_values`` values is written into the filter, so the facts are not shuffled by a value
+    that a third of them may share; a longer one is joined.
     """
     df = df.withColumn("__value", F.upper(F.col(column)))
-    if include is not None:
-        wanted = include.select(F.col("value").alias("__value"))
-        df = df.join(wanted, "__value", "left_semi")
-    if exclude is not None:
-        unwanted = exclude.select(F.col("value").alias("__value"))
-        df = df.filter(F.col("__value").isNotNull()).join(unwanted, "__value", "left_anti")
+    for values, wanted in ((include, True), (exclude, False)):
+        if values is None:
+            continue
+        listed = _listed(values, literal_values)
+        if listed is not None:
+            hit = F.col("__value").isin(listed) if listed else F.lit(False)
+            df = df.filter(F.col("__value").isNotNull() & (hit if wanted else ~hit))
+            continue
+        known = values.select(F.col("value").alias("__value"))
+        df = df.filter(F.col("__value").isNotNull())
+        df = df.join(known, "__value", "left_semi" if wanted else "left_anti")
     return df.drop("__value")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, dates, text
-from ..operators.joins import in_scope, lookup
+from ..operators.joins import drop_keys, in_scope, join_where, keep_keys, lookup
 from ..operators.rules import apply_default_rules, apply_reference_lists
 from ..operators.shape import collapse_tenants, latest_per_key, live_rows, project, scope_filter
 from . import layouts
@@ -21,7 +21,9 @@ class EligibilityInputs:
 
     ``location``, ``benefit_plan_key`` and ``pod`` read the eligibility columns and
     ``source_pod_id``; ``start`` replaces the record start in the extended model. The lists come
-    from ``reference_list``.
+    from ``reference_list``; ``tin_exclude`` drops members of provider groups with these tax numbers
+    (``provider_group_tin``). ``group_condition`` is a further condition of the join with the provider
+    groups, as text over the eligibility columns (``e.``) and theirs (``d.``).
     """
 
     eligibility: DataFrame
@@ -43,6 +45,8 @@ class EligibilityInputs:
     plan_include: DataFrame | None = None
     plan_exclude: DataFrame | None = None
     extra: DataFrame | None = None
+    tin_exclude: DataFrame | None = None
+    group_condition: str | None = None
 
 
 @dataclass(frozen=True)
@@ -75,7 +79,13 @@ def eligibility_source(config: RunConfig, inputs: EligibilityInputs) -> DataFram
         how="inner",
         where=alive,
     )
-    rows = lookup(rows, inputs.provider_group, [(sk, sk)], {}, how="inner", where=alive)
+    if inputs.group_condition is None:
+        rows = lookup(rows, inputs.provider_group, [(sk, sk)], {}, how="inner", where=alive)
+    else:
+        key = [("provider_group_sk", "provider_group_sk")]
+        rows = join_where(rows, inputs.provider_group, key, inputs.group_condition, where=alive)
+    if inputs.tin_exclude is not None:
+        rows = drop_keys(rows, _excluded_groups(inputs), ["provider_group_sk"])
     rows = lookup(
         rows,
         inputs.pod_xwalk,
@@ -114,6 +124,14 @@ def eligibility_source(config: RunConfig, inputs: EligibilityInputs) -> DataFram
     return result if inputs.extra is None else result.unionByName(inputs.extra).distinct()
 
 
+def _excluded_groups(inputs: EligibilityInputs) -> DataFrame:
+    """Provider groups whose tax number is on the exclusion list."""
+    groups = inputs.provider_group.select("provider_group_sk", F.upper("provider_group_tin").alias("tin"))
+    return keep_keys(groups, inputs.tin_exclude.select(F.col("value").alias("tin")), ["tin"]).select(
+        "provider_group_sk"
+    )
+
+
 def _columns(config: RunConfig, inputs: EligibilityInputs) -> dict[str, Column | str]:
     ext = config.extended
     start = dates.floor_date("record_start_dt")

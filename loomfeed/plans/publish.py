@@ -25,8 +25,8 @@ from ..operators.history import (
     history_rows,
     rotate_extracts,
 )
-from ..sources.buckets import merge_state
-from ..sources.extract import write_extract
+from ..sources.buckets import merge_state, release_versions
+from ..sources.extract import write_extract, write_extract_parts
 from ..sources.snapshots import (
     MERGE,
     REBUILD,
@@ -74,6 +74,9 @@ class Store:
     spark: SparkSession
     root: str
     database: str
+    # How long past versions of states stay, and whether files have one header or one in each part.
+    production: bool = True
+    one_header: bool = False
 
     def state(self, domain: str) -> str:
         return f"{self.root}/state/{domain}"
@@ -138,6 +141,13 @@ def mark_published(store: Store, domains: Sequence[str], now: datetime) -> None:
     append_log(store.spark, store.publications, rows, PUBLICATIONS)
 
 
+def finish(store: Store, domains: Sequence[str], now: datetime) -> None:
+    """Mark the publication, then let go of states that are too old to be read back."""
+    mark_published(store, domains, now)
+    for domain in domains:
+        release_versions(store.spark, store.state(domain), now, store.production)
+
+
 def is_published(store: Store, domain: str) -> bool:
     version = _current_version(store, domain)
     return not _publications(store, domain).filter(F.col("version") == version).isEmpty()
@@ -236,7 +246,8 @@ def publish(
     report = report_title(config, label, start, read_watermark(control) or now)
     history = stage(history, domain)
     delta = history.drop("TENANT_SK", "SOURCE_SYSTEM_SK") if delta is None else delta
-    write_extract(delta, store.extract(report, batch))
+    write = write_extract_parts if store.one_header else write_extract
+    write(delta, store.extract(report, batch))
     index_extract(store, config, label, report, now, batch)
     recorded = record_history(store, domain, history, f"{report}.txt", now, batch)
     if not moved:
@@ -252,14 +263,14 @@ def run_eligibility(
     source = save_state(store, "eligibility", eligibility_source(config, inputs), now, REBUILD)
     history = eligibility(config, inputs, source).history
     publish(store, config, "eligibility", "Eligibility", history, now, keep_previous=True)
-    mark_published(store, ["eligibility"], now)
+    finish(store, ["eligibility"], now)
 
 
 def run_labs(store: Store, config: RunConfig, inputs: LabInputs, now: datetime) -> None:
     current = lab_current(config, inputs)
     state = merge_rows(store, "lab_result", current, layouts.LAB_KEY, labs.newest(), now)
     publish(store, config, "lab_result", "Lab", lab_extract(config, state).history, now)
-    mark_published(store, ["lab_result"], now)
+    finish(store, ["lab_result"], now)
 
 
 def run_claim_lines(
@@ -296,4 +307,4 @@ def run_claim_headers(
     header = claim_header_extract(config, inputs, state, line, recorded)
     delta = header.delta if config.run_type == "Hist" else None
     publish(store, config, "medclaim_header", "MedClaim_H", header.history, now, delta)
-    mark_published(store, ["medclaim_details", "medclaim_header"], now)
+    finish(store, ["medclaim_details", "medclaim_header"], now)

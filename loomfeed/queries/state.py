@@ -7,6 +7,7 @@ ones were still open, and orders of one priority that have since left the feed a
 from __future__ import annotations
 
 from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from ..functions.fingerprint import row_fingerprint
 from ..operators import changes as op
 from ..operators import history as hist
 from ..operators.control import advance_watermark
+from ..session import work_dir
+from ..sources import buckets as buckets_of
 from ..sources import snapshots
 from .base import Tables, derived, derived_sql, query
 from .cleaning import md5_sql
@@ -127,6 +130,75 @@ def snapshot_changes(t: Tables) -> DataFrame:
     )
 
 
+def _merged(t: Tables, folder: str, buckets: int = 16) -> None:
+    """Three versions: the old orders; half of the new ones, each dearer; all of the new ones."""
+    old, new = _states(t)
+    dearer = derived(t.orders.filter(STILL_FED.replace("TIMESTAMP", "TIMESTAMP_NTZ")), NEW)
+    dearer = dearer.filter("claim % 2 = 1").withColumn("price", F.expr("CAST(price + 1 AS DECIMAL(18, 2))"))
+    between = row_fingerprint(dearer, exclude=KEY)
+    for day, rows in enumerate((old, between, new), 1):
+        buckets_of.merge_state(rows, folder, KEY, datetime(2001, 8, day), buckets=buckets, published=1)
+
+
+@query(
+    _STATES
+    + """
+    SELECT coalesce(n_claim, o_claim) AS claim, coalesce(n_patient, o_patient) AS patient,
+        CASE WHEN n_claim IS NULL THEN o_status ELSE n_status END AS status,
+        CAST(coalesce(n_price, o_price) AS DOUBLE) AS price, coalesce(n_hash, o_hash) AS print,
+        CASE WHEN n_claim IS NULL THEN NULL WHEN o_claim IS NULL THEN 'insert'
+            WHEN o_hash <> n_hash OR o_claim % 2 = 1 THEN 'update_postimage' END AS change
+    FROM both_states"""
+)
+def bucketed_state(t: Tables) -> DataFrame:
+    """The state after three merges into buckets, with all changes since the first version: a row
+    that changed and changed back was written twice and still waits to be sent."""
+    folder = f"{work_dir(t.spark)}/loomfeed-{uuid4().hex}"
+    _merged(t, folder)
+    return snapshots.read_snapshot(t.spark, folder).select(
+        "claim",
+        "patient",
+        "status",
+        F.col("price").cast("double").alias("price"),
+        F.col("HASH").alias("print"),
+        F.col(op.CHANGE).alias("change"),
+    )
+
+
+@query(
+    _STATES
+    + """
+    SELECT n_claim AS claim, n_status AS status, 'insert' AS change FROM both_states
+        WHERE o_claim IS NULL
+    UNION ALL SELECT o_claim, o_status, 'update_preimage' FROM both_states
+        WHERE o_hash <> n_hash
+    UNION ALL SELECT n_claim, n_status, 'update_postimage' FROM both_states
+        WHERE o_hash <> n_hash"""
+)
+def changes_between_versions(t: Tables) -> DataFrame:
+    """Inserts and updates from the first version to the third, read from the stored change sets.
+
+    A merge keeps rows that left the feed, so there are no deletes."""
+    folder = f"{work_dir(t.spark)}/loomfeed-{uuid4().hex}"
+    _merged(t, folder)
+    changes = buckets_of.changes_between(t.spark, folder, KEY, 1, 3)
+    return changes.select("claim", "status", F.col(op.CHANGE).alias("change"))
+
+
+@query(
+    _STATES
+    + """
+    SELECT coalesce(n_claim, o_claim) AS claim,
+        CASE WHEN n_claim IS NULL THEN o_status ELSE n_status END AS status FROM both_states"""
+)
+def released_versions(t: Tables) -> DataFrame:
+    """The state stays whole when the versions that its untouched buckets come from are released."""
+    folder = f"{work_dir(t.spark)}/loomfeed-{uuid4().hex}"
+    _merged(t, folder, 64)
+    buckets_of.release_versions(t.spark, folder, datetime(2001, 8, 9))
+    return snapshots.read_snapshot(t.spark, folder).select("claim", "status")
+
+
 HEADERS = {
     "SOURCE_SYSTEM_SK": "o_orderstatus",
     "TENANT_SK": "o_orderpriority",

@@ -77,7 +77,7 @@ def rebuild_time(
     return last.filter(F.col("committed_at") + age > now).select("committed_at")
 
 
-def _row_as_of(log: DataFrame, as_of: datetime | None) -> Row | None:
+def row_as_of(log: DataFrame, as_of: datetime | None) -> Row | None:
     rows = readable(log)
     if as_of is not None:
         rows = rows.filter(F.col("committed_at") <= dates.timestamp(as_of))
@@ -119,10 +119,10 @@ def read_snapshot(spark: SparkSession, root: str, as_of: datetime | None = None)
 
     A time before the first commit is an error rather than an empty table.
     """
-    row = _row_as_of(version_log(spark, root), as_of)
+    row = row_as_of(version_log(spark, root), as_of)
     if row is None:
         raise LookupError(f"no version of {root} committed by {as_of}")
-    return _read(spark, root, row)
+    return read_version(spark, root, row)
 
 
 def read_before(spark: SparkSession, root: str, operation: str) -> DataFrame | None:
@@ -132,10 +132,10 @@ def read_before(spark: SparkSession, root: str, operation: str) -> DataFrame | N
     if written is None:
         return None
     earlier = log.filter((F.col("version") < written.version) & F.col("folder").isNotNull())
-    return _read(spark, root, latest_version(earlier).first())
+    return read_version(spark, root, latest_version(earlier).first())
 
 
-def _read(spark: SparkSession, root: str, row: Row) -> DataFrame:
+def read_version(spark: SparkSession, root: str, row: Row) -> DataFrame:
     if row.folder.startswith("buckets-"):
         from .buckets import read_buckets
 

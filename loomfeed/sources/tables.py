@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +80,15 @@ def drop_where(spark: SparkSession, name: str, column: str, value: object) -> No
     _drop(spark, name, partitions.filter(hit))
 
 
+def drop_matching(spark: SparkSession, name: str, values: Mapping[str, object]) -> None:
+    """Drop the partitions of a table that have all these values; no data is read."""
+    partitions = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
+    parts = F.split("partition", "/")
+    for column, value in values.items():
+        partitions = partitions.filter(F.array_contains(parts, f"{column}={value}"))
+    _drop(spark, name, partitions)
+
+
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace just the partitions of a table that ``df`` has rows for.
 
