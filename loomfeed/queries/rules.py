@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import rules as op
 from ..operators.joins import lookup
-from .base import Tables, derived, derived_sql, query
+from ..plans import settings
+from .base import Tables, derived, derived_sql, inputs_sql, query
 
 RULE_COLUMNS = (
     "source_attribute string, source_systems string, attribute string, operator string, "
@@ -149,3 +153,89 @@ def market_config(t: Tables) -> DataFrame:
         served = op.market_config(config, "claims", f"nation_{market}")
         people = lookup(people, served, [("region", "n_regionkey")], {f"sdm_{market}": "sdm"})
     return people.select("c_custkey", "sdm_1", "sdm_13")
+
+
+SETTINGS = {
+    "names": """
+        SELECT '1,2' AS tenant, upper(n_name) AS target_market, 'FILE_' || n_name AS filename,
+            CASE WHEN n_regionkey < 3 THEN 'SDM2' ELSE 'SDM3' END AS sdm_type,
+            CASE WHEN n_nationkey % 2 = 0 THEN 'Y' ELSE 'N' END AS eid_applied
+        FROM {nation} WHERE n_nationkey < 20""",
+    "configs": """
+        SELECT 'CLAIMS' AS domain, n_name AS markets, consumer, 'P' || consumer AS project,
+            CAST(n_regionkey AS STRING) AS system, CAST(NULL AS STRING) AS status_set,
+            CAST(n_nationkey + 1 AS STRING) AS lookback_months
+        FROM (SELECT *, '' AS consumer FROM {nation}
+            UNION ALL SELECT *, 'SHOP' AS consumer FROM {nation}) c
+        WHERE consumer = '' OR n_nationkey % 3 = 0""",
+    "rules": """
+        SELECT 'label' AS source_attribute, 'all' AS source_systems, 'label' AS attribute,
+            CAST(NULL AS STRING) AS operator, CAST(NULL AS STRING) AS match_value,
+            '''' || n_name || consumer || '''' AS default_value, n_nationkey AS priority,
+            CASE WHEN n_nationkey = 4 THEN 'N' ELSE 'Y' END AS active_value, 'Lab' AS domain,
+            upper(n_name) AS target_market, consumer
+        FROM (SELECT *, '' AS consumer FROM {nation}
+            UNION ALL SELECT *, 'SHOP' AS consumer FROM {nation}) c""",
+}
+RUNS = ((3, ""), (3, "SHOP"), (4, ""), (13, "SHOP"))
+
+
+def _settings(t: Tables) -> list[tuple[int, settings.RunSettings]]:
+    tables = settings.SettingTables(**{name: t.sql(text) for name, text in SETTINGS.items()})
+    names = {r.n_nationkey: r.n_name for r in t.nation.filter("n_nationkey < 20").collect()}
+    day = date(2001, 8, 1)
+    return [(n, settings.resolve(tables, names[n], (1, 2), day, consumer=who)) for n, who in RUNS]
+
+
+def _runs_sql() -> str:
+    rows = ", ".join(f"({n}, '{who}')" for n, who in RUNS)
+    return f"""
+    WITH {inputs_sql(SETTINGS)}, runs(nation, who) AS (VALUES {rows})"""
+
+
+@query(
+    _runs_sql()
+    + """
+    SELECT c_custkey, r.who, nm.filename AS prefix, nm.eid_applied = 'Y' AS enterprise,
+        CASE nm.sdm_type WHEN 'SDM2' THEN 'standard' ELSE 'extended' END AS model,
+        cf.project, CAST(cf.lookback_months AS INTEGER) AS months, '' AS status_set
+    FROM customer JOIN runs r ON c_nationkey = r.nation JOIN nation n ON n.n_nationkey = r.nation
+    JOIN names nm ON nm.target_market = upper(n.n_name)
+    JOIN configs cf ON cf.markets = n.n_name AND cf.consumer = CASE WHEN EXISTS (
+        SELECT 1 FROM configs o WHERE o.markets = n.n_name AND o.consumer = r.who) THEN r.who ELSE '' END"""
+)
+def config_lookups(t: Tables) -> DataFrame:
+    """Customers of some markets with the settings of a run there, for a consumer or none; a
+    consumer without a configuration gets that of the market."""
+    frames = [
+        t.customer.filter(F.col("c_nationkey") == nation).select(
+            "c_custkey",
+            F.lit(found.config.consumer).alias("who"),
+            F.lit(found.config.file_prefix).alias("prefix"),
+            F.lit(found.enterprise_ids).alias("enterprise"),
+            F.lit(found.config.model).alias("model"),
+            F.lit(found.config.project).alias("project"),
+            F.lit(found.config.lookback_months).alias("months"),
+            F.lit(found.config.status_set).alias("status_set"),
+        )
+        for nation, found in _settings(t)
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query(
+    _runs_sql()
+    + """
+    SELECT c_custkey, r.who, CASE WHEN c_acctbal >= 0 THEN c_name
+        WHEN r.nation = 4 THEN NULL ELSE n_name || r.who END AS label
+    FROM customer JOIN runs r ON c_nationkey = r.nation JOIN nation ON n_nationkey = c_nationkey"""
+)
+def settings_rules(t: Tables) -> DataFrame:
+    """Defaults of a run's own market and consumer only; those of one market are not active."""
+    label = F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("label")
+    frames = []
+    for nation, found in _settings(t):
+        rows = t.customer.filter(F.col("c_nationkey") == nation)
+        rows = rows.select("c_custkey", F.lit(found.config.consumer).alias("who"), label)
+        frames.append(op.apply_default_rules(rows, found.rules("lab")))
+    return reduce(DataFrame.unionByName, frames)

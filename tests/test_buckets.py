@@ -218,3 +218,56 @@ def test_join_conditions_are_checked(spark):
     for text in ("e.missing = 1", "k = 1"):
         with pytest.raises(Exception, match="UNRESOLVED|AMBIGUOUS"):
             join_condition(left, right, text)
+
+
+def test_settings_of_a_run(spark):
+    from datetime import date
+
+    from fixtures import eligibility_inputs, lab, lab_inputs
+
+    from loomfeed.plans.labs import lab_current
+    from loomfeed.plans.settings import SettingTables, resolve
+
+    names = spark.createDataFrame(
+        [("1", "NY", "NYFILE", "SDM3", "y"), ("1", "UT", "A", "SDM2", None), ("2", "UT", "B", "SDM3", None)],
+        "tenant string, target_market string, filename string, sdm_type string, eid_applied string",
+    )
+    configs = spark.createDataFrame(
+        [("Claims", '("NY","UT")', None, "MAIN", "FEED", "S", None), ("Claims", "ZZ", "", "P", "", "", "3")],
+        "domain string, markets string, consumer string, project string, system string, status_set string, "
+        "lookback_months string",
+    )
+    columns = (
+        "source_attribute string, source_systems string, attribute string, operator string, match_value string, "
+        "default_value string, priority int, active_value string, domain string, target_market string, consumer string"
+    )
+    rule = ("LAB_RESULT_VALUE", "all", "LAB_RESULT_VALUE", "=", None)
+    rules = spark.createDataFrame(
+        [
+            (*rule, "'mine'", 3, "Y", "lab", "NY", None),
+            (*rule, "'idle'", 1, "N", "lab", "NY", None),
+            (*rule, "'other market'", 1, "Y", "lab", "UT", None),
+            (*rule, "'other consumer'", 1, "Y", "lab", "NY", "SHOP"),
+            (*rule, "'other domain'", 1, "Y", "eligibility", "NY", None),
+        ],
+        columns,
+    )
+    lists = spark.createDataFrame(
+        [("Y", "PROVIDER_GROUP_TIN", "Eligibility", "ALL", "NY", "T1,T2", None)],
+        "active_flg string, reference string, domain string, consumer string, market string, "
+        "value_exclusion string, value_inclusion string",
+    )
+    tables_ = SettingTables(names, configs, rules, lists)
+    found = resolve(tables_, "ny", (1,), date(2024, 6, 10))
+    assert found.enterprise_ids and found.config.extended and found.config.lookback_months == 39
+    assert (found.config.file_prefix, found.config.project, found.config.system) == ("NYFILE", "MAIN", "FEED")
+    # Raw rules hold those of others; the run's own inputs do not.
+    inputs = lab_inputs(spark, [lab(1, lab_result_value_raw=None)])
+    mine = found.inputs(inputs, "lab")
+    assert rows(lab_current(found.config, mine), "LAB_RESULT_VALUE") == [("mine",)]
+    spans = found.inputs(eligibility_inputs(spark, []), "eligibility")
+    assert rows(spans.tin_exclude) == [("T1",), ("T2",)]
+    with pytest.raises(ValueError, match="several values"):
+        resolve(tables_, "ut", (1,), date(2024, 6, 10))
+    with pytest.raises(LookupError):
+        resolve(tables_, "zz", (1,), date(2024, 6, 10))
