@@ -51,6 +51,6 @@ def test_stages_take_hard_rows(hard, empty, llm):
 def test_registered():
     names = entry.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact", "near", "passages", "pack"]
