@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, log10
 from statistics import NormalDist
 
 import numpy as np
@@ -15,10 +15,10 @@ from .components import components
 from .text import record, starts
 
 COSINE = 0.95
-# Blocks of a product code, caps that a vector lies in on average and at least, and vectors in a cap.
+# Blocks of a product code, caps that each of up to a thousand vectors lies in at least (of more
+# vectors in proportion to the logarithm of their number), and vectors in a cap.
 BLOCKS = 3
 CAPS = 20
-LEAST_CAPS = 8
 LOAD = 32
 SEED = 11
 # Numbers in the largest matrix made at once.
@@ -192,8 +192,9 @@ def vector_groups(
 
     Equal vectors are combined first. A cap is a direction made of one random code vector per
     block of dimensions; the number of code vectors grows with the number of vectors, so that a
-    cap holds about ``load`` of them, and the threshold is set so that a vector lies in about
-    ``caps_`` caps. Vectors that share a cap are compared by their cosine, large caps in cells of
+    cap holds about ``load`` of them. A vector lies in all caps beyond a threshold, and in its best
+    ``caps_`` at least, whatever the threshold; as smaller caps tell close vectors apart more often,
+    that number grows with the logarithm of the number of vectors. Vectors that share a cap are compared by their cosine, large caps in cells of
     bounded size. Of a pair nothing is kept but its count for each side and a spanning forest.
 
     Vectors that are null, zero or hold null or non-finite components, and rows without an id,
@@ -211,14 +212,17 @@ def vector_groups(
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding").withColumn(
         "usable", F.coalesce(usable, F.lit(False))
     )
-    reps = rows.where("usable").groupBy("embedding").agg(
+    distinct = rows.where("usable").select("embedding", "vec_id").distinct()
+    reps = distinct.groupBy("embedding").agg(
         F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")
     )
     reps = stage(reps, "vectors")
-    per_block = max(4, ceil((reps.count() * caps_ / load) ** (1 / BLOCKS)))
-    share = caps_ / per_block**BLOCKS
+    n = reps.count()
+    least = ceil(caps_ * max(1.0, log10(max(n, 1)) / 3))
+    per_block = max(4, ceil((n * least / load) ** (1 / BLOCKS)))
+    share = least / per_block**BLOCKS
     assigned = stage(
-        reps.mapInArrow(_assigner(per_block, BLOCKS, share, LEAST_CAPS), ASSIGNED_DDL), "caps"
+        reps.mapInArrow(_assigner(per_block, BLOCKS, share, least), ASSIGNED_DDL), "caps"
     )
     keyed = assigned.select("*", F.explode("caps").alias("cap"))
     met = cells(keyed, ["dims", "cap"], "node")
