@@ -365,19 +365,3 @@ def test_rows_of_one_id_count_as_one_vector(llm):
     rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [2.0, -1.0])]
     found = vector_groups(llm.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(tuple(r) for r in found) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
-
-
-@pytest.mark.parametrize("n", [1_000, 50_000])
-def test_recall_does_not_fall_with_the_number_of_vectors(n):
-    """Pairs at the least cosine share a cap, with the caps that so many vectors would get."""
-    make = np.random.default_rng(5)
-    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
-    one = unit(make.standard_normal((200, 64)))
-    other = make.standard_normal((200, 64))
-    other = unit(other - (other * one).sum(1, keepdims=True) * one)
-    close = 0.9505 * one + np.sqrt(1 - 0.9505**2) * other
-    least = math.ceil(spherical.CAPS * max(1.0, math.log10(n) / 3))
-    per = math.ceil((n * least / spherical.LOAD) ** (1 / 3))
-    code = spherical.codes(64, per, 3)
-    found = [spherical.caps(v, code, 10.0, least) for v in (one, close)]
-    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(*found)]) > 0.97
