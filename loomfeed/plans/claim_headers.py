@@ -249,6 +249,16 @@ def claim_header_current(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFr
     return row_fingerprint(defaulted, exclude=["UPDATE_TYPE", *layouts.CLAIM_HEADER_NEWEST])
 
 
+def newest() -> list[Column]:
+    """The order of several rows for one claim, the one that counts first."""
+    return [
+        F.col("SERV_FROM_DT").desc_nulls_first(),
+        F.col("AUD_UPD_DT").desc_nulls_last(),
+        F.col("CLAIM_HEADER_SK").desc_nulls_last(),
+        F.col("HASH"),
+    ]
+
+
 def claim_header_state(
     config: RunConfig,
     inputs: ClaimHeaderInputs,
@@ -261,17 +271,11 @@ def claim_header_state(
     Of several rows for one claim the latest service date counts, then the latest update, then
     the newest surrogate. ``pending`` keeps the changes of a ``previous`` that was not published.
     """
-    order = [
-        F.col("SERV_FROM_DT").desc_nulls_first(),
-        F.col("AUD_UPD_DT").desc_nulls_last(),
-        F.col("CLAIM_HEADER_SK").desc_nulls_last(),
-        F.col("HASH"),
-    ]
     merged = upsert_by_fingerprint(
         previous,
         claim_header_current(config, inputs),
         layouts.CLAIM_HEADER_KEY,
-        order=order,
+        order=newest(),
         pending=pending,
     )
     return classify_changes(merged, changed_rows(line_state))

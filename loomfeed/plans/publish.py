@@ -8,7 +8,7 @@ own file, history rows and control times over.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators.changes import reset_published
+from ..operators.changes import changed_rows, classify_changes, reset_published
 from ..operators.control import advance_watermark, read_watermark
 from ..operators.history import (
     ARCHIVE_DAYS,
@@ -53,10 +53,9 @@ from .claim_headers import (
     LineExtract,
     claim_header_current,
     claim_header_extract,
-    claim_header_state,
     claim_line_extract,
 )
-from . import claim_lines, labs, layouts
+from . import claim_headers, claim_lines, labs, layouts
 from .claim_lines import ClaimLineInputs, claim_line_current
 from .config import RunConfig, report_title
 from .eligibility import EligibilityInputs, eligibility, eligibility_source
@@ -116,12 +115,22 @@ def save_state(
 
 
 def merge_rows(
-    store: Store, domain: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column], now: datetime
+    store: Store,
+    domain: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    now: datetime,
+    bucket_by: Sequence[str] | None = None,
+    cleared: str | None = None,
+    decide: Callable[[DataFrame], DataFrame] | None = None,
+    beside: DataFrame | None = None,
 ) -> DataFrame:
     """Merge ``rows`` into the state of ``domain`` and read it back; buckets without a change are
     carried over. Changes that were not published yet stay named."""
     sent = _publications(store, domain).agg(F.max("version")).first()[0]
-    merge_state(rows, store.state(domain), keys, now, order, published=sent or 0)
+    merge_state(rows, store.state(domain), keys, now, order, published=sent or 0,
+                bucket_by=bucket_by, cleared=cleared, decide=decide, beside=beside)
     return read_snapshot(store.spark, store.state(domain))
 
 
@@ -293,10 +302,20 @@ def run_claim_headers(
 ) -> None:
     """Runs after the claim lines of the same run; sends both claim files."""
     lines = read_snapshot(store.spark, store.state("medclaim_details"))
-    previous = previous_headers(store, claim_header_current(config, inputs))
-    pending = pending_changes(store, "medclaim_header")
-    classified = claim_header_state(config, inputs, previous, lines, pending)
-    state = save_state(store, "medclaim_header", classified, now)
+    changed = changed_rows(lines)
+    # A claim may have to be sent for its lines alone, so their claims are classified as well.
+    state = merge_rows(
+        store,
+        "medclaim_header",
+        claim_header_current(config, inputs),
+        layouts.CLAIM_HEADER_KEY,
+        claim_headers.newest(),
+        now,
+        bucket_by=["TENANT_SK", "CLAIM_NUMBER"],
+        cleared="UPDATE_TYPE",
+        decide=lambda rows: classify_changes(rows, changed),
+        beside=changed,
+    )
     line = claim_line_extract(config, state, lines)
     line = LineExtract(stage(line.history, "lines"), line.delta, stage(line.deleted, "deleted"))
     # Both files are named after the last header run.

@@ -6,12 +6,13 @@ Untouched buckets are carried over by that list; they are neither read nor moved
 between two versions is read from the change sets, not by comparing states.
 
 A row keeps the version that changed it last. The list of a version says up to which version
-changes were published, so rows need not be rewritten to clear their marks.
+changes were published, so rows need not be rewritten to clear their marks. A further column may
+hold a mark that counts only that long (``cleared``), such as the kind of change to be sent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 from uuid import uuid4
@@ -38,7 +39,7 @@ from .staging import stage
 # A bucket should stay within some GB; its files are split further as they are written.
 BUCKETS = 64
 BUCKET, KEY, VERSION = "__bucket", "__key", "__version"
-LIST_SCHEMA = "bucket int, folder string, published long, buckets int"
+LIST_SCHEMA = "bucket int, folder string, published long, buckets int, cleared string"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -65,6 +66,7 @@ class _Version:
         self.place = {r.bucket: r.folder for r in rows if r.folder is not None}
         self.published = rows[0].published
         self.buckets = rows[0].buckets
+        self.cleared = rows[0].cleared
         # The schema of the state, whichever buckets have rows.
         self.schema = spark.read.parquet(f"{root}/{folder}/changes").schema
 
@@ -80,8 +82,16 @@ class _Version:
 def read_buckets(spark: SparkSession, root: str, folder: str) -> DataFrame:
     """The state of a version; ``_change_type`` names the changes not published before it."""
     version = _Version(spark, root, folder)
-    waiting = F.when(F.col(VERSION) > version.published, F.col(CHANGE))
-    return version.rows().withColumn(CHANGE, waiting).drop(VERSION)
+    return _waiting(version.rows(), version.published, version.cleared).drop(VERSION)
+
+
+def _waiting(rows: DataFrame, published: int, cleared: str | None) -> DataFrame:
+    """``rows`` without the marks of changes that were published."""
+    waits = F.col(VERSION) > published
+    rows = rows.withColumn(CHANGE, F.when(waits, F.col(CHANGE)))
+    if cleared is None:
+        return rows
+    return rows.withColumn(cleared, F.when(waits, F.col(cleared)).otherwise(""))
 
 
 def merge_state(
@@ -94,6 +104,10 @@ def merge_state(
     published: int = 0,
     buckets: int = BUCKETS,
     operation: str = MERGE,
+    bucket_by: Sequence[str] | None = None,
+    cleared: str | None = None,
+    decide: Callable[[DataFrame], DataFrame] | None = None,
+    beside: DataFrame | None = None,
 ) -> int:
     """Merge ``source`` into the state under ``root`` as its next version; returns the number.
 
@@ -104,8 +118,14 @@ def merge_state(
     Of the state only key, fingerprint and marks are read at first, in the buckets that ``source``
     has rows for; whole rows only where something changed. A state that was not kept in this
     number of buckets is rewritten once.
+
+    ``cleared`` names a column with a mark that counts until it is published, and reads as an empty
+    text afterwards. ``decide`` sets it on the rows it is given: those that changed, and those
+    whose ``bucket_by`` columns, part of the key, are in ``beside``, which are read in the buckets
+    of these. A row that gets another mark is written again, but is no change.
     """
     spark = source.sparkSession
+    bucket_by = bucket_by or keys
     last = latest_version(version_log(spark, root)).first()
     number = next_version(last)
     folder = f"buckets-{number}-{uuid4().hex}"
@@ -114,7 +134,7 @@ def merge_state(
     key = F.struct(*[F.col(k) for k in keys])
     new = source.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in columns])
     new = one_per_key(new.withColumn(KEY, key), [KEY], order)
-    new = stage(new.withColumn(BUCKET, bucket_of(keys, buckets)), "merge-source")
+    new = stage(new.withColumn(BUCKET, bucket_of(bucket_by, buckets)), "merge-source")
     touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
     marks = old if moved else _Version(spark, root, last.folder).rows(touched)
     marks = marks.select(
@@ -127,16 +147,19 @@ def merge_state(
     fresh = fresh.withColumn(CHANGE, F.when(still, INSERT).otherwise(F.col("__kind")))
     fresh = fresh.withColumn(VERSION, F.lit(number).cast("long"))
     fresh = stage(fresh.select(*columns, CHANGE, VERSION, KEY, BUCKET, "__kind"), "merge-changes")
+    if decide is not None:
+        fresh = _decided(fresh, old if moved else _Version(spark, root, last.folder), keys, bucket_by, buckets,
+                         published, number, cleared, decide, beside)
     changed = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
     rest = old if moved else _Version(spark, root, last.folder).rows(changed)
     rest = rest.withColumn(KEY, key)
     updated = fresh.filter(F.col("__kind") == UPDATE).select(KEY)
-    before = rest.join(updated, KEY, "left_semi").withColumn(CHANGE, F.lit(BEFORE))
-    after = fresh.withColumn(CHANGE, F.col("__kind"))
+    before = _waiting(rest.join(updated, KEY, "left_semi"), published, cleared).withColumn(CHANGE, F.lit(BEFORE))
+    after = fresh.filter(F.col("__kind").isNotNull()).withColumn(CHANGE, F.col("__kind"))
     images = [f.select(*columns, CHANGE, F.lit(number).cast("long").alias(VERSION)) for f in (before, after)]
     reduce(DataFrame.unionByName, images).write.parquet(f"{root}/{folder}/changes")
     if changed or moved:
-        kept = rest.join(fresh.select(KEY), KEY, "left_anti").withColumn(BUCKET, bucket_of(keys, buckets))
+        kept = rest.join(fresh.select(KEY), KEY, "left_anti").withColumn(BUCKET, bucket_of(bucket_by, buckets))
         data = kept.select(*columns, CHANGE, VERSION, BUCKET).unionByName(
             fresh.select(*columns, CHANGE, VERSION, BUCKET)
         )
@@ -145,12 +168,33 @@ def merge_state(
         if moved:
             changed = sorted(r[0] for r in data.select(BUCKET).distinct().collect())
     place = {**({} if moved else place), **dict.fromkeys(changed, folder)}
-    listed = [(b, place.get(b), published, buckets) for b in range(buckets)]
+    listed = [(b, place.get(b), published, buckets, cleared) for b in range(buckets)]
     append_log(spark, f"{root}/{folder}/buckets", listed, LIST_SCHEMA)
     commit_version(spark, root, number, committed_at, operation, folder)
     return number
 
 
+def _decided(fresh, held, keys, bucket_by, buckets, published, number, cleared, decide, beside) -> DataFrame:
+    """The changed rows and the rows beside them whose mark is another now, with their marks."""
+    near = F.struct(*[F.col(k) for k in bucket_by])
+    wanted = beside.select(near.alias("__near"), bucket_of(bucket_by, buckets).alias(BUCKET)).distinct()
+    wanted = stage(wanted, "merge-beside")
+    if isinstance(held, _Version):
+        held = held.rows(sorted(r[0] for r in wanted.select(BUCKET).distinct().collect()))
+    held = _waiting(held, published, cleared).withColumn(KEY, F.struct(*[F.col(k) for k in keys]))
+    held = held.withColumn("__near", near).join(wanted, "__near", "left_semi").drop("__near")
+    held = held.join(fresh.select(KEY), KEY, "left_anti")
+    held = held.withColumns({
+        VERSION: F.lit(number).cast("long"),
+        BUCKET: bucket_of(bucket_by, buckets),
+        "__kind": F.lit(None).cast("string"),
+        "__mark": F.col(cleared),
+    })
+    both = decide(fresh.withColumn("__mark", F.lit(None).cast("string")).unionByName(held))
+    other = F.col("__kind").isNotNull() | ~F.col("__mark").eqNullSafe(F.col(cleared))
+    return stage(both.filter(other).drop("__mark"), "merge-decided")
+
+
 def _current(spark, root, last, source, keys, buckets):
     """Rows to start from, the place of each bucket, and whether all have to be written anew."""
     if last is None:

@@ -71,6 +71,34 @@ def test_waiting_changes(spark, folder):
     assert {r[CHANGE] for r in snapshots.read_snapshot(spark, folder).collect()} == {None}
 
 
+def test_marks_are_decided_and_cleared(spark, folder):
+    """Rows beside a change get a mark without being a change; marks end when they are published."""
+
+    def run(values, lines, hours, published):
+        beside = spark.createDataFrame([(a,) for a in lines], "a int")
+        mark = F.when(F.col(CHANGE).isNotNull(), F.col(CHANGE)).when(F.col("a").isin(lines), "beside")
+        merge(
+            spark, folder, values, hours, published=published, bucket_by=["a"], cleared="v", beside=beside,
+            decide=lambda rows: rows.withColumn("v", F.when(F.col("v") == "", F.coalesce(mark, F.lit(""))).otherwise(F.col("v"))),
+        )
+        return sorted(tuple(r) for r in snapshots.read_snapshot(spark, folder).select("a", "v", CHANGE).collect())
+
+    def unmarked(*pairs):
+        return [(a, b, "") for a, b in pairs]
+
+    first = [(i, "x", "insert", "insert") for i in range(12)]
+    assert run(unmarked(*[(i, "x") for i in range(12)]), [3], 0, 0) == [(a, v, c) for a, _, v, c in first]
+    # All was published; a key beside that the state lacks is passed over.
+    second = run(unmarked((0, "x"), (20, "x")), [2, 5, 99], 1, 1)
+    wanted = {2: ("beside", None), 5: ("beside", None), 20: ("insert", "insert")}
+    assert second == [(a, *wanted.get(a, ("", None))) for a in [*range(12), 20]]
+    # Nothing was published: marks stay, and nothing is written.
+    now = files(snapshots.read_snapshot(spark, folder))
+    assert run([], [2, 5], 2, 1) == second and files(snapshots.read_snapshot(spark, folder)) == now
+    assert rows(buckets.changes_between(spark, folder, ["a", "b"], 1, 3), "a", CHANGE) == [(20, "insert")]
+    assert {v for _, v, _ in run([], [], 3, 3)} == {""}
+
+
 def test_repeated_keys(spark, folder):
     with pytest.raises(Exception, match="several source rows for one key"):
         merge(spark, folder, [(1, "x", "1"), (1, "x", "2")])
