@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from .text import distinct, gather, starts, words
 
 # Pieces a worker remembers from one batch to the next; beyond that it keeps the more frequent half.
-REMEMBERED = 200_000
+REMEMBERED = 800_000
 # Pre-tokens a worker remembers; the memory is emptied beyond that.
 PARTS = 60_000
 # Any white space, and the separators that some libraries count as such.

@@ -30,7 +30,7 @@ from .text import record, slices, starts
 BLOCK = 1 << 16
 LEVEL = 3
 # Bytes of text encoded at once.
-TEXT_AT_ONCE = 4 << 20
+TEXT_AT_ONCE = 8 << 20
 
 BLOCKS = pa.schema(
     [
