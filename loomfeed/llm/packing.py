@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.staging import stage
 from .encoders import ended, word_level
 from .text import record, slices, starts
 
@@ -26,13 +27,14 @@ PIECES = pa.schema(
         ("sequence_id", pa.int64()),
         ("offset", pa.int64()),
         ("window", pa.int32()),
-        ("step_group", pa.int64()),
+        ("part", pa.int32()),
+        ("nth", pa.int64()),
         ("ids", pa.binary()),
     ]
 )
 PIECES_DDL = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
-    "window int, step_group long, ids binary"
+    "window int, part int, nth long, ids binary"
 )
 
 
@@ -41,16 +43,17 @@ class Packer:
 
     A piece is (document's id, place in it, ids, the document's tokens). ``drain`` returns the
     pieces of all windows that could be filled; at the end the rest, less than one long window, is
-    laid into windows whose lengths are powers of two, so that nothing is padded.
+    laid into windows whose lengths are powers of two, so that nothing is padded. Windows of each
+    length are numbered from 0.
     """
 
-    def __init__(self, tiers=TIERS, step_tokens=STEP_TOKENS, base: int = 0) -> None:
-        self.tiers, self.step_tokens, self.base = sorted(tiers), step_tokens, base
+    def __init__(self, tiers=TIERS, part: int = 0) -> None:
+        self.tiers, self.part, self.base = sorted(tiers), part, part << 40
         self.waiting: list[list[tuple]] = [[] for _ in range(self.tiers[-1] + 1)]
         self.lengths = 0  # bit n is set if a piece of n ids waits
         self.total = 0
         self.windows = 0
-        self.steps: dict[int, int] = {}
+        self.sizes: dict[int, int] = {}
         self.out: dict[str, list] = {f.name: [] for f in PIECES}
 
     def add(self, doc, ids: np.ndarray) -> None:
@@ -112,13 +115,12 @@ class Packer:
             self._window(size, pieces)
 
     def _window(self, size: int, pieces: list[tuple]) -> None:
-        tokens = self.steps.get(size, 0)
-        self.steps[size] = tokens + size
-        step = tokens // self.step_tokens * 64 + size.bit_length()
+        nth = self.sizes.get(size, 0)
+        self.sizes[size] = nth + 1
         offset, out = 0, self.out
         for doc, start, ids, doc_tokens in pieces:
-            values = (doc, start, len(ids), doc_tokens, self.base + self.windows, offset, size)
-            for name, value in zip(PIECES.names, (*values, self.base + step), strict=False):
+            values = (doc, start, len(ids), doc_tokens, self.base + self.windows, offset, size, self.part, nth)
+            for name, value in zip(PIECES.names, values, strict=False):
                 out[name].append(value)
             out["ids"].append(ids.astype("<u4").tobytes())
             offset += len(ids)
@@ -138,9 +140,10 @@ def pack_documents(
     A document is its ids and ``end``. Stretches of a whole long window are windows of their own;
     what is left goes to the smallest tier that holds it. Each tier is packed from its longest
     piece on, and the gap of a window is filled with the longest pieces of shorter tiers that fit,
-    the last of them cut to the gap. Windows of one length form step groups with the same number
-    of tokens. Each input task packs its own documents and carries open pieces from batch to
-    batch, so nothing is shuffled; its last ids go to windows of 1024, 512, ... as far as needed.
+    the last of them cut to the gap. Each input task packs its own documents and carries open pieces
+    from batch to batch; its last ids go to windows of 1024, 512, ... as far as needed. The pieces
+    are staged, then the windows of one length are numbered over all tasks by the tasks' counts and
+    form step groups of ``step_tokens`` tokens, all but the last group of each length full.
 
     ``sequence_id`` and ``step_group`` are unique over all tasks, and ``offset`` is the place in
     the sequence. ``ids`` holds little-endian unsigned 32-bit integers. A null text counts as empty
@@ -150,7 +153,7 @@ def pack_documents(
 
     def pack(batches):
         encoder = word_level(tokenizer)
-        packer = Packer(tiers, step_tokens, TaskContext.get().partitionId() << 40)
+        packer = Packer(tiers, TaskContext.get().partitionId())
         for rows in slices(batches, limit=TEXT_AT_ONCE):
             ids, sizes = ended(*encoder.encode(rows["text"]), end)
             at = starts(sizes).tolist()
@@ -162,4 +165,21 @@ def pack_documents(
         packer.finish()
         yield packer.drain()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pack, PIECES_DDL)
+    packed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pack, PIECES_DDL)
+    return step_groups(stage(packed, "packed"), step_tokens)
+
+
+def step_groups(packed: DataFrame, step_tokens: int) -> DataFrame:
+    """``packed`` with the step group of every piece's window.
+
+    A task has a count for each length of window, so the running sums are over few rows. The
+    remainder modulo 64 of a group's number tells the length.
+    """
+    counts = packed.groupBy("part", "window").agg((F.max("nth") + 1).alias("windows"))
+    earlier = Window.partitionBy("window").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("part", "window", F.coalesce(F.sum("windows").over(earlier), F.lit(0)).alias("earlier"))
+    group = F.expr(f"(earlier + nth) div greatest(1, {step_tokens} div window)")
+    length = F.length(F.bin("window"))
+    names = [f.name for f in PIECES if f.name not in ("part", "nth", "ids")]
+    numbered = packed.join(counts, ["part", "window"])
+    return numbered.select(*names, (group * 64 + length).alias("step_group"), "ids")

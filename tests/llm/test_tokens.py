@@ -139,6 +139,19 @@ def test_packing(documents):
     assert sum(whole[d] == 1 for d in short) > 0.7 * len(short)
 
 
+def test_step_groups_are_full(documents):
+    """Over many small tasks too, all groups of one length of window but one are full."""
+    groups = defaultdict(lambda: defaultdict(set))
+    for r in pack_documents(documents.repartition(16), WORD, step_tokens=8 * 2048).collect():
+        groups[r["window"]][r["step_group"]].add(r["sequence_id"])
+    for size, own in groups.items():
+        assert all(g % 64 == size.bit_length() for g in own)
+        full = 8 * 2048 // size
+        assert sorted(map(len, own.values()))[1:] == [full] * (len(own) - 1)
+        assert max(map(len, own.values())) <= full
+    assert len(groups[2048]) > 5
+
+
 def test_packing_hard_rows(hard, empty):
     rows = pack_documents(hard, WORD).collect()
     texts = {i: t or "" for i, (_, t, _, _) in enumerate(HARD)}
