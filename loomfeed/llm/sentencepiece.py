@@ -18,6 +18,8 @@ from .text import distinct, gather, record, slices, starts
 SPACE = "▁"
 # How much worse than the worst piece a byte is that no piece covers.
 BYTE_PENALTY = 10.0
+# The score of a place that no path reaches.
+NEVER = float("-inf")
 # Bytes of text encoded at once.
 TEXT_AT_ONCE = 2 << 20
 
@@ -42,12 +44,47 @@ class Vocabulary:
         self.unknown = model.unk_id()
         self.longest = max(map(len, self.pieces), default=1)
         self.byte_score = min((s for s, _ in self.pieces.values()), default=0.0) - BYTE_PENALTY
-        self.prefixes = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        self.tree = self._tree()
+        # Neighbouring characters that some piece holds; between any others all paths meet.
+        joined = {(ord(a), ord(b)) for p in self.pieces for a, b in zip(p, p[1:])}
+        self.joined = pa.array([a << 21 | b for a, b in joined], pa.int64())
         # Whether a piece may begin before a space and go on after it.
         self.spans_words = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         self.size = np.array([len(c) for c in content], np.int64)
         self.begin, self.content = starts(self.size)[:-1], np.frombuffer(b"".join(content), np.uint8)
 
+    def _tree(self) -> dict:
+        """Pieces by their characters: what may follow, the score and the id (or -1) up to here."""
+        nodes: dict[str, tuple[dict, float, int]] = {}
+        tree: dict = {}
+        for name in self.pieces:
+            below = tree
+            for n in range(1, len(name) + 1):
+                part = name[:n]
+                node = nodes.get(part)
+                if node is None:
+                    score, i = self.pieces.get(part, (0.0, -1))
+                    node = nodes[part] = below[part[-1]] = ({}, score, i)
+                below = node[0]
+        return tree
+
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Texts cut between characters that no piece holds side by side, and the parts of each."""
+        whole = "".join(texts.to_pylist())
+        if not whole:
+            return texts, np.ones(len(texts), np.int64)
+        char = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
+        begin = starts(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = np.ones(len(char), bool)
+        together = pc.is_in(pa.array(char[:-1] << 21 | char[1:]), value_set=self.joined)
+        first[1:] = ~together.to_numpy(zero_copy_only=False)
+        first[begin[:-1][np.diff(begin) > 0]] = True
+        size = 1 + (char > 0x7F) + (char > 0x7FF) + (char > 0xFFFF)
+        offsets = np.append(starts(size)[:-1][first], size.sum()).astype(np.int32)
+        buffers = pa.py_buffer(offsets), pa.py_buffer(whole.encode())
+        parts = pa.StringArray.from_buffers(len(offsets) - 1, *buffers)
+        return parts, np.diff(starts(first.astype(np.int64))[begin])
+
     def spelled(self, char: str) -> list[int]:
         """A character that no piece covers, as byte pieces."""
         return [self.bytes.get(b, self.unknown) for b in char.encode("utf-8", "replace")]
@@ -67,7 +104,7 @@ class Stream:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.text = ""
-        self.score: list[float | None] = [0.0]
+        self.score: list[float] = [0.0]
         self.back: list[tuple[int, int] | None] = [None]  # begin, id or -1 for bytes
         self.done = 0  # places extended
 
@@ -89,35 +126,37 @@ class Stream:
 
     def _room(self) -> None:
         more = len(self.text) + 1 - len(self.score)
-        self.score += [None] * more
+        self.score += [NEVER] * more
         self.back += [None] * more
 
     def _extend(self, end: int) -> None:
         v, text, score, back = self.vocabulary, self.text, self.score, self.back
-        pieces, prefixes = v.pieces, v.prefixes
+        tree, length = v.tree, len(text)
         for i in range(self.done, end):
             base = score[i]
-            if base is None:
+            if base == NEVER:
                 continue
-            for j in range(i + 1, min(i + v.longest, len(text)) + 1):
-                part = text[i:j]
-                if part not in prefixes:
+            below, alone = tree, False
+            for j in range(i, length):
+                node = below.get(text[j])
+                if node is None:
                     break
-                found = pieces.get(part)
-                if found is not None:
-                    total = base + found[0]
-                    if score[j] is None or total > score[j]:
-                        score[j], back[j] = total, (i, found[1])
-            if text[i] not in pieces:
+                below, own, piece = node
+                if piece >= 0:
+                    alone = alone or j == i
+                    total = base + own
+                    if total > score[j + 1]:
+                        score[j + 1], back[j + 1] = total, (i, piece)
+            if not alone:
                 total = base + v.byte_score * len(text[i].encode("utf-8", "replace"))
-                if score[i + 1] is None or total > score[i + 1]:
+                if total > score[i + 1]:
                     score[i + 1], back[i + 1] = total, (i, -1)
         self.done = end
 
     def _meeting(self) -> int:
         """The last boundary that all surviving paths have in common."""
         ahead = range(self.done, min(self.done + self.vocabulary.longest, len(self.text)) + 1)
-        live = {i for i in ahead if self.score[i] is not None}
+        live = {i for i in ahead if self.score[i] != NEVER}
         while len(live) > 1:
             last = max(live)
             live.remove(last)
@@ -133,7 +172,7 @@ class Stream:
         if end:
             base = self.score[end]
             self.text = self.text[end:]
-            self.score = [s if s is None else s - base for s in self.score[end:]]
+            self.score = [s - base for s in self.score[end:]]
             self.back = [b and (b[0] - end, b[1]) for b in self.back[end:]]
             self.back[0] = None
             self.done = max(0, self.done - end)
@@ -141,7 +180,11 @@ class Stream:
 
 
 class Encoder:
-    """Ids of texts; stretches between certain boundaries are encoded once and remembered."""
+    """Ids of texts; parts between certain boundaries are encoded once and remembered.
+
+    All paths meet where no piece spans: before the spaces of most vocabularies, and between
+    characters that no piece holds side by side.
+    """
 
     # A stretch: spaces and what follows them up to the next space.
     _STRETCH = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -151,7 +194,7 @@ class Encoder:
         self.pool = Pool()
 
     def ids(self, text: str) -> list[int]:
-        """The ids of one stretch or text, from a stream fed in parts."""
+        """The ids of one part or text, from a stream fed in pieces of it."""
         stream, out = Stream(self.vocabulary), []
         for begin in range(0, len(text), 1 << 16):
             out += stream.feed(text[begin : begin + (1 << 16)])
@@ -166,10 +209,14 @@ class Encoder:
         stretches = self._stretches(texts)
         counts = stretches.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         code, values = distinct(stretches.flatten())
-        place = self._known(values.to_pylist())[code]
-        begin, size = self.pool.begin[place], self.pool.size[place]
-        total = starts(size)[starts(counts)]
-        return self.pool.ids[gather(begin, size)], np.diff(total)
+        parts, cuts = self.vocabulary.cut(values)
+        part, values = distinct(parts)
+        place = self._known(values.to_pylist())[part]
+        size = self.pool.size[place]
+        ids = self.pool.ids[gather(self.pool.begin[place], size)]
+        at = starts(size)[starts(cuts)]
+        begin, size = at[code], np.diff(at)[code]
+        return ids[gather(begin, size)], np.diff(starts(size)[starts(counts)])
 
     def _stretches(self, texts: pa.Array) -> pa.ListArray:
         # Where single spaces stand between words, a split by them will do.
@@ -187,15 +234,15 @@ class Encoder:
         order[odd] = len(values) + np.arange(len(out))
         return pa.concat_arrays([values.cast(pa.list_(pa.string())), out]).take(pa.array(order))
 
-    def _known(self, stretches: list[str]) -> np.ndarray:
+    def _known(self, parts: list[str]) -> np.ndarray:
         pool = self.pool
         if len(pool.place) > REMEMBERED:
             pool.halve()
         find = pool.place.get
-        place = np.array([find(p, -1) for p in stretches], np.int64)
+        place = np.array([find(p, -1) for p in parts], np.int64)
         absent = np.flatnonzero(place < 0)
         if len(absent):
-            n, missing = len(pool.place), [stretches[i] for i in absent.tolist()]
+            n, missing = len(pool.place), [parts[i] for i in absent.tolist()]
             lists = [self.ids(p) for p in missing]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             pool.add(missing, np.array([i for ids in lists for i in ids], np.int32), sizes)

@@ -213,6 +213,25 @@ def test_sentencepiece_equals_brute_force(documents):
         assert pieces.decoded(own, encoder.vocabulary) == text.replace(pieces.SPACE, " ")
 
 
+def test_cuts_are_where_no_piece_spans(documents):
+    """Parts put together are the texts, and parts encoded alone give the ids of the whole."""
+    encoder = pieces.encoder(PIECE)
+    v = encoder.vocabulary
+    texts = ["", "a", "word,", "x\U0001f600y", "é!!日本語.a\nb", "▁▁", "a" * 500, "don't..."] + odd_texts(200)
+    parts, counts = v.cut(pa.array(texts, pa.string()))
+    parts, at = parts.to_pylist(), starts(counts)
+    for i, text in enumerate(texts):
+        own = parts[at[i] : at[i + 1]]
+        assert "".join(own) == text
+        assert [x for p in own if p for x in encoder.ids(p)] == (encoder.ids(text) if text else [])
+        for a, b in zip(own, own[1:]):
+            assert not any(a[-1] + b[0] in p for p in v.pieces)
+    assert counts[2] > 1
+    for none in ([], [""], ["", ""]):
+        parts, counts = v.cut(pa.array(none, pa.string()))
+        assert "".join(parts.to_pylist()) == "" and counts.sum() == len(parts)
+
+
 def test_stream_is_bounded(documents):
     """A text fed in parts gives the ids of the whole, and keeps a short window only."""
     v = pieces.encoder(PIECE).vocabulary
