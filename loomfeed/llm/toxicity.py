@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.staging import stage
 from .language import COUNTS_DDL, LanguageModel, count_grams, tables_of
-from .text import distinct, record, slices, starts, words
+from .text import distinct, gather, record, slices, starts, words
 
 # Labelled rows of each class, at most, that the classifier is fitted on.
 SAMPLE_PER_CLASS = 25_000
@@ -26,8 +27,9 @@ PREFIXES = (4, 5)
 # Different pairs of neighbours that a sign must have, and different ones on either side, whatever
 # the number of its documents.
 VARIED, VARIED_SIDE = 3, 3
-# Cost in nats of reading a symbol as a letter, of dropping one, and of a double letter read as one.
-LEET, DROP, SINGLE = 0.5, 12.0, 3.0
+# Cost in nats of reading a symbol as a letter, of dropping one, of a double letter read as one, and
+# of a separator read as the end of a word.
+LEET, DROP, SINGLE, SPLIT = 0.5, 12.0, 2.0, 3.0
 
 # Letters that a symbol may stand for.
 LOOKALIKES = {
@@ -36,15 +38,14 @@ LOOKALIKES = {
     "*": "aeiou", "#": "aeiou",
 }
 SEPARATORS = ".-_~'`,:/\\*"
-_SYMBOLS = "".join(LOOKALIKES)
-_ENDS = r"^[^\p{L}\p{N}@$(|]+|[^\p{L}\p{N}]+$"
-_LETTER, _SYMBOL = r"\p{L}", f"[{re.escape(_SYMBOLS)}]"
-_TRIPLE = "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyz")
-# A symbol beside a letter, a letter three times, or single characters with separators between.
-SUSPECT = (
-    rf"{_LETTER}{_SYMBOL}+{_LETTER}|^{_SYMBOL}+{_LETTER}|{_LETTER}[0-9@$]+$|{_TRIPLE}"
-    rf"|^.([.\-_~*].){{2,}}$"
-)
+# Symbols that ordinary text has before and after words, so that they may go there.
+BEFORE, AFTER = "(*#|", "!*#|"
+# What may stand between single characters in a row: nothing, or the end of a word.
+GAP = "\x1f"
+_KEPT = r"\p{L}\p{M}\p{N}" + re.escape("".join(LOOKALIKES))
+_ENDS = f"^[^{_KEPT}]+|[^{_KEPT}]+$"
+_NUMBER_ENDS = r"^[^\p{N}]+|[^\p{N}]+$"
+_LETTER, _SYMBOL = r"\p{L}", r"[^\p{L}\p{M}]"
 # Single characters in a row that count as one spaced-out word.
 SPACED = 3
 
@@ -53,61 +54,100 @@ class Decoder:
     """The likeliest word behind a disguised one, under a model of character trigrams.
 
     The lattice has a column for each run of one character: its readings are the letters it may
-    stand for, once or twice, or nothing if it is a symbol or separator. States are the last two
-    letters read.
+    stand for, once or twice, nothing if it is a symbol or separator, or the end of a word if it
+    is a separator. States are the last two letters read. What is restored may be several words,
+    joined by spaces.
     """
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.log = lru_cache(maxsize=1 << 16)(self._log)
-        self.restore = lru_cache(maxsize=1 << 16)(self._restore)
+        self.options = lru_cache(maxsize=1 << 14)(self.readings)
+        self.restore = lru_cache(maxsize=1 << 17)(self._restore)
 
     def _log(self, a: str, b: str, c: str) -> float:
         p = self.model.chance_of(ord(a), ord(b), ord(c))
         return math.log(p)
 
     @staticmethod
-    def readings(char: str, run: int) -> list[tuple[str, float]]:
-        if char.isalpha():
+    def readings(char: str, run: int, first: bool = False, last: bool = False) -> list[tuple[str, float]]:
+        """What a run of a character may stand for, and the cost; a space is the end of a word."""
+        if char == GAP:
+            return [("", 0.0), (" ", SPLIT)]
+        if unicodedata.category(char)[0] in "LM":
             if run == 1:
                 return [(char, 0.0)]
             return [(char, SINGLE if run == 2 else 0.0), (char * 2, 0.0)]
         found = [(c, LEET + (SINGLE if run == 2 else 0.0)) for c in LOOKALIKES.get(char, "")]
         if run > 1:
             found += [(c * 2, LEET) for c in LOOKALIKES.get(char, "")]
-        drop = 0.0 if char in SEPARATORS and char != "*" else DROP
-        return [*found, ("", drop * min(run, 2))]
+        if (first and char in BEFORE) or (last and char in AFTER):
+            return [*found, ("", 0.0)]
+        if char in SEPARATORS and char != "*":
+            return [*found, ("", 0.0), (" ", SPLIT)]
+        return [*found, ("", DROP * min(run, 2))]
 
     def _restore(self, word: str) -> str:
-        # (before last, last) -> (cost, text); \0 and \1 mark the start as in the model.
-        states = {("\1", "\0"): (0.0, "")}
+        # (before last, last) -> (cost, letters and those before them); \0 and \1 mark the start as
+        # in the model.
+        log, start = self.log, ("\1", "\0")
+        states: dict[tuple[str, str], tuple[float, tuple | None]] = {start: (0.0, None)}
         for match in re.finditer(r"(.)\1*", word, re.S):
-            options = self.readings(match[1], len(match[0]))
-            following: dict[tuple[str, str], tuple[float, str]] = {}
-            for (a, b), (cost, text) in states.items():
+            options = self.options(match[1], len(match[0]), match.start() == 0, match.end() == len(word))
+            following: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+            for state, (cost, path) in states.items():
                 for letters, own in options:
-                    total, x, y = cost + own, a, b
-                    for c in letters:
-                        total -= self.log(x, y, c)
-                        x, y = y, c
+                    total, (x, y) = cost + own, state
+                    if letters == " ":
+                        if state == start:
+                            continue
+                        total -= log(x, y, "\0")
+                        x, y = start
+                    else:
+                        for c in letters:
+                            total -= log(x, y, c)
+                            x, y = y, c
                     best = following.get((x, y))
                     if best is None or total < best[0]:
-                        following[x, y] = (total, text + letters)
+                        following[x, y] = (total, (letters, path) if letters else path)
             states = following
-        ends = ((cost - self.log(a, b, "\0"), text) for (a, b), (cost, text) in states.items())
-        return min(ends)[1]
+        ends = [(cost - log(a, b, "\0"), path) for (a, b), (cost, path) in states.items()]
+        least = min(cost for cost, _ in ends)
+        return min(_spelled(path) for cost, path in ends if cost == least)
+
+
+def _spelled(path: tuple | None) -> str:
+    out = []
+    while path:
+        letters, path = path
+        out.append(letters)
+    return "".join(reversed(out)).strip()
+
+
+def _doubled(values: pa.Array) -> np.ndarray:
+    """Whether a word holds the same character twice in a row."""
+    char = np.frombuffer("".join(values.to_pylist()).encode("utf-32-le"), np.uint32)
+    begin = starts(pc.utf8_length(values).to_numpy(zero_copy_only=False).astype(np.int64))
+    before = starts(np.append(char[1:] == char[:-1], False))
+    return before[np.maximum(begin[1:] - 1, begin[:-1])] > before[begin[:-1]]
 
 
 def restored(texts: pa.Array, decoder: Decoder):
     """Distinct words after restoring, each word's place among them, and words in each text.
 
-    Words are lower-cased and lose symbols at their ends. Single characters in a row are replaced
-    by the word they spell, which takes the place of the first of them; the others become empty.
+    Words are lower-cased and lose what stands for no letter at their ends. All that could be read
+    in more than one way are decoded: those with a symbol, or a character twice in a row, beside a
+    letter. Words without a letter are numbers or marks, not disguised words. Single characters in
+    a row are replaced by the words they spell, the first of which takes the place of the first
+    character; the others become empty. A restored word may become several.
     """
     flat, counts = words(texts)
     code, values = distinct(flat)
     core = pc.replace_substring_regex(pc.utf8_lower(values), _ENDS, "")
-    odd = pc.match_substring_regex(core, SUSPECT).to_numpy(zero_copy_only=False)
+    has = pc.match_substring_regex(core, _LETTER)
+    core = pc.if_else(has, core, pc.replace_substring_regex(core, _NUMBER_ENDS, ""))
+    odd = pc.match_substring_regex(core, _SYMBOL).to_numpy(zero_copy_only=False) | _doubled(core)
+    odd &= has.to_numpy(zero_copy_only=False)
     names = core
     if odd.any():
         fixed = [decoder.restore(w) for w in core.filter(pa.array(odd)).to_pylist()]
@@ -123,14 +163,18 @@ def restored(texts: pa.Array, decoder: Decoder):
         for i, j in zip(begin.tolist(), end.tolist(), strict=True):
             for k in np.split(np.arange(i, j), np.flatnonzero(np.diff(text_of[i:j])) + 1):
                 if len(k) >= SPACED:
-                    spelled = "".join(core.take(pa.array(code[k])).to_pylist())
+                    chars = core.take(pa.array(code[k])).to_pylist()
                     code[k] = -1
                     code[k[0]] = len(values) + len(extra)
-                    extra.append(decoder.restore(spelled))
+                    spelled = any(c.isalpha() for c in chars)
+                    extra.append(decoder.restore(GAP.join(chars)) if spelled else "".join(chars))
     names = pa.concat_arrays([names, pa.array([*extra, ""], pa.string())])
     code = np.where(code < 0, len(names) - 1, code)
-    inverse, names = distinct(names)
-    return names, inverse[code], counts
+    parts = pc.split_pattern(names, " ")
+    size = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    inverse, names = distinct(parts.flatten())
+    token = inverse[gather(starts(size)[:-1][code], size[code])]
+    return names, token, np.diff(starts(size[code])[starts(counts)])
 
 
 def features(names: pa.Array) -> list[tuple[str, np.ndarray, pa.Array]]:

@@ -14,7 +14,7 @@ from loomfeed.llm import language, queries, spherical
 from loomfeed.llm.language import identify, label_words, learn_languages, with_known_language
 from loomfeed.llm.mixing import Code, SYMBOLS, huffman, learn_mixing, score_mixing
 from loomfeed.llm.spherical import vector_groups
-from loomfeed.llm.toxicity import Decoder, learn_toxicity, score_toxicity
+from loomfeed.llm.toxicity import GAP, Decoder, learn_toxicity, restored, score_toxicity
 
 from .conftest import FOLDER, HARD
 
@@ -122,6 +122,19 @@ def toxic(llm, documents):
         ("l0$er", "loser"),
         ("st*pid", "stupid"),
         ("idiot", "idiot"),
+        ("st-upid", "stupid"),
+        ("stu.pid", "stupid"),
+        ("i/d/i/o/t", "idiot"),
+        ("i:d:i:o:t", "idiot"),
+        ("stuupid", "stupid"),
+        ("iidiioott", "idiot"),
+        ("+rash", "trash"),
+        ("!d10t", "idiot"),
+        ("idiot!", "idiot"),
+        ("idiot!!!", "idiot"),
+        ("(idiot", "idiot"),
+        (GAP.join("idiotloser"), "idiot loser"),
+        (GAP.join("1d10t"), "idiot"),
     ],
 )
 def test_restored_words(toxic, word, plain):
@@ -133,18 +146,21 @@ def test_lattice_equals_brute_force(toxic):
     decoder = Decoder(toxic.letters)
 
     def cheapest(word):
-        runs = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", word)]
+        runs = [(m[1], len(m[0]), m.start() == 0, m.end() == len(word)) for m in re.finditer(r"(.)\1*", word)]
         paths = [(0.0, "")]
-        for char, run in runs:
-            paths = [(c + d, t + x) for c, t in paths for x, d in decoder.readings(char, run)]
+        for run in runs:
+            paths = [(c + d, t + x) for c, t in paths for x, d in decoder.readings(*run)]
         best = []
         for cost, text in paths:
-            marked = "\1\0" + text + "\0"
-            cost -= sum(decoder.log(*marked[i : i + 3]) for i in range(len(text) + 1))
-            best.append((cost, text))
+            if text.startswith(" ") or "  " in text:
+                continue
+            for part in text.split(" "):
+                marked = "\1\0" + part + "\0"
+                cost -= sum(decoder.log(*marked[i : i + 3]) for i in range(len(part) + 1))
+            best.append((cost, text.strip()))
         return min(best)[1]
 
-    for word in ("1d10t", "b00k", "a--b", "xxx1yy", "$0$0", "we11***"):
+    for word in ("1d10t", "b00k", "a--b", "xxx1yy", "$0$0", "we11***", "!we-11", "i:d10!!", GAP.join("thatman")):
         assert decoder.restore(word) == cheapest(word)
 
 
@@ -166,6 +182,33 @@ def test_disguised_texts_score_like_plain(llm, toxic):
     assert rows[3]["score"] == rows[4]["score"] == rows[5]["score"] < 0.3
 
 
+@pytest.mark.parametrize(
+    "word",
+    ["st-upid", "stu.pid", "i/d/i/o/t", "i:d:i:o:t", "stuupid", "iidiioott", "+rash", "!d10t", "TR@$H!"],
+)
+def test_disguised_words_reach_the_lattice(llm, toxic, word):
+    docs = llm.createDataFrame([(0, f"so {word} that"), (1, "so plain that")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in score_toxicity(docs, toxic).collect()}
+    assert set(rows[0]["signs"]) & {"stupid", "idiot", "trash"}
+    assert rows[0]["score"] > rows[1]["score"]
+
+
+def test_spaced_sentence_has_word_ends(llm, toxic):
+    docs = llm.createDataFrame([(0, "i d i o t l o s e r"), (1, "idiot loser")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in score_toxicity(docs, toxic).collect()}
+    assert set(rows[0]["signs"]) == {"idiot", "loser"}
+    assert rows[0]["score"] == pytest.approx(rows[1]["score"])
+
+
+def test_words_of_each_text(toxic):
+    """Words that become several, or none, stay with their text; numbers and marks are left."""
+    texts = ["", "i d i o t l o s e r", "! ( 2024 1 2 3 4", "", "the thing", "x" * 3000 + "!-" * 3000]
+    names, code, counts = restored(pa.array(texts), toxic.decoder())
+    own = [[w for w in names.take(pa.array(part)).to_pylist() if w] for part in np.split(code, np.cumsum(counts)[:-1])]
+    assert own[:5] == [[], ["idiot", "loser"], ["2024", "1234"], [], ["the", "thing"]]
+    assert own[5]
+
+
 def test_copied_passages_are_no_signs(llm):
     """Words that only copies of one toxic text share do not make other texts toxic."""
     make = random.Random(1)
