@@ -51,7 +51,8 @@ def unpacked(data: bytes, *types) -> list[np.ndarray]:
     n, at, out = len(data) // sum(widths), 0, []
     for t, width in zip(types, widths, strict=True):
         planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).view(t).ravel())
+        # A copy even of a single value, so that it can be written to.
+        out.append(planes.T.copy(order="C").view(t).ravel())
         at += n * width
     return out
 

@@ -14,6 +14,7 @@ from loomfeed.llm import language, queries, spherical
 from loomfeed.llm.language import identify, label_words, learn_languages, with_known_language
 from loomfeed.llm.mixing import Code, SYMBOLS, huffman, learn_mixing, score_mixing
 from loomfeed.llm.spherical import vector_groups
+from loomfeed.llm.substring import packed, unpacked
 from loomfeed.llm.toxicity import GAP, Decoder, learn_toxicity, restored, score_toxicity
 
 from .conftest import FOLDER, HARD
@@ -209,6 +210,30 @@ def test_words_of_each_text(toxic):
     assert own[5]
 
 
+def test_unpacked_values_can_be_changed():
+    for n in (0, 1, 2, 300):
+        first, second = np.arange(n, dtype=np.float64), np.arange(n, dtype=np.uint32)
+        out = unpacked(packed(first, second), np.float64, np.uint32)
+        assert all(np.array_equal(a, b) for a, b in zip(out, (first, second)))
+        for values in out:
+            values += 1
+
+
+def test_mixing_scores_a_text_alone_in_its_unit(llm):
+    """A document that is scored by itself has the scores it has among others."""
+    texts = ["the thing and that", "one other thing", "unheard words here", ""]
+    rows = list(enumerate(texts))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    model, vocabulary = learn_mixing(docs.where("doc_id < 2"))
+    among = {r["doc_id"]: r for r in score_mixing(docs.coalesce(1), model, vocabulary).collect()}
+    for row in rows:
+        alone = llm.createDataFrame([row], "doc_id long, text string").coalesce(1)
+        found = score_mixing(alone, model, vocabulary).first()
+        assert (found["n_tokens"], found["n_known"]) == (among[row[0]]["n_tokens"], among[row[0]]["n_known"])
+        assert found["base_score"] == pytest.approx(among[row[0]]["base_score"])
+        assert found["score"] == pytest.approx(among[row[0]]["score"], rel=1e-5)
+
+
 def test_copied_passages_are_no_signs(llm):
     """Words that only copies of one toxic text share do not make other texts toxic."""
     make = random.Random(1)
