@@ -244,6 +244,17 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
+def near_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` that a join with ``keys`` on one column could match.
+
+    For wide or derived rows ahead of their join with few keys: as ``keep_keys``, but repeated keys
+    are not gathered first. Spark moves the test ahead of the joins that ``df`` is made of, so few
+    rows reach them; sums are to be made from its result.
+    """
+    wanted = keys.select(F.col(key).alias("__near"))
+    return df.join(wanted, F.col(key) == F.col("__near"), "left_semi")
+
+
 def drop_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key does not occur in ``keys``."""
     return df.join(keys.select(*on).distinct(), list(on), "left_anti")

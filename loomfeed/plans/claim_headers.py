@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,21 +26,27 @@ from ..operators.joins import (
     keep_keys,
     latest_batch,
     lookup,
+    near_keys,
     role_lookup,
 )
 from ..operators.rules import apply_default_rules
-from ..operators.shape import collapse_tenants, final_rows, project, scope_filter, split_by_flag
+from ..operators.shape import collapse_tenants, project, scope_filter, split_by_flag
 from . import layouts
-from .claim_lines import cohort_members
+from .claim_lines import cohort_members, recent_headers
 from .config import RunConfig
 
 
+# A pivot, or how to make it for the claims in a frame with their ``claim_header_sk``; it may then
+# have others, too. What is made from lines is so made for the claims of a run only.
+Pivot = DataFrame | Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class ClaimHeaderInputs:
     claim_header: DataFrame
     claim_detail: DataFrame
-    diagnosis_pivot: DataFrame
-    procedure_pivot: DataFrame
+    diagnosis_pivot: Pivot
+    procedure_pivot: Pivot
     source_system: DataFrame
     code_value_map: DataFrame
     provider: DataFrame
@@ -68,6 +75,10 @@ def _slots(pattern: str, count: int) -> dict[str, str]:
     return {name: name for name in names}
 
 
+def _made_for(pivot: Pivot, claims: DataFrame) -> DataFrame:
+    return pivot if isinstance(pivot, DataFrame) else pivot(claims)
+
+
 def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFrame:
     """Normalised headers of final claims in the lookback, while the patient was in the cohort.
 
@@ -75,9 +86,11 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
     move. The joins on the header key share one partitioning; the lookups by code, provider and
     group follow, with rows that have no such key spread out.
     """
-    rows = final_rows(scope_filter(inputs.claim_header, config.tenants, config.sources)).filter(
-        dates.within_lookback("serv_from_dt", config.lookback_months, config.as_of)
+    rows = recent_headers(
+        config, scope_filter(inputs.claim_header, config.tenants, config.sources)
     )
+    # Made from raw columns alone, without the cohort, so that it costs next to nothing again.
+    claims = rows.select("claim_header_sk")
     rows = in_scope(
         rows,
         cohort_members(config, inputs.cohort),
@@ -90,7 +103,7 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
     header = [("claim_header_sk", "claim_header_sk")]
     rows = lookup(
         rows,
-        inputs.diagnosis_pivot,
+        _made_for(inputs.diagnosis_pivot, claims),
         header,
         {
             "admit_diag_cd": "admit_diag_cd",
@@ -101,12 +114,13 @@ def claim_header_source(config: RunConfig, inputs: ClaimHeaderInputs) -> DataFra
     )
     rows = lookup(
         rows,
-        inputs.procedure_pivot,
+        _made_for(inputs.procedure_pivot, claims),
         header,
         _slots("icd_proc_{n}", layouts.PROCEDURE_SLOTS),
         where=alive,
     )
-    rows = attach_rollup(rows, inputs.claim_detail, header, "chg_amt", "charge", where=alive)
+    lines = near_keys(inputs.claim_detail, claims, "claim_header_sk")
+    rows = attach_rollup(rows, lines, header, "chg_amt", "charge", where=alive)
     rows = lookup(
         rows,
         inputs.source_system,

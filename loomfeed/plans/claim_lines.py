@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, dates, text
 from ..functions.fingerprint import row_fingerprint
 from ..operators.changes import upsert_by_fingerprint
-from ..operators.joins import in_scope, last_eligible, lookup
+from ..operators.joins import in_scope, last_eligible, lookup, near_keys
 from ..operators.rules import apply_default_rules
 from ..operators.shape import final_rows, project, scope_filter
 from . import layouts
@@ -33,6 +33,13 @@ def cohort_members(config: RunConfig, cohort: DataFrame) -> DataFrame:
     return last_eligible(cohort, ["source_patient_id", "tenant_sk"], "lasteligenddate", wanted)
 
 
+def recent_headers(config: RunConfig, claim_header: DataFrame) -> DataFrame:
+    """Final claims in the lookback."""
+    return final_rows(claim_header).filter(
+        dates.within_lookback("serv_from_dt", config.lookback_months, config.as_of)
+    )
+
+
 def scoped_headers(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
     """Final claims in the lookback that started while the patient was in the cohort.
 
@@ -40,9 +47,7 @@ def scoped_headers(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
     lines meet its result in the join they need anyway. ``cohort_tenant`` remains to be compared
     with the line's tenant.
     """
-    headers = final_rows(inputs.claim_header).filter(
-        dates.within_lookback("serv_from_dt", config.lookback_months, config.as_of)
-    )
+    headers = recent_headers(config, inputs.claim_header)
     return in_scope(
         headers.select("claim_header_sk", "source_patient_id", "serv_from_dt", "aud_upd_dt"),
         cohort_members(config, inputs.cohort).withColumnRenamed("tenant_sk", "cohort_tenant"),
@@ -54,9 +59,16 @@ def scoped_headers(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
 
 def claim_line_source(config: RunConfig, inputs: ClaimLineInputs) -> DataFrame:
     """Lines of in-scope claims that were touched in the lookback, directly or through their
-    header or procedure."""
+    header or procedure.
+
+    Lines of claims out of the lookback go first, by the claim's key alone, so that the joins move
+    few of these wide rows.
+    """
     window = (config.lookback_months, config.as_of)
-    lines = scope_filter(inputs.claim_detail, config.tenants, config.sources).filter(
+    lines = near_keys(
+        inputs.claim_detail, recent_headers(config, inputs.claim_header), "claim_header_sk"
+    )
+    lines = scope_filter(lines, config.tenants, config.sources).filter(
         F.col("serv_from_dt").isNotNull()
     )
     lines = lookup(

@@ -34,11 +34,11 @@ class Tables:
         setattr(self, name, frame)
         return frame
 
-    def sql(self, text: str) -> DataFrame:
-        """A derivation over ``{table}`` placeholders."""
+    def sql(self, text: str, **frames: DataFrame) -> DataFrame:
+        """A derivation over ``{table}`` placeholders; ``frames`` stand in for tables."""
         text = text.replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
         used = [name for name in NAMES if f"{{{name}}}" in text]
-        return self.spark.sql(text, **{name: getattr(self, name) for name in used})
+        return self.spark.sql(text, **{n: frames[n] if n in frames else getattr(self, n) for n in used})
 
 
 def query(sql: str | None = None) -> Callable:

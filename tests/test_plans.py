@@ -1,13 +1,16 @@
 """Physical plans: what is shuffled, what is pushed down, what is broadcast."""
 
 import re
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+import fixtures
 from loomfeed.functions import dates
 from loomfeed.operators import changes, joins, shape
+from loomfeed.plans import claim_headers, claim_lines
 from loomfeed.sources import tables
 
 FOLDER = "/root/testdata/sf0.01"
@@ -144,3 +147,35 @@ def test_sums_are_partial_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = plan(joins.rollup_amount(lines, ["l_orderkey"], "l_quantity", "q"))
     assert text.index("Exchange") < text.index("partial_sum")
+
+
+def test_rows_out_of_scope_are_not_joined(spark, no_broadcast):
+    """The test by key stands below the join that the rows are made from."""
+    lines = spark.createDataFrame([(1, 5), (1, 7), (2, 9), (None, 4)], "k long, v int")
+    heads = spark.createDataFrame([(1, "a"), (2, "b")], "h long, t string")
+    keys = spark.createDataFrame([(1,), (1,), (None,)], "k long")
+    wide = lines.join(heads, F.col("k") == F.col("h")).select("k", "v", "t")
+    near = joins.near_keys(wide, keys, "k")
+    text = near._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= text.index("Join Inner") < text.index("Join LeftSemi")
+    assert sorted(tuple(r) for r in near.collect()) == [(1, 5, "a"), (1, 7, "a")]
+
+
+def test_claim_steps_start_from_the_claims_in_scope(spark):
+    """Lines meet few claims first, and pivots are made for the claims of the run."""
+    heads = [fixtures.header(1), fixtures.header(2, final_status_flg="N")]
+    details = [fixtures.detail(10, 1, 1), fixtures.detail(20, 2, 1)]
+    config = fixtures.CONFIG
+    source = claim_lines.claim_line_source(config, fixtures.line_inputs(spark, heads, details))
+    assert "LeftSemi" in source._jdf.queryExecution().optimizedPlan().toString()
+    inputs = fixtures.header_inputs(spark, heads, details)
+    asked = []
+
+    def pivot(claims):
+        asked.append([r.claim_header_sk for r in claims.collect()])
+        return inputs.diagnosis_pivot
+
+    given = replace(inputs, diagnosis_pivot=pivot)
+    found = claim_headers.claim_header_source(config, given).collect()
+    assert asked == [[1]]
+    assert found == claim_headers.claim_header_source(config, inputs).collect()
