@@ -9,8 +9,8 @@ was learned from (their language, say); which one the words before belong to is
 words alone. The log-odds are mixed by weights that a gate chooses (the longest context that the
 corpus has shown, and how often), each times a factor that is learned while the text is scored,
 and the result is refined by an adaptive map from predicted to observed odds. Factors and map
-start afresh for each stretch of a text's bits, so a score depends on the corpus and the text
-alone.
+are carried through the whole text and start afresh with the next, so a score depends on the
+corpus and the text alone.
 """
 
 from __future__ import annotations
@@ -42,8 +42,7 @@ OFFSETS = starts(np.array(TABLES))
 ROW = 8
 # Pages that the tables are exchanged in; page p has every slot that leaves the remainder p.
 PAGES = 256
-# Bits that one set of weights is learned over, and how fast it and the map are.
-STRETCH = 2048
+# How fast the factors and the map are.
 RATE, MAP_RATE = 0.006, 0.02
 # How often the longest context must have been seen for the next gate.
 OFTEN = (4, 32)
@@ -229,16 +228,13 @@ class MixingModel:
         length = per_word[entry]
         bits_of = np.add.reduceat(length, starts(counts + 1)[:-1]) if len(counts) else counts
         index = gather(starts(per_word)[:-1][entry], length).astype(np.int32)
-        # Stretches of up to STRETCH bits of one text.
-        pieces = -(-bits_of // STRETCH)
-        begin = np.repeat(starts(bits_of)[:-1], pieces) + within(pieces) * STRETCH
-        size = np.minimum(np.repeat(starts(bits_of)[1:], pieces) - begin, STRETCH)
-        logs = mixed_logs(rows, index, begin, size)
-        return np.bincount(np.repeat(np.arange(len(counts)), pieces), logs, len(counts)) / math.log(10)
+        return mixed_logs(rows, index, starts(bits_of)[:-1], bits_of) / math.log(10)
 
 
 def mixed_logs(rows, index, begin, size) -> np.ndarray:
-    """Natural logarithm of the probability of each stretch, all stretches side by side.
+    """Natural logarithm of the probability of each text, all texts side by side.
+
+    What a text's bits teach counts up to its end, however long it is.
 
     ``rows`` has for each bit the predictors' log-odds times their weights under the bit's gate, and
     twice the gate's place in the map plus the bit; a row of 32 bytes is gathered at once.

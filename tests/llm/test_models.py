@@ -12,6 +12,7 @@ import pytest
 
 from loomfeed.llm import language, queries, spherical
 from loomfeed.llm.language import identify, label_words, learn_languages, with_known_language
+from loomfeed.llm import mixing
 from loomfeed.llm.mixing import Code, SYMBOLS, huffman, learn_mixing, score_mixing
 from loomfeed.llm.spherical import vector_groups
 from loomfeed.llm.substring import packed, unpacked
@@ -433,3 +434,29 @@ def test_rows_of_one_id_count_as_one_vector(llm):
     rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [2.0, -1.0])]
     found = vector_groups(llm.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(tuple(r) for r in found) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_mixing_learns_through_a_whole_text(llm):
+    """Factors and map of a text of many thousand bits, one bit after another."""
+    docs = llm.createDataFrame([(0, "the cat sat on the mat"), (1, "a dog and a cat")], "doc_id long, text string")
+    model, _ = learn_mixing(docs)
+    values, code = pa.array(["zebra", "cat"]), np.array([0, 1] * 400)
+    found = model.scores(code, values, np.array([len(code)]), np.array([-1, -1]))
+    rows, sizes = model.rows(values, np.full(2, mixing.CLASSES))
+    ends = np.cumsum(sizes)
+    factors = np.ones(mixing.ORDERS)
+    centre = (np.arange(mixing.BUCKETS) + 0.5) / mixing.BUCKETS * 2 * mixing.REACH - mixing.REACH
+    table = np.tile(1 / (1 + np.exp(-centre)), mixing.GATES)
+    total, n = 0.0, 0
+    for word in [*code, 2]:
+        for row in rows[ends[word] - sizes[word] : ends[word]].astype(float):
+            x, one, n = row[: mixing.ORDERS], int(row[mixing.ORDERS]) & 1, n + 1
+            z = x @ factors
+            p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
+            at = int(np.clip(z * mixing.BUCKETS / 2 / mixing.REACH + mixing.BUCKETS / 2, 0, mixing.BUCKETS - 1))
+            at += int(row[mixing.ORDERS]) >> 1
+            total += np.log10(abs(1 - one - (p + table[at]) / 2))
+            factors += x * mixing.RATE * (one - p)
+            table[at] += mixing.MAP_RATE * (one - table[at])
+    assert n > 4 * 2048
+    assert found[0] == pytest.approx(total, rel=2e-3)
