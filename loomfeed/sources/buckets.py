@@ -17,7 +17,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.changes import BEFORE, CHANGE, INSERT, UPDATE, one_per_key
@@ -36,8 +36,11 @@ from .snapshots import (
 )
 from .staging import stage
 
-# A bucket should stay within some GB; its files are split further as they are written.
+# A bucket should stay within some GB; its rows are merged and written in parts of some PART_ROWS.
 BUCKETS = 64
+PART_ROWS = 2_000_000
+# Fingerprints are most of a narrow row, and hexadecimal digits take half the room this way.
+COMPRESSION = "zstd"
 BUCKET, KEY, VERSION = "__bucket", "__key", "__version"
 LIST_SCHEMA = "bucket int, folder string, published long, buckets int, cleared string"
 
@@ -133,10 +136,14 @@ def merge_state(
     columns = old.drop(CHANGE, VERSION, BUCKET).columns
     key = F.struct(*[F.col(k) for k in keys])
     new = source.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in columns])
+    new = new.withColumn(BUCKET, bucket_of(bucket_by, buckets))
+    marks = old
+    if not moved:
+        new = stage(new, "merge-source", COMPRESSION)
+        touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
+        marks = _Version(spark, root, last.folder).rows(touched)
+    # Picked after the rows are staged, so that the join finds them dealt by key.
     new = one_per_key(new.withColumn(KEY, key), [KEY], order)
-    new = stage(new.withColumn(BUCKET, bucket_of(bucket_by, buckets)), "merge-source")
-    touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
-    marks = old if moved else _Version(spark, root, last.folder).rows(touched)
     marks = marks.select(
         key.alias(KEY), F.col(fingerprint).alias("__old"), F.col(CHANGE).alias("__was"), F.col(VERSION).alias("__at")
     )
@@ -146,7 +153,8 @@ def merge_state(
     fresh = paired.withColumn("__kind", kind).filter(F.col("__kind").isNotNull())
     fresh = fresh.withColumn(CHANGE, F.when(still, INSERT).otherwise(F.col("__kind")))
     fresh = fresh.withColumn(VERSION, F.lit(number).cast("long"))
-    fresh = stage(fresh.select(*columns, CHANGE, VERSION, KEY, BUCKET, "__kind"), "merge-changes")
+    fresh = stage(fresh.select(*columns, CHANGE, VERSION, BUCKET, "__kind"), "merge-changes", COMPRESSION)
+    fresh = fresh.withColumn(KEY, key)
     if decide is not None:
         fresh = _decided(fresh, old if moved else _Version(spark, root, last.folder), keys, bucket_by, buckets,
                          published, number, cleared, decide, beside)
@@ -157,14 +165,13 @@ def merge_state(
     before = _waiting(rest.join(updated, KEY, "left_semi"), published, cleared).withColumn(CHANGE, F.lit(BEFORE))
     after = fresh.filter(F.col("__kind").isNotNull()).withColumn(CHANGE, F.col("__kind"))
     images = [f.select(*columns, CHANGE, F.lit(number).cast("long").alias(VERSION)) for f in (before, after)]
-    reduce(DataFrame.unionByName, images).write.parquet(f"{root}/{folder}/changes")
+    reduce(DataFrame.unionByName, images).write.parquet(
+        f"{root}/{folder}/changes", compression=COMPRESSION
+    )
     if changed or moved:
-        kept = rest.join(fresh.select(KEY), KEY, "left_anti").withColumn(BUCKET, bucket_of(bucket_by, buckets))
-        data = kept.select(*columns, CHANGE, VERSION, BUCKET).unionByName(
-            fresh.select(*columns, CHANGE, VERSION, BUCKET)
-        )
-        # One shuffle by bucket; large buckets are split at run time.
-        data.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{root}/{folder}/data")
+        held = rest.withColumn(BUCKET, bucket_of(bucket_by, buckets))
+        data = _replaced(held, fresh, [*columns, CHANGE, VERSION, BUCKET], buckets)
+        data.write.partitionBy(BUCKET).parquet(f"{root}/{folder}/data", compression=COMPRESSION)
         if moved:
             changed = sorted(r[0] for r in data.select(BUCKET).distinct().collect())
     place = {**({} if moved else place), **dict.fromkeys(changed, folder)}
@@ -174,6 +181,21 @@ def merge_state(
     return number
 
 
+def _replaced(held: DataFrame, fresh: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """The rows of ``held`` whose key is not in ``fresh``, and those of ``fresh``.
+
+    One shuffle by bucket and part serves the comparison and the files.
+    """
+    parts = 1 + (held.count() + fresh.count()) // (buckets * PART_ROWS)
+    part = F.pmod(F.xxhash64(F.lit(parts), KEY), F.lit(parts))
+    sides = [df.select(*columns, KEY, F.lit(i).alias("__fresh")) for i, df in enumerate((held, fresh))]
+    both = sides[0].unionByName(sides[1]).withColumn("__part", part)
+    # Rows of ``held`` that share a key tie, so that all or none of them stay.
+    first = Window.partitionBy(BUCKET, "__part", KEY).orderBy(F.desc("__fresh"))
+    ranked = both.repartition(BUCKET, "__part").withColumn("__rank", F.rank().over(first))
+    return ranked.filter("__rank = 1").select(*columns)
+
+
 def _decided(fresh, held, keys, bucket_by, buckets, published, number, cleared, decide, beside) -> DataFrame:
     """The changed rows and the rows beside them whose mark is another now, with their marks."""
     near = F.struct(*[F.col(k) for k in bucket_by])

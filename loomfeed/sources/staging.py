@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame
 from ..session import work_dir
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared working folder and read it back.
 
     For results that several later steps read: they are computed once, and after the loss of an
     executor the files are read again instead of repeating the work before them.
     """
     path = f"{work_dir(df.sparkSession)}/{name}-{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -299,3 +299,14 @@ def test_settings_of_a_run(spark):
         resolve(tables_, "ut", (1,), date(2024, 6, 10))
     with pytest.raises(LookupError):
         resolve(tables_, "zz", (1,), date(2024, 6, 10))
+
+
+def test_merged_rows_are_shuffled_once(spark):
+    """The comparison with the state and the files by bucket share one shuffle."""
+    rows = [(1, "a", 0), (2, "b", 0), (2, "c", 0), (None, "d", 1), (4, "e", 1)]
+    held = spark.createDataFrame(rows, "k long, v string, __bucket int").withColumn("__key", F.struct("k"))
+    fresh = spark.createDataFrame([(2, "B", 0), (None, "D", 1), (5, "f", 1)], "k long, v string, __bucket int")
+    fresh = fresh.withColumn("__key", F.struct("k"))
+    data = buckets._replaced(held, fresh, ["k", "v", "__bucket"], 2)
+    assert data._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted(r.v for r in data.collect()) == ["B", "D", "a", "e", "f"]
