@@ -42,7 +42,8 @@ OFFSETS = starts(np.array(TABLES))
 ROW = 8
 # Pages that the tables are exchanged in; page p has every slot that leaves the remainder p.
 PAGES = 256
-# How fast the factors and the map are.
+# Bits of a text that are scored at once, the rounds this takes, and how fast factors and map are.
+BLOCK, ROUNDS = 32, 1
 RATE, MAP_RATE = 0.006, 0.02
 # How often the longest context must have been seen for the next gate.
 OFTEN = (4, 32)
@@ -66,6 +67,8 @@ BUCKETS, REACH = 24, 6.0
 # Words whose counts every task holds; others are looked up where their hash lies.
 COMMON = 1 << 16
 TEXT_AT_ONCE = 3 << 19
+# Texts scored side by side; what is kept of their blocks stays near the processor.
+TEXTS_AT_ONCE = 1 << 7
 # Words spelled at once.
 WORDS_AT_ONCE = 1 << 12
 VOCABULARY = 3  # kind of row, beside those of the exchange
@@ -232,66 +235,92 @@ class MixingModel:
 
 
 def mixed_logs(rows, index, begin, size) -> np.ndarray:
-    """Natural logarithm of the probability of each text, all texts side by side.
+    """Natural logarithm of the probability of each text, texts of like length side by side."""
+    order, out = np.argsort(-size, kind="stable"), np.empty(len(size))
+    for at in range(0, len(size), TEXTS_AT_ONCE):
+        some = order[at : at + TEXTS_AT_ONCE]
+        out[some] = _side_by_side(rows, index, begin[some], size[some])
+    return out
+
 
-    What a text's bits teach counts up to its end, however long it is.
+def _side_by_side(rows, index, begin, size) -> np.ndarray:
+    """Natural logarithm of the probability of each text, the longest text first.
+
+    What a text's bits teach counts up to its end, however long it is. A text is taken in blocks,
+    the same ones whatever stands beside it. What the bits of a block teach the later ones through
+    the factors is their errors times the products of their rows; as that changes the errors by
+    little, ``ROUNDS`` rounds find it. Then it is known which bits meet in a cell of the map, and
+    how much of it each leaves.
 
     ``rows`` has for each bit the predictors' log-odds times their weights under the bit's gate, and
     twice the gate's place in the map plus the bit; a row of 32 bytes is gathered at once.
     """
-    order = np.argsort(-size, kind="stable")
-    begin, size = begin[order], size[order]
     n = len(size)
-    factors = np.ones((ORDERS, n), np.float32)
+    factors = np.zeros((n, ROW, 1), np.float32)
+    factors[:, :ORDERS] = 1
     centre = (np.arange(BUCKETS) + 0.5) / BUCKETS * 2 * REACH - REACH
     table = np.tile(1 / (1 + np.exp(-centre)), n * GATES).astype(np.float32)
-    own = np.arange(n) * (GATES * BUCKETS)
-    longest = int(size[0]) if n else 0
-    running = n - np.cumsum(np.bincount(size, minlength=longest + 1))
+    own = (np.arange(n) * (GATES * BUCKETS))[:, None]
+    # The share of a cell that is left after so many bits, and what a one adds to it.
+    left = ((1 - MAP_RATE) ** np.arange(BLOCK)).astype(np.float32)
+    added = np.float32(MAP_RATE / (1 - MAP_RATE))
+    earlier, ones = np.tri(BLOCK, k=-1, dtype=bool), np.ones((BLOCK, 1), np.float32)
+    blocks = -(-size // BLOCK)
+    running = n - np.cumsum(np.bincount(blocks, minlength=1))
     total = np.zeros(n)
-    chance = np.ones((64, n), np.float32)
     half, scale = np.float32(BUCKETS / 2), np.float32(BUCKETS / 2 / REACH)
     rate, map_rate, last = np.float32(RATE), np.float32(MAP_RATE), np.float32(BUCKETS - 1)
-    for step in range(longest):
-        k = running[step]
-        # One line for each predictor and one for the gate and bit.
-        got = np.ascontiguousarray(rows.take(index.take(begin[:k]), axis=0).T[: ORDERS + 1])
-        begin += 1
-        x, f = got[:ORDERS], factors[:, :k]
-        cell = got[ORDERS].astype(np.int64)
+    here = begin[:, None] + np.arange(BLOCK)
+    for block, k in enumerate(running[:-1]):
+        ended = k - running[block + 1]
+        got = rows.take(index.take(here[:k], mode="clip"), axis=0)
+        here[:k] += BLOCK
+        cell = got[:, :, ORDERS].astype(np.int32)
+        got[:, :, ORDERS] = 0
         one = (cell & 1).astype(np.float32)
-        z = np.einsum("ji,ji->i", x, f)
-        p = np.clip(z, -12, 12)
-        np.negative(p, out=p)
-        np.exp(p, out=p)
-        p += 1
-        np.reciprocal(p, out=p)
+        alone = np.matmul(got, factors[:k])[:, :, 0]
+        taught = np.matmul(got * rate, got.transpose(0, 2, 1))
+        taught *= earlier
+        z = alone.copy()
+        for again in range(ROUNDS + 1):
+            if again:
+                np.add(np.matmul(taught, wrong[:, :, None])[:, :, 0], alone, out=z)
+            p = np.clip(z, -12, 12)
+            np.negative(p, out=p)
+            np.exp(p, out=p)
+            p += 1
+            np.reciprocal(p, out=p)
+            wrong = one - p
+        wrong *= rate
+        factors[:k] += np.matmul(got.transpose(0, 2, 1), wrong[:, :, None])
         z *= scale
         z += half
         np.clip(z, 0, last, out=z)
-        place = z.astype(np.int64)
         cell >>= 1
-        place += cell
-        place += own[:k]
-        known = table.take(place)
-        both = p + known
-        both *= 0.5
-        np.subtract(1 - one, both, out=both)
-        np.abs(both, out=chance[step & 63, :k])
-        np.subtract(one, p, out=p)
-        p *= rate
-        x *= p
-        f += x
+        cell += z.astype(np.int32)
+        place = cell + own[:k]
+        cell = cell.astype(np.uint8)
+        same = cell[:, :, None] == cell[:, None, :]
+        same &= earlier
+        same = same.astype(np.float32)
+        share = left.take(np.matmul(same, ones)[:, :, 0].astype(np.intp))
+        known = np.matmul(same, (one / share)[:, :, None])[:, :, 0]
+        known *= added
+        known += table.take(place)
+        known *= share
+        chance = p + known
+        chance *= 0.5
+        np.subtract(1 - one, chance, out=chance)
+        np.abs(chance, out=chance)
+        # After a text's end nothing counts; what is learned there is not used again.
+        rest = size[k - ended : k] - block * BLOCK
+        chance[k - ended :][np.arange(BLOCK) >= rest[:, None]] = 1
+        # A chance is no less than 3e-6, so that the product of a block can be written.
+        total[:k] += np.log(np.multiply.reduce(chance, axis=1, dtype=np.float64))
         one -= known
         one *= map_rate
-        one += known
-        table[place] = one
-        if step & 63 == 63 or step == longest - 1:
-            total += np.log(chance[: (step & 63) + 1].astype(np.float64)).sum(axis=0)
-            chance[:] = 1
-    out = np.empty(n)
-    out[order] = total
-    return out
+        np.add.at(table, place.ravel(), one.ravel())
+    return total
 
 
 WORDS = pa.schema([("word", pa.string()), ("n", pa.int64())])
@@ -426,6 +455,13 @@ def learn_mixing(
     return model, vocabulary
 
 
+def by_length(batches):
+    """The rows of each batch by the length of their texts, as texts of one length are scored in
+    the same number of steps."""
+    for batch in batches:
+        yield batch.take(pc.array_sort_indices(pc.fill_null(pc.binary_length(batch["text"]), 0)))
+
+
 def _base_sender(shared, bits: int):
     """Scores of the mixing model and of common words; other words go to their buckets."""
 
@@ -434,7 +470,7 @@ def _base_sender(shared, bits: int):
         common = pa.array(list(model.common), pa.string())
         logs = np.log10(np.array([*model.common.values(), 0], float) + 0.5)
         task = TaskContext.get().partitionId() << 32
-        for sequence, rows in enumerate(slices(batches, limit=TEXT_AT_ONCE)):
+        for sequence, rows in enumerate(slices(by_length(batches), limit=TEXT_AT_ONCE)):
             flat, counts = words(pc.ascii_lower(rows["text"]))
             code, values = distinct(flat)
             place = pc.fill_null(pc.index_in(values, value_set=common), -1).to_numpy(zero_copy_only=False)

@@ -460,3 +460,32 @@ def test_mixing_learns_through_a_whole_text(llm):
             table[at] += mixing.MAP_RATE * (one - table[at])
     assert n > 4 * 2048
     assert found[0] == pytest.approx(total, rel=2e-3)
+
+
+class CountedRows(np.ndarray):
+    """Rows that count how often some are taken."""
+
+    taken = 0
+
+    def take(self, *args, **kwargs):
+        CountedRows.taken += 1
+        return np.asarray(self).take(*args, **kwargs)
+
+
+def test_mixing_scores_long_texts_in_blocks():
+    """A long text beside short ones takes a step for a block, not for a bit, and all have the scores
+    they have alone."""
+    make = np.random.default_rng(3)
+    rows = np.zeros((5000, mixing.ROW), np.float32)
+    rows[:, : mixing.ORDERS] = make.normal(0, 0.5, (5000, mixing.ORDERS))
+    gate = make.integers(0, mixing.GATES, 5000)
+    rows[:, mixing.ORDERS] = gate * mixing.BUCKETS * 2 + make.integers(0, 2, 5000)
+    size = np.array([3, 40000, 1, 32, 700, 33])
+    begin = np.cumsum(size) - size
+    index = make.integers(0, 5000, size.sum()).astype(np.int32)
+    CountedRows.taken = 0
+    found = mixing.mixed_logs(rows.view(CountedRows), index, begin, size)
+    assert CountedRows.taken <= 40000 / 16
+    for text, (first, n) in enumerate(zip(begin, size)):
+        alone = mixing.mixed_logs(rows, index[first : first + n], np.array([0]), np.array([n]))
+        assert alone[0] == found[text] < 0
