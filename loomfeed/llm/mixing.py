@@ -43,7 +43,7 @@ ROW = 8
 # Pages that the tables are exchanged in; page p has every slot that leaves the remainder p.
 PAGES = 256
 # Bits of a text that are scored at once, the rounds this takes, and how fast factors and map are.
-BLOCK, ROUNDS = 32, 1
+BLOCK, ROUNDS = 32, 2
 RATE, MAP_RATE = 0.006, 0.02
 # How often the longest context must have been seen for the next gate.
 OFTEN = (4, 32)
