@@ -63,12 +63,15 @@ START = np.array(
     ],
     np.float32,
 )
+WEIGHTS = np.pad(START, ((0, 0), (0, ROW - ORDERS)))
 BUCKETS, REACH = 24, 6.0
 # Words whose counts every task holds; others are looked up where their hash lies.
 COMMON = 1 << 16
-TEXT_AT_ONCE = 3 << 19
-# Texts scored side by side; what is kept of their blocks stays near the processor.
-TEXTS_AT_ONCE = 1 << 7
+TEXT_AT_ONCE = 1 << 22
+# Texts scored side by side, their number a multiple of ABREAST so that products of matrices add in
+# the same order for each; what is kept of their blocks stays near the processor. Bits whose rows
+# are listed at once.
+TEXTS_AT_ONCE, ABREAST, BITS_AT_ONCE = 1 << 9, 1 << 4, 1 << 24
 # Words spelled at once.
 WORDS_AT_ONCE = 1 << 12
 VOCABULARY = 3  # kind of row, beside those of the exchange
@@ -104,6 +107,16 @@ def _joined(values: pa.Array):
     return pc.binary_join(lists, "")[0].as_buffer()
 
 
+def _slots(context: np.ndarray, node: np.ndarray, k: int) -> np.ndarray:
+    """Places in table ``k`` for contexts, whose array is used up, at nodes."""
+    context += node
+    context *= STEP
+    context >>= np.uint64(64 - TABLES[k].bit_length() + 1)
+    context = context.view(np.int64)
+    context += OFFSETS[k]
+    return context
+
+
 class Code:
     """Huffman codes of all symbols in flat arrays."""
 
@@ -151,11 +164,7 @@ class Code:
         flat = gather(self.begin[symbols], lengths)
         # Both are well mixed, so that a sum and a product will do for their pair.
         node = self.hashed[flat]
-        slots = (
-            ((np.repeat(h, lengths) + node) * STEP >> np.uint64(64 - TABLES[k].bit_length() + 1)).astype(np.int64)
-            + OFFSETS[k]
-            for k, h in enumerate(hashes)
-        )
+        slots = (_slots(np.repeat(h, lengths), node, k) for k, h in enumerate(hashes))
         total = starts(lengths)[starts(counts)]
         return slots, self.bit[flat], np.diff(total)
 
@@ -210,8 +219,7 @@ class MixingModel:
                 part[:, k], often = pair[::2], pair[1::2]
                 np.copyto(gate, k + 1, where=often > 0)
             gate += np.where(gate == ORDERS, np.maximum(often.astype(np.int8) - 1, 0), 0).astype(np.int8)
-            for k in range(ORDERS):
-                part[:, k] *= START[:, k].take(gate)
+            part *= WEIGHTS.take(gate, axis=0)
             # A bit's gate as a place in the map, and its value.
             part[:, ORDERS] = gate.astype(np.int32) * BUCKETS * 2 + bit
             per_word[begin : begin + len(sizes)] = sizes
@@ -222,16 +230,30 @@ class MixingModel:
     def scores(self, code: np.ndarray, values: pa.Array, counts: np.ndarray, place) -> np.ndarray:
         """Logarithm (base 10) of the probability of each text, given its distinct words."""
         after = code.astype(np.int64) * (CLASSES + 1) + self.before(code, place, counts)
-        pairs, code = np.unique(after, return_inverse=True)
+        # In the order of their first places, so that rare words lie as they are read.
+        code, pairs = distinct(pa.array(after))
+        pairs = pairs.to_numpy()
         values = values.take(pa.array(pairs // (CLASSES + 1)))
         rows, per_word = self.rows(values, pairs % (CLASSES + 1))
-        # The words of each text and its end, then the bits of each.
-        entry = np.full(len(code) + len(counts), len(values), np.int64)
-        entry[gather(starts(counts + 1)[:-1], counts)] = code
-        length = per_word[entry]
-        bits_of = np.add.reduceat(length, starts(counts + 1)[:-1]) if len(counts) else counts
-        index = gather(starts(per_word)[:-1][entry], length).astype(np.int32)
-        return mixed_logs(rows, index, starts(bits_of)[:-1], bits_of) / math.log(10)
+        first, begin = starts(per_word)[:-1].astype(np.int32), starts(counts)
+        sums = starts(per_word[code])
+        bits_of = sums[begin[1:]] - sums[begin[:-1]] + per_word[-1]
+        order, out = np.argsort(-bits_of, kind="stable"), np.empty(len(counts))
+        begin = begin[:-1]
+        while len(order):
+            some = order[: max(1, int(np.searchsorted(np.cumsum(bits_of[order]), BITS_AT_ONCE, "right")))]
+            order = order[len(some) :]
+            # The words of each text and its end, then the bits of each.
+            n = counts[some]
+            entry = np.full(int(n.sum()) + len(n), len(values), np.int32)
+            entry[gather(starts(n + 1)[:-1], n)] = code[gather(begin[some], n)]
+            length = per_word[entry]
+            # Within a word a bit's row is the one after the last.
+            index, row = np.ones(int(length.sum()), np.int32), first[entry]
+            index[starts(length)[:-1]] = np.diff(row, prepend=0) - np.append(0, length[:-1] - 1)
+            np.cumsum(index, out=index)
+            out[some] = mixed_logs(rows, index, starts(bits_of[some])[:-1], bits_of[some])
+        return out / math.log(10)
 
 
 def mixed_logs(rows, index, begin, size) -> np.ndarray:
@@ -248,79 +270,87 @@ def _side_by_side(rows, index, begin, size) -> np.ndarray:
 
     What a text's bits teach counts up to its end, however long it is. A text is taken in blocks,
     the same ones whatever stands beside it. What the bits of a block teach the later ones through
-    the factors is their errors times the products of their rows; as that changes the errors by
-    little, ``ROUNDS`` rounds find it. Then it is known which bits meet in a cell of the map, and
-    how much of it each leaves.
+    the factors is the sum of their rows times their errors; as that changes the errors by little,
+    ``ROUNDS`` rounds find it. Then it is known which cell of the map each bit meets, and the map
+    learns from one bit of every text after another. Arrays have the texts side by side in their
+    last axis, so that the work for a bit does not grow with the block.
 
     ``rows`` has for each bit the predictors' log-odds times their weights under the bit's gate, and
     twice the gate's place in the map plus the bit; a row of 32 bytes is gathered at once.
     """
-    n = len(size)
-    factors = np.zeros((n, ROW, 1), np.float32)
-    factors[:, :ORDERS] = 1
-    centre = (np.arange(BUCKETS) + 0.5) / BUCKETS * 2 * REACH - REACH
-    table = np.tile(1 / (1 + np.exp(-centre)), n * GATES).astype(np.float32)
-    own = (np.arange(n) * (GATES * BUCKETS))[:, None]
-    # The share of a cell that is left after so many bits, and what a one adds to it.
-    left = ((1 - MAP_RATE) ** np.arange(BLOCK)).astype(np.float32)
-    added = np.float32(MAP_RATE / (1 - MAP_RATE))
-    earlier, ones = np.tri(BLOCK, k=-1, dtype=bool), np.ones((BLOCK, 1), np.float32)
+    texts = len(size)
+    n = -(-texts // ABREAST) * ABREAST
+    begin, size = (np.concatenate([a, np.zeros(n - len(a), np.int64)]) for a in (begin, size))
     blocks = -(-size // BLOCK)
     running = n - np.cumsum(np.bincount(blocks, minlength=1))
-    total = np.zeros(n)
-    half, scale = np.float32(BUCKETS / 2), np.float32(BUCKETS / 2 / REACH)
-    rate, map_rate, last = np.float32(RATE), np.float32(MAP_RATE), np.float32(BUCKETS - 1)
-    here = begin[:, None] + np.arange(BLOCK)
-    for block, k in enumerate(running[:-1]):
-        ended = k - running[block + 1]
-        got = rows.take(index.take(here[:k], mode="clip"), axis=0)
-        here[:k] += BLOCK
+    factors = np.ones((ORDERS, 1, n), np.float32)
+    centre = (np.arange(BUCKETS) + 0.5) / BUCKETS * 2 * REACH - REACH
+    table = np.tile(1 / (1 + np.exp(-centre)), n * GATES).astype(np.float32)
+    own, here = np.arange(n) * (GATES * BUCKETS), begin + np.arange(BLOCK)[:, None]
+    earlier, width, total = np.tri(BLOCK, k=-1, dtype=np.float32), 0, np.zeros(n)
+    # Small arrays of no dimension, as scalars are converted in each step.
+    unit, zero, half, scale, rate, map_rate, left, last, least, most = (
+        np.array(v, np.float32)
+        for v in (1, 0, 0.5, BUCKETS / 2 / REACH, RATE, MAP_RATE, 1 - MAP_RATE, BUCKETS - 1, -12, 12)
+    )
+    middle = np.array(BUCKETS / 2, np.float32)
+    for block, k in enumerate(running[:-1].tolist()):
+        k = -(-k // ABREAST) * ABREAST
+        if k != width:
+            width, own = k, own[:k]
+            here, factors = here[:, :k].copy(), factors[:, :, :k].copy()
+            x, products, taught = np.empty((3, ORDERS, BLOCK, k), np.float32)
+            alone, z, p, one, wrong, known, adds = np.empty((7, BLOCK, k), np.float32)
+            place, after = np.empty((BLOCK, k), np.int64), np.empty(k, np.float32)
+            steps = list(zip(place, known, adds))
+        got = rows.take(index.take(here, mode="clip"), axis=0)
+        here += BLOCK
+        np.copyto(x, got[:, :, :ORDERS].transpose(2, 0, 1))
         cell = got[:, :, ORDERS].astype(np.int32)
-        got[:, :, ORDERS] = 0
-        one = (cell & 1).astype(np.float32)
-        alone = np.matmul(got, factors[:k])[:, :, 0]
-        taught = np.matmul(got * rate, got.transpose(0, 2, 1))
-        taught *= earlier
-        z = alone.copy()
+        np.copyto(one, cell & 1)
+        np.multiply(x, factors, products)
+        np.add.reduce(products, 0, None, alone)
         for again in range(ROUNDS + 1):
             if again:
-                np.add(np.matmul(taught, wrong[:, :, None])[:, :, 0], alone, out=z)
-            p = np.clip(z, -12, 12)
-            np.negative(p, out=p)
-            np.exp(p, out=p)
-            p += 1
-            np.reciprocal(p, out=p)
-            wrong = one - p
-        wrong *= rate
-        factors[:k] += np.matmul(got.transpose(0, 2, 1), wrong[:, :, None])
-        z *= scale
-        z += half
-        np.clip(z, 0, last, out=z)
+                np.matmul(earlier, products, taught)
+                np.multiply(taught, x, taught)
+                np.add.reduce(taught, 0, None, z)
+                np.add(z, alone, z)
+            np.minimum(z if again else alone, most, p)
+            np.maximum(p, least, p)
+            np.negative(p, p)
+            np.exp(p, p)
+            np.add(p, unit, p)
+            np.reciprocal(p, p)
+            np.subtract(one, p, wrong)
+            np.multiply(wrong, rate, wrong)
+            np.multiply(x, wrong, products)
+        factors += np.add.reduce(products, axis=1, keepdims=True)
+        np.multiply(z, scale, z)
+        np.add(z, middle, z)
+        np.maximum(z, zero, z)
+        np.minimum(z, last, z)
         cell >>= 1
         cell += z.astype(np.int32)
-        place = cell + own[:k]
-        cell = cell.astype(np.uint8)
-        same = cell[:, :, None] == cell[:, None, :]
-        same &= earlier
-        same = same.astype(np.float32)
-        share = left.take(np.matmul(same, ones)[:, :, 0].astype(np.intp))
-        known = np.matmul(same, (one / share)[:, :, None])[:, :, 0]
-        known *= added
-        known += table.take(place)
-        known *= share
-        chance = p + known
-        chance *= 0.5
-        np.subtract(1 - one, chance, out=chance)
-        np.abs(chance, out=chance)
+        np.add(cell, own, place)
+        np.multiply(one, map_rate, adds)
+        # The next bit may read the cell that this one changes.
+        for at, value, more in steps:
+            table.take(at, None, value, "clip")
+            np.multiply(value, left, after)
+            np.add(after, more, after)
+            table[at] = after
+        np.add(p, known, p)
+        np.multiply(p, half, p)
+        np.subtract(unit, one, z)
+        np.subtract(z, p, p)
+        np.abs(p, p)
         # After a text's end nothing counts; what is learned there is not used again.
-        rest = size[k - ended : k] - block * BLOCK
-        chance[k - ended :][np.arange(BLOCK) >= rest[:, None]] = 1
+        ended = running[block + 1]
+        p[:, ended:][np.arange(BLOCK)[:, None] >= size[ended:k] - block * BLOCK] = 1
         # A chance is no less than 3e-6, so that the product of a block can be written.
-        total[:k] += np.log(np.multiply.reduce(chance, axis=1, dtype=np.float64))
-        one -= known
-        one *= map_rate
-        np.add.at(table, place.ravel(), one.ravel())
-    return total
+        total[:k] += np.log(np.multiply.reduce(p, axis=0, dtype=np.float64))
+    return total[:texts]
 
 
 WORDS = pa.schema([("word", pa.string()), ("n", pa.int64())])

@@ -489,3 +489,20 @@ def test_mixing_scores_long_texts_in_blocks():
     for text, (first, n) in enumerate(zip(begin, size)):
         alone = mixing.mixed_logs(rows, index[first : first + n], np.array([0]), np.array([n]))
         assert alone[0] == found[text] < 0
+
+
+def test_mixing_takes_hundreds_of_texts_in_a_step():
+    """A step takes one block of all texts side by side, and their number does not change a score."""
+    make = np.random.default_rng(4)
+    rows = np.zeros((3000, mixing.ROW), np.float32)
+    rows[:, : mixing.ORDERS] = make.normal(0, 0.5, (3000, mixing.ORDERS))
+    rows[:, mixing.ORDERS] = make.integers(0, mixing.GATES, 3000) * mixing.BUCKETS * 2 + make.integers(0, 2, 3000)
+    size = make.integers(300, 400, 500)
+    begin = np.cumsum(size) - size
+    index = make.integers(0, 3000, size.sum()).astype(np.int32)
+    CountedRows.taken = 0
+    found = mixing.mixed_logs(rows.view(CountedRows), index, begin, size)
+    assert CountedRows.taken <= -(-400 // mixing.BLOCK)
+    for n in (1, 9, 100):
+        some = make.permutation(500)[:n]
+        assert np.array_equal(mixing.mixed_logs(rows, index, begin[some], size[some]), found[some])
