@@ -67,7 +67,7 @@ WEIGHTS = np.pad(START, ((0, 0), (0, ROW - ORDERS)))
 BUCKETS, REACH = 24, 6.0
 # Words whose counts every task holds; others are looked up where their hash lies.
 COMMON = 1 << 16
-TEXT_AT_ONCE = 1 << 22
+TEXT_AT_ONCE = 3 << 20
 # Texts scored side by side, their number a multiple of ABREAST so that products of matrices add in
 # the same order for each; what is kept of their blocks stays near the processor. Bits whose rows
 # are listed at once.
@@ -215,9 +215,10 @@ class MixingModel:
             part = rows[at : at + len(bit)]
             gate = np.zeros(len(bit), np.int8)
             for k, slot in enumerate(slots):
-                pair = both.take(slot).view(np.float32)
-                part[:, k], often = pair[::2], pair[1::2]
-                np.copyto(gate, k + 1, where=often > 0)
+                pair = both.take(slot)
+                part[:, k], often = pair.view(np.float32)[::2], pair.view(np.float32)[1::2]
+                # The higher half holds how often, and all its bits are zero for never.
+                np.maximum(gate, (pair > 0xFFFFFFFF).view(np.int8) * np.int8(k + 1), out=gate)
             gate += np.where(gate == ORDERS, np.maximum(often.astype(np.int8) - 1, 0), 0).astype(np.int8)
             part *= WEIGHTS.take(gate, axis=0)
             # A bit's gate as a place in the map, and its value.
@@ -283,7 +284,7 @@ def _side_by_side(rows, index, begin, size) -> np.ndarray:
     begin, size = (np.concatenate([a, np.zeros(n - len(a), np.int64)]) for a in (begin, size))
     blocks = -(-size // BLOCK)
     running = n - np.cumsum(np.bincount(blocks, minlength=1))
-    factors = np.ones((ORDERS, 1, n), np.float32)
+    factors = np.ones((ORDERS, n), np.float32)
     centre = (np.arange(BUCKETS) + 0.5) / BUCKETS * 2 * REACH - REACH
     table = np.tile(1 / (1 + np.exp(-centre)), n * GATES).astype(np.float32)
     own, here = np.arange(n) * (GATES * BUCKETS), begin + np.arange(BLOCK)[:, None]
@@ -298,7 +299,7 @@ def _side_by_side(rows, index, begin, size) -> np.ndarray:
         k = -(-k // ABREAST) * ABREAST
         if k != width:
             width, own = k, own[:k]
-            here, factors = here[:, :k].copy(), factors[:, :, :k].copy()
+            here, factors = here[:, :k].copy(), factors[:, :k].copy()
             x, products, taught = np.empty((3, ORDERS, BLOCK, k), np.float32)
             alone, z, p, one, wrong, known, adds = np.empty((7, BLOCK, k), np.float32)
             place, after = np.empty((BLOCK, k), np.int64), np.empty(k, np.float32)
@@ -308,24 +309,29 @@ def _side_by_side(rows, index, begin, size) -> np.ndarray:
         np.copyto(x, got[:, :, :ORDERS].transpose(2, 0, 1))
         cell = got[:, :, ORDERS].astype(np.int32)
         np.copyto(one, cell & 1)
-        np.multiply(x, factors, products)
-        np.add.reduce(products, 0, None, alone)
-        for again in range(ROUNDS + 1):
-            if again:
-                np.matmul(earlier, products, taught)
-                np.multiply(taught, x, taught)
-                np.add.reduce(taught, 0, None, z)
-                np.add(z, alone, z)
-            np.minimum(z if again else alone, most, p)
-            np.maximum(p, least, p)
-            np.negative(p, p)
-            np.exp(p, p)
-            np.add(p, unit, p)
-            np.reciprocal(p, p)
+        np.einsum("abc,ac->bc", x, factors, out=alone)
+        np.copyto(z, alone)
+        for _ in range(ROUNDS):
+            # The errors only teach here, so that a chance need not be exact near its ends.
+            np.multiply(z, half, p)
+            np.tanh(p, p)
+            np.multiply(p, half, p)
+            np.add(p, half, p)
             np.subtract(one, p, wrong)
             np.multiply(wrong, rate, wrong)
             np.multiply(x, wrong, products)
-        factors += np.add.reduce(products, axis=1, keepdims=True)
+            np.matmul(earlier, products, taught)
+            np.einsum("abc,abc->bc", x, taught, out=z)
+            np.add(z, alone, z)
+        np.minimum(z, most, p)
+        np.maximum(p, least, p)
+        np.negative(p, p)
+        np.exp(p, p)
+        np.add(p, unit, p)
+        np.reciprocal(p, p)
+        np.subtract(one, p, wrong)
+        np.multiply(wrong, rate, wrong)
+        factors += np.einsum("abc,bc->ac", x, wrong)
         np.multiply(z, scale, z)
         np.add(z, middle, z)
         np.maximum(z, zero, z)
@@ -347,7 +353,8 @@ def _side_by_side(rows, index, begin, size) -> np.ndarray:
         np.abs(p, p)
         # After a text's end nothing counts; what is learned there is not used again.
         ended = running[block + 1]
-        p[:, ended:][np.arange(BLOCK)[:, None] >= size[ended:k] - block * BLOCK] = 1
+        if ended < k:
+            p[:, ended:][np.arange(BLOCK)[:, None] >= size[ended:k] - block * BLOCK] = 1
         # A chance is no less than 3e-6, so that the product of a block can be written.
         total[:k] += np.log(np.multiply.reduce(p, axis=0, dtype=np.float64))
     return total[:texts]
@@ -388,12 +395,15 @@ def _bit_counts(shared):
     def count(batches):
         code = shared.value
         counts = np.zeros((2, int(OFFSETS[-1])), np.int64)
+        flat = counts.reshape(-1)
         for batch in batches:
             # The end of text, which follows the words, is counted by the caller.
             slots, bit, per_word = code.bits(batch["word"], batch["kind"].to_numpy())
             n = np.repeat(np.append(batch["n"].to_numpy(), 0), per_word)
+            side = bit * OFFSETS[-1]
             for slot in slots:
-                np.add.at(counts, (bit, slot), n)
+                slot += side
+                np.add.at(flat, slot, n)
         task = TaskContext.get().partitionId()
         for page in range(PAGES):
             data = packed(counts[0, page::PAGES], counts[1, page::PAGES])
@@ -489,7 +499,9 @@ def by_length(batches):
     """The rows of each batch by the length of their texts, as texts of one length are scored in
     the same number of steps."""
     for batch in batches:
-        yield batch.take(pc.array_sort_indices(pc.fill_null(pc.binary_length(batch["text"]), 0)))
+        # Only the sorted rows are kept.
+        batch = batch.take(pc.array_sort_indices(pc.fill_null(pc.binary_length(batch["text"]), 0)))
+        yield batch
 
 
 def _base_sender(shared, bits: int):
