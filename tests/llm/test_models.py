@@ -506,3 +506,22 @@ def test_mixing_takes_hundreds_of_texts_in_a_step():
     for n in (1, 9, 100):
         some = make.permutation(500)[:n]
         assert np.array_equal(mixing.mixed_logs(rows, index, begin[some], size[some]), found[some])
+
+
+def test_mixing_scores_of_long_and_other_texts_agree(monkeypatch):
+    """Texts over ``LONG`` bits are scored in another way, with the same scores."""
+    make = np.random.default_rng(5)
+    rows = np.zeros((3000, mixing.ROW), np.float32)
+    rows[:, : mixing.ORDERS] = make.normal(0, 0.5, (3000, mixing.ORDERS))
+    rows[:, mixing.ORDERS] = make.integers(0, mixing.GATES, 3000) * mixing.BUCKETS * 2 + make.integers(0, 2, 3000)
+    size = np.array([20, 9000, 4001, 4000, 1])
+    begin = np.cumsum(size) - size
+    index = make.integers(0, 3000, size.sum()).astype(np.int32)
+    found = mixing.mixed_logs(rows, index, begin, size)
+    monkeypatch.setattr(mixing, "LONG", 4000)
+    mixed = mixing.mixed_logs(rows, index, begin, size)
+    assert np.array_equal(mixed[[0, 3, 4]], found[[0, 3, 4]])
+    assert mixed == pytest.approx(found, rel=1e-5)
+    for text in (1, 2):
+        alone = mixing.mixed_logs(rows, index, begin[[text]], size[[text]])
+        assert alone[0] == mixed[text]
